@@ -45,7 +45,6 @@ def save(
     if separate:
         frame = SOURCE if SOURCE in df.columns else FRAME
         df = df.withColumn("output", output_name(F.col(frame), common_root, aliases))
-        # A row hash beside the name keeps a large frame from being written by one task.
         writer = df.write.partitionBy("output")
     else:
         writer = df.write
