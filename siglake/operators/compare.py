@@ -68,16 +68,14 @@ def frames_diff(
                 F.lit(c).alias("column"),
                 F.col(f"_left.{c}").cast("string").alias("self"),
                 F.col(f"_right.{c}").cast("string").alias("other"),
+                (~F.col(f"_left.{c}").eqNullSafe(F.col(f"_right.{c}"))).alias("differs"),
             )
             for c in columns
         ]
     )
-    differing = F.array(*[~F.col(f"_left.{c}").eqNullSafe(F.col(f"_right.{c}")) for c in columns])
-    paired = _paired(left, right, on, columns).where(F.exists(differing, lambda d: d))
-    cell = F.explode(
-        F.filter(cells, lambda s: ~s["self"].eqNullSafe(s["other"]))
-    ).alias("cell")
-    return paired.select(*on, cell).select(*on, "cell.*")
+    cell = F.explode(F.filter(cells, lambda c: c["differs"])).alias("cell")
+    paired = _paired(left, right, on, columns)
+    return paired.select(*on, cell).select(*on, "cell.column", "cell.self", "cell.other")
 
 
 def rows_differ(left: DataFrame, right: DataFrame) -> DataFrame:
