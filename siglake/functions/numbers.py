@@ -6,8 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER = r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
-_FLOAT = rf"^\s*[+-]?{_NUMBER}\s*$"
-_SPECIAL = r"(?i)^\s*[+-]?(?:inf|infinity)\s*$"
+_FLOAT = rf"^\s*[+-]?(?:{_NUMBER}|(?i:inf|infinity))\s*$"
 _INT = r"^\s*[+-]?[0-9]+\s*$"
 _SUM = rf"^({_NUMBER})\s*(?:([+-])\s*({_NUMBER})\s*)?$"
 
@@ -16,7 +15,7 @@ DEFAULT_SIMTIME_EXPONENT = -12  # raw ticks are picoseconds unless the run says
 
 def to_double(text: Column) -> Column:
     """A floating point number; NULL where the text is none (or is NaN)."""
-    return F.when(text.rlike(_FLOAT) | text.rlike(_SPECIAL), text.try_cast("double"))
+    return F.when(text.rlike(_FLOAT), text.try_cast("double"))
 
 
 def to_long(text: Column) -> Column:

@@ -48,18 +48,39 @@ def _integer(pattern: str) -> list[Rule]:
     return [Rule(re.escape(pattern), to_long, "bigint")]
 
 
+def without_quotes(text: Column) -> Column:
+    return strip(text, '"')
+
+
+def is_set(text: Column) -> Column:
+    """Any text counts as true, even ``false``."""
+    return F.length(text) > 0
+
+
+def seconds(text: Column) -> Column:
+    """``5s+3s`` read as 8."""
+    return eval_sum(remove(text, "s"))
+
+
+def assigned_seconds(text: Column) -> Column:
+    """``$name=5s+3s`` read as 8."""
+    return seconds(field(text, "=", 1))
+
+
+def as_is(text: Column) -> Column:
+    return text
+
+
 def _unquoted(pattern: str) -> list[Rule]:
-    return [Rule(re.escape(pattern), lambda v: strip(v, '"'))]
+    return [Rule(re.escape(pattern), without_quotes)]
 
 
 def _truthy(pattern: str) -> list[Rule]:
-    """Any text counts as true, even ``false``."""
-    return [Rule(re.escape(pattern), lambda v: F.length(v) > 0, "boolean")]
+    return [Rule(re.escape(pattern), is_set, "boolean")]
 
 
 def _assigned_sum(pattern: str) -> list[Rule]:
-    """``$name=5s+3s`` read as 8."""
-    return [Rule(pattern, lambda v: eval_sum(remove(field(v, "=", 1), "s")), "double")]
+    return [Rule(pattern, assigned_seconds, "double")]
 
 
 _SERVICE = "*.node[*].middleware."
@@ -80,9 +101,7 @@ PARAMETER_RULES: Rules = {
     "p_red": _unquoted(_MITIGATION + "P_Redundancy"),
     "s_red": _unquoted(_MITIGATION + "S_Redundancy"),
     "wd_red": _unquoted(_MITIGATION + "WD_Redundancy"),
-    "traciStart": [
-        Rule(re.escape("*.traci.core.startTime"), lambda v: eval_sum(remove(v, "s")), "double")
-    ],
+    "traciStart": [Rule(re.escape("*.traci.core.startTime"), seconds, "double")],
     "warmup": _assigned_sum(r"\$warmup-period=.*?s"),
     "limit": _assigned_sum(r"\$limit=.*?s"),
     "queueLength": _integer("**.vanetza[*].dcc.queueLength"),
@@ -125,7 +144,7 @@ ITERATIONVARS_RULES: Rules = {
 
 # Tags read from run attributes.
 ATTRIBUTE_RULES: Rules = {
-    "prefix": [Rule("configname", lambda v: v)],
+    "prefix": [Rule("configname", as_is)],
     "MCO": [Rule("configname", lambda v: v.contains("MCO"), "boolean")],
     "SCO": [Rule("configname", lambda v: v.contains("SCO"), "boolean")],
 }
@@ -172,80 +191,107 @@ class RuleSet:
         return found
 
 
-def _tag(name: str | Column, value: Column, stage: Stage, rule: int, row: Column) -> Column:
-    return F.struct(
-        (F.lit(name) if isinstance(name, str) else name).alias("key"),
-        value.cast("string").alias("value"),
-        F.struct(
-            F.lit(int(stage)).alias("stage"), row.alias("row"), F.lit(rule).alias("rule")
-        ).alias("precedence"),
-    )
+class _Kinds(list):
+    """The distinct transforms in use, addressed by number."""
+
+    def number(self, transform: Callable[[Column], Column]) -> int:
+        if transform not in self:
+            self.append(transform)
+        return self.index(transform)
+
+
+def _quoted(text: str) -> str:
+    """SQL literal of a text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _apply(rules: Rules, searched: Column, value, stage: Stage, row: Column) -> list[Column]:
-    """One struct per rule, NULL where the pattern is not found."""
-    tags, number = [], 0
-    for tag, alternatives in rules.items():
-        for rule in alternatives:
-            pattern = Pattern(rule.pattern)
-            result = rule.transform(value(pattern))
-            hit = pattern.found(searched)
-            tags.append(F.when(hit, _tag(tag, result, stage, number, row)))
-            number += 1
-    return tags
+def _candidate(key: str, text: str, kind: int, stage: Stage, row: str, rule: int) -> str:
+    precedence = f"named_struct('stage', {int(stage)}, 'row', {row}, 'rule', {rule})"
+    return f"named_struct('key', {key}, 'text', {text}, 'kind', {kind}, 'precedence', {precedence})"
 
 
-def _explode(df: DataFrame, tags: Sequence[Column]) -> DataFrame:
-    one = F.explode(F.array_compact(F.array(*tags))).alias("tag")
-    return df.select(SOURCE, one).select(SOURCE, "tag.*")
+def _raw(name: str, value: str, stage: Stage, kinds: _Kinds) -> list[str]:
+    return [_candidate(name, value, kinds.number(as_is), stage, ROW, 0)]
+
+
+def _hits(
+    rules: Rules, searched: str, value: str | None, stage: Stage, row: str, kinds: _Kinds
+) -> list[str]:
+    """One SQL expression per rule; without a value column it takes the text that matched."""
+    found = []
+    for tag, rule in [(tag, rule) for tag, rules_of_tag in rules.items() for rule in rules_of_tag]:
+        pattern = _quoted(Pattern(rule.pattern).java)
+        text = value or f"regexp_extract({searched}, {pattern}, 0)"
+        kind = kinds.number(rule.transform)
+        hit = _candidate(_quoted(tag), text, kind, stage, row, len(found))
+        found.append(f"CASE WHEN {searched} RLIKE {pattern} THEN {hit} END")
+    return found
+
+
+def _explode(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """The candidates that hit, one per row."""
+    hits = f"inline(array_compact(array({', '.join(candidates)})))"
+    return df.select(SOURCE, F.expr(hits))
+
+
+def _evaluate(candidates: DataFrame, kinds: _Kinds) -> DataFrame:
+    """Turn the text of each hit into its value."""
+    value = F.lit(None).cast("string")
+    for number, transform in enumerate(kinds):
+        value = F.when(F.col("kind") == number, transform(F.col("text")).cast("string")).otherwise(value)
+    return candidates.select(SOURCE, "key", value.alias("value"), "precedence")
+
+
+def _first_iterationvars(run_attrs: DataFrame) -> DataFrame:
+    return (
+        run_attrs.where(F.col("attrName") == "iterationvars")
+        .groupBy(SOURCE)
+        .agg(F.min_by("attrValue", ROW).alias("variables"))
+    )
 
 
 def raw_tags(df: DataFrame, key: str, value: str, stage: Stage) -> DataFrame:
-    return _explode(df, [_tag(F.col(key), F.col(value), stage, 0, F.col(ROW))])
+    """Every key and value as it is."""
+    kinds = _Kinds()
+    return _evaluate(_explode(df, _raw(key, value, stage, kinds)), kinds)
 
 
 def parameter_tags(run_params: DataFrame, rules: Rules = PARAMETER_RULES) -> DataFrame:
     """Tags by rule on the parameter name."""
-    return _explode(
-        run_params,
-        _apply(rules, F.col("key"), lambda _: F.col("value"), Stage.PARAMETER, F.col(ROW)),
-    )
+    kinds = _Kinds()
+    hits = _hits(rules, "key", "value", Stage.PARAMETER, ROW, kinds)
+    return _evaluate(_explode(run_params, hits), kinds)
 
 
 def attribute_tags(run_attrs: DataFrame, rules: Rules = ATTRIBUTE_RULES) -> DataFrame:
-    return _explode(
-        run_attrs,
-        _apply(rules, F.col("attrName"), lambda _: F.col("attrValue"), Stage.ATTRIBUTE, F.col(ROW)),
-    )
+    """Tags by rule on the attribute name."""
+    kinds = _Kinds()
+    hits = _hits(rules, "attrName", "attrValue", Stage.ATTRIBUTE, ROW, kinds)
+    return _evaluate(_explode(run_attrs, hits), kinds)
 
 
 def iterationvars_tags(run_attrs: DataFrame, rules: Rules = ITERATIONVARS_RULES) -> DataFrame:
     """Tags parsed from the matched text of each file's first ``iterationvars`` attribute."""
-    first = (
-        run_attrs.where(F.col("attrName") == "iterationvars")
-        .groupBy(SOURCE)
-        .agg(F.min_by("attrValue", ROW).alias("text"))
-    )
-    text = F.col("text")
-    matched = lambda pattern: pattern.group(text, 0)
-    tags = _apply(rules, text, matched, Stage.ITERATIONVARS, F.lit(0).cast("bigint"))
-    return _explode(first, tags)
+    kinds = _Kinds()
+    hits = _hits(rules, "variables", None, Stage.ITERATIONVARS, "0L", kinds)
+    return _evaluate(_explode(_first_iterationvars(run_attrs), hits), kinds)
 
 
 def all_tags(run_params: DataFrame, run_attrs: DataFrame, rules: RuleSet | None = None) -> DataFrame:
     """Every tag of every file, with its precedence."""
     rules = rules or RuleSet.build()
-    tables = [
-        raw_tags(run_params, "key", "value", Stage.RAW_PARAMETER),
-        parameter_tags(run_params, rules.parameters),
-        raw_tags(run_attrs, "attrName", "attrValue", Stage.RAW_ATTRIBUTE),
-        attribute_tags(run_attrs, rules.attributes),
-        iterationvars_tags(run_attrs, rules.iterationvars),
-    ]
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table)
-    return result
+    kinds = _Kinds()
+    params = _raw("key", "value", Stage.RAW_PARAMETER, kinds)
+    params += _hits(rules.parameters, "key", "value", Stage.PARAMETER, ROW, kinds)
+    attrs = _raw("attrName", "attrValue", Stage.RAW_ATTRIBUTE, kinds)
+    attrs += _hits(rules.attributes, "attrName", "attrValue", Stage.ATTRIBUTE, ROW, kinds)
+    variables = _hits(rules.iterationvars, "variables", None, Stage.ITERATIONVARS, "0L", kinds)
+    candidates = (
+        _explode(run_params, params)
+        .unionByName(_explode(run_attrs, attrs))
+        .unionByName(_explode(_first_iterationvars(run_attrs), variables))
+    )
+    return _evaluate(candidates, kinds)
 
 
 def last_writer(tags: DataFrame) -> DataFrame:
