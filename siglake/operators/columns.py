@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from siglake.functions.numbers import to_double, to_long
 from siglake.functions.text import natural_key
 from siglake.operators.ranking import ROWS_PER_SLICE, global_ordinal
+from siglake.session import broadcast_if_small
 
 ORDINAL_SUFFIX = "_ord"
 
@@ -79,7 +80,8 @@ def order_categories(
     for column in columns:
         if column in df.columns:
             df = df.drop(f"{column}{ORDINAL_SUFFIX}")
-            df = df.join(category_order(df, column, rows_per_slice), column, "left")
+            categories = broadcast_if_small(category_order(df, column, rows_per_slice))
+            df = df.join(categories, column, "left")
     return df
 
 

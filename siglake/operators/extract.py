@@ -39,19 +39,25 @@ class Options:
 
 
 DEFAULTS = Options()
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def file_tags(results: Results, options: Options = DEFAULTS) -> DataFrame:
     """The allowed tags of every file, one row per file."""
     rules = options.rules or tags.RuleSet.build()
     allowed = tags.allowed_tags(options.base_tags, options.additional_tags, options.minimal_tags)
-    found = tags.all_tags(results.run_params, results.run_attrs, rules)
+    found = tags.all_tags(results.run_params, results.run_attrs, rules.only(allowed))
     return tags.wide_tags(found, allowed, rules.types())
 
 
 def finish(rows: DataFrame, results: Results, options: Options) -> DataFrame:
     """Tag and convert selected rows, and make each file a frame."""
-    tagged = tags.tag_rows(rows, file_tags(results, options))
+    wide = file_tags(results, options)
+    metadata_rows, text_bytes = results.metadata_size
+    # A tag is read from the metadata; its column takes up to 16 bytes beside the text.
+    if text_bytes + 16 * metadata_rows * len(wide.columns) <= MAX_BROADCAST_BYTES:
+        wide = F.broadcast(wide)
+    tagged = tags.tag_rows(rows, wide)
     if options.include_filename:
         tagged = tagged.withColumn("filename", F.col(SOURCE))
     converted = convert_columns(tagged, options.categorical, options.numerical)

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siglake.model import FRAME, PART, ROW, group_keys, row_order, with_keys_present
-from siglake.operators.ranking import group_quantiles
+from siglake.operators.ranking import group_quantiles, slice_cuts
+from siglake.session import broadcast_if_small
 
 MAX_GROUP_ROWS = 5_000_000
 
@@ -89,21 +90,29 @@ def aggregate_groups(
 ) -> DataFrame:
     """One row per group: the group's first row without the input column, plus the aggregate."""
     if isinstance(function, str) and function in QUANTILES:
-        groups = group_keys(keys, across_frames)
-        present = with_keys_present(df, groups)
-        quantile = group_quantiles(present, groups, input_column, [QUANTILES[function]])
-        first = apply_groups(
-            df, keys, input_column, output_column, lambda: F.lit(None), across_frames
-        ).drop(output_column)
-        return first.join(
-            quantile.select(*groups, F.col("q")[0].alias(output_column)), groups, "left"
-        ).select(*first.columns, output_column)
+        return _quantile_of_groups(
+            df, keys, input_column, output_column, QUANTILES[function], across_frames
+        )
     function = NATIVE[function] if isinstance(function, str) else function
     return apply_groups(
         df, keys, input_column, output_column, lambda: function(F.col(input_column)), across_frames
     )
 
 
+def _quantile_of_groups(df, keys, input_column, output_column, probability, across_frames):
+    groups = group_keys(keys, across_frames)
+    present = with_keys_present(df, groups)
+    if not slice_cuts(present, input_column):
+        exact = lambda: F.percentile(input_column, probability)
+        return apply_groups(df, keys, input_column, output_column, exact, across_frames)
+    quantile = group_quantiles(present, groups, input_column, [probability])
+    none = lambda: F.lit(None)
+    first = apply_groups(df, keys, input_column, "_none", none, across_frames).drop("_none")
+    first = first.drop(output_column)
+    result = quantile.select(*groups, F.col("q")[0].alias(output_column))
+    return first.join(result, groups, "left").select(*first.columns, output_column)
+
+
 def aggregate_groups_raw(
     df: DataFrame,
     keys: Sequence[str],
@@ -150,7 +159,8 @@ def assign_groups(
     """Add a column computed from group aggregates to every row of the group.
 
     The aggregates are combined first and joined back, which leaves the rows of
-    a large group spread out. Without an expression the (only) aggregate is assigned.
+    a large group spread out, and unshuffled if the groups are few. Without an
+    expression the (only) aggregate is assigned.
     """
     groups = group_keys(keys, across_frames)
     rows = with_keys_present(df, groups)
@@ -158,7 +168,7 @@ def assign_groups(
     per_group = rows.groupBy(*groups).agg(
         *[value.alias(named[name]) for name, value in aggregates.items()]
     )
-    joined = rows.join(per_group, groups).withColumnsRenamed(
+    joined = rows.join(broadcast_if_small(per_group), groups).withColumnsRenamed(
         {hidden: name for name, hidden in named.items() if name not in df.columns}
     )
     if expression is None:

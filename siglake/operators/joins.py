@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siglake.model import FRAME, PART, ROW, SOURCE
 from siglake.operators.ranking import ROWS_PER_SLICE, global_ordinal
+from siglake.session import broadcast_if_small
 
 RIGHT_SUFFIX = "_r"
 BOOKKEEPING = (FRAME, PART, ROW)
@@ -71,7 +72,8 @@ def merge_by_position(
 
     def numbered(df: DataFrame) -> DataFrame:
         frames = df.select(FRAME).distinct()
-        return df.join(global_ordinal(frames, [F.col(FRAME)], "_nth", rows_per_slice), FRAME)
+        numbers = global_ordinal(frames, [F.col(FRAME)], "_nth", rows_per_slice)
+        return df.join(broadcast_if_small(numbers), FRAME)
 
     left, right = numbered(left), numbered(right).drop(*BOOKKEEPING)
     left_keys, right_keys = _row_keys(left, right, left_keys, right_keys, "_nth")

@@ -19,20 +19,30 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglake.session import checkpointed
+from siglake.session import broadcast_if_small, checkpointed
 
 MAX_SLICES = 4096
 ROWS_PER_SLICE = 4_000_000
+CUT_SAMPLE = 1_000_000
 
 
 def slice_cuts(df: DataFrame, x: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
-    """Cut points of the column, empty if it fits into one slice. One pass, one row back."""
-    shares = ", ".join(f"{i / MAX_SLICES}D" for i in range(1, MAX_SLICES))
-    approximate = f"percentile_approx(double(`{x}`), array({shares}), {10 * MAX_SLICES})"
-    found = df.agg(F.count(x).alias("n"), F.expr(approximate).alias("cuts")).first()
-    wanted = min(MAX_SLICES, math.ceil(found["n"] / rows_per_slice))
-    picked = {found["cuts"][i * MAX_SLICES // wanted - 1] for i in range(1, wanted)}
-    return sorted(cut for cut in picked if math.isfinite(cut))
+    """Cut points of the column, empty if it fits into one slice.
+
+    They are quantiles of a sample of bounded size, one row of numbers.
+    """
+    values = df.select(F.col(x).cast("double").alias("x")).where(F.col("x").isNotNull())
+    n = values.count()
+    wanted = min(MAX_SLICES, math.ceil(n / rows_per_slice))
+    if wanted <= 1:
+        return []
+    shares = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
+    found = (
+        values.sample(fraction=min(1.0, CUT_SAMPLE / n), seed=1)
+        .agg(F.expr(f"percentile_approx(x, array({shares}), {10 * MAX_SLICES})").alias("cuts"))
+        .first()["cuts"]
+    )
+    return sorted({cut for cut in found or [] if math.isfinite(cut)})
 
 
 def with_slice(df: DataFrame, x: str, cuts: Sequence[float]) -> DataFrame:
@@ -90,8 +100,8 @@ def group_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) per group: ``n`` and the array ``q``.
 
-    On large input only the slices holding a wanted rank are ordered; of all
-    others just the size is needed.
+    On large input the sizes of all slices are counted first. They tell which
+    slices hold a wanted rank, and only the rows of those are shuffled and ordered.
     """
     keys = list(keys)
     rows = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias(x))
@@ -105,11 +115,12 @@ def group_quantiles(
     needed = F.array(*[F.floor(r) for r in ranks], *[F.ceil(r) for r in ranks])
     inside = lambda rank: (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_size"))
     sliced = with_slice(rows, x, cuts)
-    wanted = slice_offsets(sliced, keys, F.count(F.lit(1))).where(F.exists(needed, inside))
+    offsets = slice_offsets(sliced, keys, F.count(F.lit(1)))
+    wanted = broadcast_if_small(offsets.where(F.exists(needed, inside)))
     values = (
-        sliced.groupBy(*keys, "_slice", x)
+        sliced.join(wanted, [*keys, "_slice"])
+        .groupBy(*keys, "_slice", "_before", "total", x)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .join(wanted, [*keys, "_slice"])
     )
     part = Window.partitionBy(*keys, "_slice").orderBy(x)
     end = F.col("_before") + F.sum("_n").over(

@@ -19,6 +19,7 @@ from siglake.operators.ranking import (
     cumulative_counts,
     group_quantiles,
 )
+from siglake.session import broadcast_if_small
 
 NORMAL_95 = 1.96
 WHISKER = 1.5
@@ -88,13 +89,13 @@ def histogram(df: DataFrame, x: str, bins: int = 10, by: Sequence[str] = ()) ->
 
 
 def _with_box(df: DataFrame, x: str, by: Sequence[str], rows_per_slice: int) -> DataFrame:
-    quartiles = group_quantiles(df, by, x, [0.25, 0.5, 0.75], rows_per_slice)
-    return quartiles.select(
+    quartiles = group_quantiles(df, by, x, [0.25, 0.5, 0.75], rows_per_slice).select(
         *by,
         F.col("q")[0].alias("q1"),
         F.col("q")[1].alias("median"),
         F.col("q")[2].alias("q3"),
     )
+    return df.join(broadcast_if_small(quartiles), list(by))
 
 
 def _fences() -> tuple[Column, Column]:
@@ -117,7 +118,7 @@ def box_stats(
     notch = NOTCH * (F.col("q3") - F.col("q1")) / F.sqrt(F.col("n"))
     box = ["q1", "median", "q3"]
     return (
-        rows.join(_with_box(rows, x, by, rows_per_slice), list(by))
+        _with_box(rows, x, by, rows_per_slice)
         .groupBy(*by, *box)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -139,8 +140,7 @@ def box_outliers(
     rows = _values(df, by, x)
     low, high = _fences()
     beyond = (F.col(x) < low) | (F.col(x) > high)
-    joined = rows.join(_with_box(rows, x, by, rows_per_slice), list(by))
-    return joined.where(beyond).select(*by, x)
+    return _with_box(rows, x, by, rows_per_slice).where(beyond).select(*by, x)
 
 
 def letter_values(
@@ -202,7 +202,7 @@ def density_grid(
     grid = start + F.col("point") * step
     distance = (grid - F.col(x)) / F.col("bandwidth")
     kernels = F.sum(F.col("_count") * F.exp(-0.5 * distance * distance))
-    joined = counts.join(stats, list(by)) if by else counts.withColumns(
+    joined = counts.join(broadcast_if_small(stats), list(by)) if by else counts.withColumns(
         {c: stats.select(c).scalar() for c in ("n", "_min", "_max", "bandwidth")}
     )
     spread = joined.where(F.col("bandwidth") > 0).withColumn(

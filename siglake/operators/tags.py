@@ -183,6 +183,16 @@ class RuleSet:
             {**ITERATIONVARS_RULES, **(iterationvars or {})},
         )
 
+    def only(self, allowed: Sequence[str]) -> "RuleSet":
+        """The rules that feed one of the tags."""
+        keep = set(allowed)
+        return RuleSet(
+            *[
+                {tag: rules for tag, rules in category.items() if tag in keep}
+                for category in (self.parameters, self.attributes, self.iterationvars)
+            ]
+        )
+
     def types(self) -> dict[str, str]:
         """Type of each tag; the category that writes last decides."""
         found = {}
@@ -285,12 +295,11 @@ def all_tags(run_params: DataFrame, run_attrs: DataFrame, rules: RuleSet | None
     params += _hits(rules.parameters, "key", "value", Stage.PARAMETER, ROW, kinds)
     attrs = _raw("attrName", "attrValue", Stage.RAW_ATTRIBUTE, kinds)
     attrs += _hits(rules.attributes, "attrName", "attrValue", Stage.ATTRIBUTE, ROW, kinds)
+    candidates = _explode(run_params, params).unionByName(_explode(run_attrs, attrs))
     variables = _hits(rules.iterationvars, "variables", None, Stage.ITERATIONVARS, "0L", kinds)
-    candidates = (
-        _explode(run_params, params)
-        .unionByName(_explode(run_attrs, attrs))
-        .unionByName(_explode(_first_iterationvars(run_attrs), variables))
-    )
+    if variables:
+        first = _first_iterationvars(run_attrs)
+        candidates = candidates.unionByName(_explode(first, variables))
     return _evaluate(candidates, kinds)
 
 
@@ -308,22 +317,21 @@ def allowed_tags(
 def wide_tags(
     tags: DataFrame, allowed: Sequence[str], types: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """One row per file and one typed column per allowed tag; NULL where a file lacks it."""
+    """One row per file and one typed column per allowed tag; NULL where a file lacks it.
+
+    The last writer is picked per tag in the same aggregation that makes the columns.
+    """
     types = RuleSet.build().types() if types is None else types
     names = list(allowed)
-    wide = (
-        last_writer(tags.where(F.col("key").isin(names)))
-        .groupBy(SOURCE)
-        .pivot("key", names)
-        .agg(F.first("value"))
-    )
+    last = [
+        F.expr(f"max_by(value, precedence) FILTER (WHERE key = {_quoted(n)}) AS `{n}`") for n in names
+    ]
+    wide = tags.where(F.col("key").isin(names)).groupBy(SOURCE).agg(*last)
     parsed = {
         "double": to_double, "bigint": to_long, "boolean": lambda v: v.try_cast("boolean")
     }
-    typed = [
-        parsed.get(types.get(n, "string"), lambda v: v)(F.col(f"`{n}`")).alias(n) for n in names
-    ]
-    return wide.select(SOURCE, *typed)
+    typed = {n: parsed[types[n]](F.col(f"`{n}`")) for n in names if types.get(n) in parsed}
+    return wide.withColumns(typed)
 
 
 def tag_rows(facts: DataFrame, wide: DataFrame) -> DataFrame:

@@ -412,7 +412,7 @@ def heat_grid_by(spark, d):
 
 
 @register("""
-SELECT trunc(statMin / 300) * 300 AS bin, count(*) AS n FROM f_statistic GROUP BY 1""")
+SELECT trunc(statMin / 300) * 300 + 0.0 AS bin, count(*) AS n FROM f_statistic GROUP BY 1""")
 def truncated_bins(spark, d):
     """Bins cut toward zero."""
     bins = fixtures.statistics(spark, d).select(truncated_bin(F.col("statMin"), 300.0).alias("bin"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Times are compared as UTC microseconds. Joins carry no broadcast hints: the
-# optimizer broadcasts a side whose measured size is under the threshold and
-# otherwise runs a shuffle join whose oversized partitions it splits.
+# Times are compared as UTC microseconds. A join is broadcast only once the size
+# of the small side is known (``broadcast_if_small``, or the optimizer's own
+# threshold); all others are shuffle joins whose oversized partitions are split.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -24,6 +25,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MAX_BROADCAST_ROWS = 100_000
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back from there."""
     spark = df.sparkSession
@@ -36,3 +40,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="siglake-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Settle a derived table, and let joins broadcast it if it has few rows.
+
+    For one row per group, file or category, joined to all rows: the optimizer
+    only learns that such a table is small after it has shuffled the other side.
+    The table is written before it is counted, so it is not computed twice.
+    """
+    settled = checkpointed(df)
+    return F.broadcast(settled) if settled.count() <= max_rows else settled

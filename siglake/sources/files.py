@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siglake.functions.text import Pattern
 from siglake.model import FRAME, ROW, SOURCE
+from siglake.session import broadcast_if_small
 
 _LITERAL_RUN = re.compile(r"[a-zA-Z0-9_\-/]+")
 SAMPLE_SEED = 23
@@ -87,40 +88,44 @@ def sample_rows(
 ) -> DataFrame:
     """Sample without replacement; ``exact`` keeps round(fraction * rows) rows of each frame.
 
-    Rows are ordered by a hash, which spreads evenly over 65536 buckets. Bucket
-    sizes tell the bucket in which the quota of a frame is used up: rows of
-    earlier buckets are kept unseen, and only that one bucket is ordered.
+    Rows are ordered by a hash, an even spread over [0, 1). The last row of the
+    sample has a hash near the fraction, so buckets halve in width towards it:
+    their sizes tell in which one the quota of a frame is used up, and with n rows
+    that is a bucket of about the root of n. Only that bucket is ordered. Only then
+    are whole rows read, and none of them is shuffled.
     """
     if not exact:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row).cast("string")))
-    rows = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 4))
+    hashed = df.select(frame, F.col(row).alias("_at"), digest.alias("_digest"))
+    place = F.conv(F.substring("_digest", 1, 12), 16, 10).cast("double") / F.lit(2.0**48)
+    distance = place - F.lit(float(fraction))
+    halvings = F.floor(-F.log2(F.greatest(F.abs(distance), F.lit(2.0**-60))))
+    bucket = F.when(distance < 0, halvings - 100).otherwise(100 - halvings)
+    hashed = hashed.withColumn("_bucket", bucket)
     group = Window.partitionBy(frame)
     up_to = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Half-way cases go to the even number, as Python's round() does.
     quota = F.bround(F.lit(float(fraction)) * F.sum("_size").over(group)).cast("bigint")
-    last = (
-        rows.groupBy(frame, "_bucket")
+    left = F.col("_quota") - F.col("_upto") + F.col("_size")
+    cut = (
+        hashed.groupBy(frame, "_bucket")
         .agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_upto", F.sum("_size").over(up_to))
         .withColumn("_quota", quota)
-        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_size") < F.col("_quota")))
-        .select(
-            F.col(frame),
-            F.col("_bucket").alias("_last"),
-            (F.col("_quota") - F.col("_upto") + F.col("_size")).alias("_left"),
-        )
+        .withColumn("_left", left)
+        .where((F.col("_left") > 0) & (F.col("_upto") >= F.col("_quota")))
+        .select(frame, "_bucket", "_left")
     )
-    joined = rows.join(last, frame)
-    whole = joined.where(F.col("_bucket") < F.col("_last"))
-    order = Window.partitionBy(frame).orderBy("_digest", row)
-    cut = (
-        joined.where(F.col("_bucket") == F.col("_last"))
+    order = Window.partitionBy(frame).orderBy("_digest", "_at")
+    last = (
+        hashed.join(broadcast_if_small(cut), [frame, "_bucket"])
         .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= F.col("_left"))
-        .drop("_rank")
+        .where(F.col("_rank") == F.col("_left"))
+        .select(frame, F.struct("_digest", "_at").alias("_last"))
     )
-    return whole.unionByName(cut).select(*df.columns)
+    chosen = F.struct(digest.alias("_digest"), F.col(row).alias("_at")) <= F.col("_last")
+    return df.join(broadcast_if_small(last), frame).where(chosen).select(*df.columns)
 
 
 def sample_then_filter(

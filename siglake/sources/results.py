@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +38,15 @@ class Results:
     run_attrs: DataFrame | None = None
     run_params: DataFrame | None = None
     runs: DataFrame | None = None
-    extra: dict[str, DataFrame] = field(default_factory=dict)
+
+    @cached_property
+    def metadata_size(self) -> tuple[int, int]:
+        """Number of rows and bytes of text of the run attributes and parameters."""
+        texts = self.run_attrs.select(F.col("attrValue").alias("text")).unionByName(
+            self.run_params.select(F.col("value").alias("text"))
+        )
+        size = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)))
+        return tuple(size.first())
 
 
 def read_sqlite(spark: SparkSession, paths: Sequence[str], table: str, **options) -> DataFrame:
