@@ -76,9 +76,33 @@ def ecdf(
     return counts.select(*by, x, (F.col("cumulative") / F.col("total")).alias("proportion"))
 
 
-def histogram(df: DataFrame, x: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
+def automatic_bins(rows: DataFrame, x: str, rows_per_slice: int = ROWS_PER_SLICE) -> int:
+    """Bins as numpy's ``auto`` counts them.
+
+    The finer of Sturges' and Freedman and Diaconis' rules, the latter bounded by twice the root of n.
+    """
+    rows = _values(rows, (), x)
+    found = group_quantiles(rows, [], x, [0.0, 0.25, 0.75, 1.0], rows_per_slice).first()
+    if not found or not found["n"]:
+        return 1
+    n, (low, q1, q3, high) = found["n"], found["q"]
+    span = high - low
+    by_quartiles = max(2 * (q3 - q1) / n ** (1 / 3), span / math.sqrt(n) / 2)
+    width = min(by_quartiles, span / (math.log2(n) + 1))
+    return math.ceil(span / width) if width else 1
+
+
+def histogram(
+    df: DataFrame,
+    x: str,
+    bins: int | str = "auto",
+    by: Sequence[str] = (),
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
     """Counts over equal bins spanning all values; the last bin holds its upper edge."""
     rows = _values(df, by, x)
+    if bins == "auto":
+        bins = automatic_bins(rows, x, rows_per_slice)
     low, high = rows.select(F.min(x)).scalar(), rows.select(F.max(x)).scalar()
     width = (high - low) / F.lit(float(bins))
     # Equal values only: a single bin of the whole count.

@@ -78,6 +78,29 @@ def with_source_file(df: DataFrame, column: str = SOURCE) -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
+def _bucket_sql(fraction: float, digest: str, halvings: int = 40) -> str:
+    """Buckets of a hex digest in ascending order, halving in width towards the fraction.
+
+    Most rows are far from it, and placed by the first comparisons.
+    """
+    size = 2**128
+    middle = min(int(fraction * size), size - 1)
+    below, above = [], []
+    for k in range(1, halvings + 1):
+        low, high = middle - (size >> k), middle + (size >> k)
+        if low >= 0:
+            below.append(f"WHEN {digest} < '{low:032x}' THEN {k - 100}")
+        if high < size:
+            above.append(f"WHEN {digest} >= '{high:032x}' THEN {100 - k}")
+    nearest = halvings + 1
+
+    def chain(cases: list[str], rest: int) -> str:
+        return f"CASE {' '.join(cases)} ELSE {rest} END" if cases else str(rest)
+
+    left, right = chain(below, nearest - 100), chain(above, 100 - nearest)
+    return f"CASE WHEN {digest} < '{middle:032x}' THEN {left} ELSE {right} END"
+
+
 def sample_rows(
     df: DataFrame,
     fraction: float,
@@ -96,13 +119,9 @@ def sample_rows(
     """
     if not exact:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row).cast("string")))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(row).cast("string")))
     hashed = df.select(frame, F.col(row).alias("_at"), digest.alias("_digest"))
-    place = F.conv(F.substring("_digest", 1, 12), 16, 10).cast("double") / F.lit(2.0**48)
-    distance = place - F.lit(float(fraction))
-    halvings = F.floor(-F.log2(F.greatest(F.abs(distance), F.lit(2.0**-60))))
-    bucket = F.when(distance < 0, halvings - 100).otherwise(100 - halvings)
-    hashed = hashed.withColumn("_bucket", bucket)
+    hashed = hashed.withColumn("_bucket", F.expr(_bucket_sql(fraction, "_digest")))
     group = Window.partitionBy(frame)
     up_to = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Half-way cases go to the even number, as Python's round() does.

@@ -87,6 +87,17 @@ def test_histogram(df, values):
     assert [(r.bin, r.n) for r in summary.histogram(same, "x", 5).collect()] == [(0, 1)]
 
 
+@pytest.mark.parametrize("size", SLICES)
+def test_automatic_bins(df, values, size):
+    for group in values:
+        expected = len(np.histogram_bin_edges(values[group], "auto")) - 1
+        got = summary.automatic_bins(df.where(f"g = '{group}'"), "x", size)
+        assert got == expected, group
+    assert summary.automatic_bins(df.where("false"), "x") == 1
+    counts = summary.histogram(df, "x", by=["g"]).agg(F.sum("n")).first()[0]
+    assert counts == sum(len(v) for v in values.values())
+
+
 def test_lines_and_counts(df, values):
     lines = {r.g: r for r in summary.line_summary(df, "g", "x").collect()}
     for group, data in values.items():
