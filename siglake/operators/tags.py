@@ -83,10 +83,6 @@ def _assigned_sum(pattern: str) -> list[Rule]:
     return [Rule(pattern, assigned_seconds, "double")]
 
 
-_SERVICE = "*.node[*].middleware."
-_CP = _SERVICE + "CpService."
-_MITIGATION = _CP + "RedundancyMitigation_"
-
 # Tag names and the parameter names they are read from.
 PARAMETER_RULES: Rules = {
     "v2x_rate": _number("**.vehicle_rate"),
@@ -94,25 +90,25 @@ PARAMETER_RULES: Rules = {
     "cp_rate": _number("**.cp_rate"),
     "ca_rate": _number("**.ca_rate"),
     "dcc": _unquoted("**.vanetza[*].dcc.typename"),
-    "gen_rule": _unquoted(_CP + "generationRule"),
-    "red_mit": _unquoted(_MITIGATION + "Method"),
-    "w_red": _unquoted(_MITIGATION + "W_Redundancy"),
-    "n_red": _unquoted(_MITIGATION + "N_Redundancy"),
-    "p_red": _unquoted(_MITIGATION + "P_Redundancy"),
-    "s_red": _unquoted(_MITIGATION + "S_Redundancy"),
-    "wd_red": _unquoted(_MITIGATION + "WD_Redundancy"),
+    "gen_rule": _unquoted("*.node[*].middleware.CpService.generationRule"),
+    "red_mit": _unquoted("*.node[*].middleware.CpService.RedundancyMitigation_Method"),
+    "w_red": _unquoted("*.node[*].middleware.CpService.RedundancyMitigation_W_Redundancy"),
+    "n_red": _unquoted("*.node[*].middleware.CpService.RedundancyMitigation_N_Redundancy"),
+    "p_red": _unquoted("*.node[*].middleware.CpService.RedundancyMitigation_P_Redundancy"),
+    "s_red": _unquoted("*.node[*].middleware.CpService.RedundancyMitigation_S_Redundancy"),
+    "wd_red": _unquoted("*.node[*].middleware.CpService.RedundancyMitigation_WD_Redundancy"),
     "traciStart": [Rule(re.escape("*.traci.core.startTime"), seconds, "double")],
     "warmup": _assigned_sum(r"\$warmup-period=.*?s"),
     "limit": _assigned_sum(r"\$limit=.*?s"),
     "queueLength": _integer("**.vanetza[*].dcc.queueLength"),
-    "dcc_profile": _integer(_CP + "dccProfile"),
+    "dcc_profile": _integer("*.node[*].middleware.CpService.dccProfile"),
     "ca_weight": _number("*.ca_weight"),
     "cp_weight": _number("*.cp_weight"),
-    "scheduler_parameter_alpha": _number(_SERVICE + "facDcc.schedulerParameterAlpha"),
-    "cam_length": _integer(_SERVICE + "ExampleServiceCam.packetLength"),
-    "cpm_length": _integer(_SERVICE + "ExampleServiceCpm.packetLength"),
-    "wfq_scheduler": _truthy(_SERVICE + "facDcc.useWfqScheduler"),
-    "wfq_selector": _truthy(_SERVICE + "facDcc.useWfqSelector"),
+    "scheduler_parameter_alpha": _number("*.node[*].middleware.facDcc.schedulerParameterAlpha"),
+    "cam_length": _integer("*.node[*].middleware.ExampleServiceCam.packetLength"),
+    "cpm_length": _integer("*.node[*].middleware.ExampleServiceCpm.packetLength"),
+    "wfq_scheduler": _truthy("*.node[*].middleware.facDcc.useWfqScheduler"),
+    "wfq_selector": _truthy("*.node[*].middleware.facDcc.useWfqSelector"),
     "pathloss": _unquoted("*.radioMedium.pathLossType"),
 }
 

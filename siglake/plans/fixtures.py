@@ -151,9 +151,9 @@ def events(spark, d) -> DataFrame:
     return table(spark, d, "events")
 
 
-def results(spark: SparkSession, d: str, *tables: str) -> Results:
-    """Run metadata, and the named ones of ``signals``, ``scalars`` and ``statistics``."""
-    configure(spark)
+@cache
+def _results(application: str, d: str, tables: tuple[str, ...]) -> Results:
+    spark = SparkSession.active()
     measured = {"signals": signals, "scalars": scalars, "statistics": statistics}
     return Results(
         run_attrs=run_attrs(spark, d),
@@ -162,6 +162,15 @@ def results(spark: SparkSession, d: str, *tables: str) -> Results:
     )
 
 
+def results(spark: SparkSession, d: str, *tables: str) -> Results:
+    """Run metadata, and the named ones of ``signals``, ``scalars`` and ``statistics``.
+
+    One object for all queries of an application, as for a user with many queries.
+    """
+    configure(spark)
+    return _results(spark.sparkContext.applicationId, d, tables)
+
+
 _PARAMETERS_SQL = """
 SELECT '{file}' || n_nationkey || '.vec' AS source_file, n_nationkey::BIGINT AS runId, r._row,
   CASE r._row WHEN 1 THEN '**.vehicle_rate' WHEN 2 THEN '**.vanetza[*].dcc.typename'

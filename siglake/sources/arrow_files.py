@@ -109,9 +109,13 @@ def read_arrow(spark: SparkSession, paths: list[str], **options) -> DataFrame:
     return nan_to_null(as_frames(df))
 
 
-def read_parquet_frames(spark: SparkSession, *paths: str) -> DataFrame:
-    """Saved datasets, united by column name; a dataset without frames is one per file."""
-    df = spark.read.option("mergeSchema", "true").parquet(*paths)
+def read_parquet_frames(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
+    """Saved datasets, united by column name; a dataset without frames is one per file.
+
+    ``tolerant`` passes over files that cannot be read.
+    """
+    options = {"mergeSchema": "true", "ignoreCorruptFiles": str(tolerant).lower()}
+    df = spark.read.options(**options).parquet(*paths)
     if FRAME not in df.columns:
         df = df.withColumn(FRAME, F.col("_metadata.file_path"))
     return nan_to_null(df)

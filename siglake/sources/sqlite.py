@@ -1,6 +1,7 @@
 """Spark data source for SQLite result files.
 
 A file is read by one task, or by several over row id ranges when it is large.
+The driver looks at file sizes only; each task finds the bounds of its range.
 A file that cannot be read yields a single row that holds only its path and the
 message in ``ingest_error``.
 """
@@ -8,6 +9,7 @@ message in ``ingest_error``.
 from __future__ import annotations
 
 import json
+import math
 import os
 import sqlite3
 from collections.abc import Iterator
@@ -22,6 +24,7 @@ from siglake.model import SCHEMAS
 
 FORMAT = "sqlite_results"
 RUN_PARAMETERS = "runParameters"
+METADATA = ("run", "runAttr", RUN_PARAMETERS)  # few rows, however large the file
 BATCH_ROWS = 50_000
 
 # Parameter table by file version: exactly one of the two is present.
@@ -37,10 +40,10 @@ BOOKKEEPING = "source_file string, ingest_error string"
 
 
 @dataclass
-class RowRange(InputPartition):
+class FilePart(InputPartition):
     path: str
-    first: int | None = None
-    last: int | None = None
+    part: int = 0
+    parts: int = 1
 
 
 def open_readonly(path: str) -> sqlite3.Connection:
@@ -72,44 +75,33 @@ def table_query(connection: sqlite3.Connection, table: str, wanted: list[str]) -
     return f"SELECT {', '.join(columns)} FROM {table}"
 
 
+def row_range(
+    connection: sqlite3.Connection, table: str, part: int, parts: int
+) -> tuple[int, int]:
+    """First and last row id of one of several equal ranges; empty for an empty table."""
+    low, high = connection.execute(f"SELECT min(rowid), max(rowid) FROM {table}").fetchone()
+    if low is None:
+        return 1, 0
+    span = high - low + 1
+    return low + span * part // parts, low + span * (part + 1) // parts - 1
+
+
 class SqliteReader(DataSourceReader):
-    def __init__(
-        self, schema: StructType, table: str, paths: list[str], rows: int, split_bytes: int
-    ):
+    def __init__(self, schema: StructType, table: str, paths: list[str], split_bytes: int):
         self.schema = schema
         self.table = table
         self.paths = paths
-        self.rows = rows
         self.split_bytes = split_bytes
 
-    def partitions(self) -> list[RowRange]:
-        ranges = []
+    def partitions(self) -> list[FilePart]:
+        found = []
         for path in self.paths:
-            ranges += self.row_ranges(path)
-        return ranges
-
-    def row_ranges(self, path: str) -> list[RowRange]:
-        whole = [RowRange(path)]
-        if self.table == RUN_PARAMETERS or not os.path.exists(path):
-            return whole
-        if os.path.getsize(path) < self.split_bytes:
-            return whole
-        try:
-            connection = open_readonly(path)
-            low, high = connection.execute(
-                f"SELECT min(rowid), max(rowid) FROM {self.table}"
-            ).fetchone()
-            connection.close()
-        except sqlite3.Error:
-            return whole
-        if low is None:
-            return whole
-        return [
-            RowRange(path, first, min(first + self.rows - 1, high))
-            for first in range(low, high + 1, self.rows)
-        ]
-
-    def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
+            size = os.path.getsize(path) if os.path.exists(path) else 0
+            parts = 1 if self.table in METADATA else max(1, math.ceil(size / self.split_bytes))
+            found += [FilePart(path, part, parts) for part in range(parts)]
+        return found
+
+    def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
         names = [f.name for f in self.schema]
         types = {f.name: ARROW_TYPES[f.dataType.simpleString()] for f in self.schema}
 
@@ -124,9 +116,9 @@ class SqliteReader(DataSourceReader):
             connection = open_readonly(partition.path)
             query = table_query(connection, self.table, data)
             bounds = ()
-            if partition.first is not None:
+            if partition.parts > 1:
                 query += " WHERE rowid BETWEEN ? AND ?"
-                bounds = (partition.first, partition.last)
+                bounds = row_range(connection, self.table, partition.part, partition.parts)
             cursor = connection.execute(query, bounds)
             while rows := cursor.fetchmany(BATCH_ROWS):
                 columns = dict(zip(data, map(list, zip(*rows))))
@@ -152,6 +144,5 @@ class SqliteResults(DataSource):
             schema,
             self.options["table"],
             json.loads(self.options["paths"]),
-            int(self.options.get("rowsPerPartition", 5_000_000)),
             int(self.options.get("splitBytes", 256 << 20)),
         )

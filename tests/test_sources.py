@@ -67,8 +67,10 @@ def test_rows_are_selected_by_pattern(spark):
 def test_one_partition_per_file_or_row_range(spark, folder):
     paths = [str(folder / "runs" / n) for n in ("a.vec", "b.vec")]
     assert results.read_sqlite(spark, paths, "vectorData").rdd.getNumPartitions() == 2
-    split = results.read_sqlite(spark, paths, "vectorData", splitBytes=1, rowsPerPartition=10)
-    assert split.rdd.getNumPartitions() == 4
+    third = (folder / "runs" / "b.vec").stat().st_size // 3 + 1
+    split = results.read_sqlite(spark, paths, "vectorData", splitBytes=third)
+    assert split.rdd.getNumPartitions() == 6
+    assert results.read_sqlite(spark, paths, "run", splitBytes=third).rdd.getNumPartitions() == 2
     assert split.count() == 35 and split.select("source_file", "rowId").distinct().count() == 35
 
 
@@ -153,3 +155,12 @@ def test_saving(spark, tmp_path):
     assert not (tmp_path / "none").exists()
     with pytest.raises(ValueError):
         sinks.save(df, whole, "hdf")
+
+
+def test_saved_frames_of_unlike_width(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a"))
+    spark.range(2).selectExpr("id", "double('nan') AS x").coalesce(1).write.parquet(str(tmp_path / "b"))
+    next((tmp_path / "b").glob("*.parquet")).with_name("bad.parquet").write_bytes(b"no parquet")
+    df = arrow_files.read_parquet_frames(spark, str(tmp_path / "a"), str(tmp_path / "b"), tolerant=True)
+    assert df.count() == 5 and df.where("x IS NOT NULL").count() == 0
+    assert df.where("_frame LIKE '%/b/%'").select("_frame").distinct().count() == 1

@@ -184,9 +184,9 @@ def test_sum_over_count(spark):
 
 
 def test_small_steps(spark):
-    df = spark.createDataFrame([("/x/local_disturb/lossy_1/run-l3_4/a.db", "ppe_7_12_sum")], "f string, v string")
-    got = metrics.path_features(df, "f", r".*/(?P<scenario>[a-z]*)_(?P<mc>[a-z]*)/(?P<loss>[a-z]*).*/.*-(?P<layer>[a-z,0-9,_]*)/.*")
-    assert got.select("scenario", "mc", "loss", "layer").first() == ("local", "disturb", "lossy", "l3_4")
+    df = spark.createDataFrame([("/x/city_dense/run-12/a.db", "ppe_7_12_sum")], "f string, v string")
+    got = metrics.path_features(df, "f", r"/(?P<place>[a-z]+)_(?P<load>[a-z]+)/run-(?P<run>[0-9]+)(?P<rest>x)?/")
+    assert got.select("place", "load", "run", "rest").first() == ("city", "dense", "12", None)
     row = df.select(
         metrics.last_field(F.col("v")), metrics.numbered_field(F.col("v"), 2),
         metrics.numbered_field(F.col("v"), 3), metrics.relabel(F.col("v"), "ppe", "no"),
