@@ -39,6 +39,10 @@ SCHEMAS = {
     ),
 }
 
+DATA_COLUMNS = sorted(
+    {column.split()[0] for schema in SCHEMAS.values() for column in schema.split(", ")}
+)
+
 # Order of the columns a statistic query may select.
 STATISTIC_COLUMNS = (
     "statId", "runId", "moduleName", "statName", "isHistogram", "isWeighted", "statCount",

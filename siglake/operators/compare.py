@@ -79,10 +79,14 @@ def frames_diff(
 
 
 def rows_differ(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows on one side only, regardless of order; ``side`` tells which."""
-    right = right.select(*left.columns)
-    return (
-        left.exceptAll(right)
-        .withColumn("side", F.lit("left"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+    """Rows with more copies on one side, regardless of order: the ``side`` and ``n`` surplus copies."""
+    columns = left.columns
+    surplus = (
+        left.withColumn("_copies", F.lit(1))
+        .unionByName(right.select(*columns).withColumn("_copies", F.lit(-1)))
+        .groupBy(*columns)
+        .agg(F.sum("_copies").alias("_copies"))
+        .where(F.col("_copies") != 0)
     )
+    side = F.when(F.col("_copies") > 0, "left").otherwise("right")
+    return surplus.select(*columns, side.alias("side"), F.abs("_copies").alias("n"))

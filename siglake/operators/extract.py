@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siglake.functions.text import Pattern
-from siglake.model import FRAME, SOURCE
+from siglake.model import DATA_COLUMNS, FRAME, SOURCE
 from siglake.operators import query, tags
 from siglake.operators.columns import convert_columns
 from siglake.sources.results import Results
@@ -42,22 +42,29 @@ DEFAULTS = Options()
 MAX_BROADCAST_BYTES = 256 << 20
 
 
-def file_tags(results: Results, options: Options = DEFAULTS) -> DataFrame:
-    """The allowed tags of every file, one row per file."""
+def file_tags(
+    results: Results, options: Options = DEFAULTS, data_columns: Sequence[str] = ()
+) -> DataFrame:
+    """The allowed tags of every file, one row per file.
+
+    A tag named like a data column is left out where no run has it, so that
+    conditions on the column still reach the scan.
+    """
     rules = options.rules or tags.RuleSet.build()
     allowed = tags.allowed_tags(options.base_tags, options.additional_tags, options.minimal_tags)
+    metadata, types = results.metadata, rules.types()
+    unused = set(DATA_COLUMNS).intersection(data_columns).difference(metadata.data_columns, types)
+    allowed = [tag for tag in allowed if tag not in unused]
     found = tags.all_tags(results.run_params, results.run_attrs, rules.only(allowed))
-    return tags.wide_tags(found, allowed, rules.types())
+    wide = tags.wide_tags(found, allowed, types)
+    # A tag is read from the metadata; its column takes up to 16 bytes beside the text.
+    size = metadata.text_bytes + 16 * metadata.rows * len(allowed)
+    return F.broadcast(wide) if size <= MAX_BROADCAST_BYTES else wide
 
 
 def finish(rows: DataFrame, results: Results, options: Options) -> DataFrame:
     """Tag and convert selected rows, and make each file a frame."""
-    wide = file_tags(results, options)
-    metadata_rows, text_bytes = results.metadata_size
-    # A tag is read from the metadata; its column takes up to 16 bytes beside the text.
-    if text_bytes + 16 * metadata_rows * len(wide.columns) <= MAX_BROADCAST_BYTES:
-        wide = F.broadcast(wide)
-    tagged = tags.tag_rows(rows, wide)
+    tagged = tags.tag_rows(rows, file_tags(results, options, rows.columns))
     if options.include_filename:
         tagged = tagged.withColumn("filename", F.col(SOURCE))
     converted = convert_columns(tagged, options.categorical, options.numerical)

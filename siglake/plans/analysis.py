@@ -454,8 +454,9 @@ def frames_diff(spark, d):
 WITH a AS (SELECT source_file, moduleName, value FROM f_signal WHERE vectorName = 'cbr:vector'),
 b AS (SELECT source_file, moduleName, round(value, 1) AS value FROM f_signal
       WHERE vectorName = 'cbr:vector')
-SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
-UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+SELECT *, count(*) AS n FROM (
+  SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+  UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) GROUP BY ALL""")
 def rows_differ(spark, d):
     """Measured against rounded values, regardless of row order."""
     left = _axis(spark, d, "cbr:vector").select("source_file", "moduleName", "value")

@@ -6,11 +6,13 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.model import ROW, SOURCE, nan_to_null
+from siglake.model import DATA_COLUMNS, ROW, SOURCE, nan_to_null
+from siglake.session import broadcast_if_small
 from siglake.sources.sqlite import FORMAT, RUN_PARAMETERS, SqliteResults
 
 # Column to order a written table by, so that a query by name reads few row groups.
@@ -24,6 +26,12 @@ SORTED_BY = {
 }
 
 
+class Metadata(NamedTuple):
+    rows: int
+    text_bytes: int
+    data_columns: list[str]  # names of data columns that some run uses as a key
+
+
 @dataclass(frozen=True)
 class Results:
     """The result tables of any number of files.
@@ -40,13 +48,18 @@ class Results:
     runs: DataFrame | None = None
 
     @cached_property
-    def metadata_size(self) -> tuple[int, int]:
-        """Number of rows and bytes of text of the run attributes and parameters."""
-        texts = self.run_attrs.select(F.col("attrValue").alias("text")).unionByName(
-            self.run_params.select(F.col("value").alias("text"))
+    def metadata(self) -> Metadata:
+        """Size of the run attributes and parameters, from one small job."""
+        rows = self.run_attrs.select(
+            F.col("attrName").alias("key"), F.col("attrValue").alias("text")
+        ).unionByName(self.run_params.select("key", F.col("value").alias("text")))
+        return Metadata(
+            *rows.agg(
+                F.count(F.lit(1)),
+                F.coalesce(F.sum(F.octet_length("text")), F.lit(0)),
+                F.collect_set(F.when(F.col("key").isin(*DATA_COLUMNS), F.col("key"))),
+            ).first()
         )
-        size = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)))
-        return tuple(size.first())
 
 
 def read_sqlite(spark: SparkSession, paths: Sequence[str], table: str, **options) -> DataFrame:
@@ -113,8 +126,9 @@ def ingest(spark: SparkSession, paths: Sequence[str], target: str, **options) ->
             df = df.join(bad_files, SOURCE, "left_anti")
         return df.withColumn(ROW, F.col(row)).drop("rowId") if row in df.columns else df
 
+    names = broadcast_if_small(rows("vector").select(SOURCE, "vectorId", "moduleName", "vectorName"))
     tables = {
-        "signals": join_signals(rows("vector"), rows("vectorData")),
+        "signals": join_signals(names, rows("vectorData")),
         "scalars": rows("scalar", "scalarId"),
         "statistics": rows("statistic", "statId"),
         "run_attrs": rows("runAttr"),

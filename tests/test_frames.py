@@ -157,7 +157,9 @@ def test_comparison(spark, df):
     assert compare.frames_diff(df, df).count() == 0
     cell, = compare.frames_diff(full, changed).collect()
     assert tuple(cell) == ("a", 2, "x", "1.0", "0.0")
-    assert rows(compare.rows_differ(full, changed), "x", "side") == [(0.0, "right"), (1.0, "left")]
+    assert rows(compare.rows_differ(full, changed), "x", "side", "n") == [(0.0, "right", 1), (1.0, "left", 1)]
+    twice = compare.rows_differ(full.unionAll(full).unionAll(full), full)
+    assert {(r.side, r.n) for r in twice.collect()} == {("left", 2)}
     with pytest.raises(ValueError):
         compare.frames_diff(df, df.drop("x"))
 

@@ -156,6 +156,27 @@ def test_extract_options(results):
     assert (df.first().filename, df.first().simtimeRaw, df.first().prefix_ord) == ("f", 300.0, 0)
 
 
+def test_conditions_after_extraction_reach_the_scan(spark, results, tmp_path):
+    results.signals.write.parquet(str(tmp_path / "signals"))
+    stored = Results(
+        signals=spark.read.parquet(str(tmp_path / "signals")),
+        run_params=results.run_params, run_attrs=results.run_attrs,
+    )
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    df = extract.extract_signal(stored, "cbr:vector", "cbr").where("moduleName = 'm1'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(moduleName,m1)" in plan and df.count() == 1
+
+
+def test_run_key_named_like_a_data_column_is_a_tag(spark, results):
+    named = Results(
+        signals=results.signals, run_params=results.run_params,
+        run_attrs=results.run_attrs.unionAll(attrs(spark, [("moduleName", "from the run")])),
+    )
+    assert named.metadata.data_columns == ["moduleName"]
+    assert extract.extract_signal(named, "cbr:vector", "cbr").first().moduleName == "from the run"
+
+
 def test_extract_scalars_like(results):
     df = extract.extract_scalars_like(results, "N_%", "ppe", "n_(?P<o>.*):(?P<k>.*)", "{k}_{o}", scalarName=True)
     row, = df.collect()
