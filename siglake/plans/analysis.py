@@ -312,9 +312,9 @@ l AS (SELECT event_type, n, median, unnest(range(1, k + 1))::INTEGER AS level FR
 r AS (SELECT event_type, value,
     row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS r FROM events),
 p AS (SELECT *, pow(0.5, level + 1) * (n - 1) AS a, (1 - pow(0.5, level + 1)) * (n - 1) AS z FROM l)
-SELECT p.event_type, p.n, round(p.median, 10) AS median, level,
-  round(any_value(lo.value) + any_value(a - floor(a)) * (any_value(lo1.value) - any_value(lo.value)), 10) AS low,
-  round(any_value(hi.value) + any_value(z - floor(z)) * (any_value(hi1.value) - any_value(hi.value)), 10) AS high
+SELECT p.event_type, p.n, round(p.median, 12) AS median, level,
+  round(any_value(lo.value) + any_value(a - floor(a)) * (any_value(lo1.value) - any_value(lo.value)), 12) AS low,
+  round(any_value(hi.value) + any_value(z - floor(z)) * (any_value(hi1.value) - any_value(hi.value)), 12) AS high
 FROM p JOIN r lo ON lo.event_type = p.event_type AND lo.r = floor(a)::BIGINT
 JOIN r lo1 ON lo1.event_type = p.event_type AND lo1.r = ceil(a)::BIGINT
 JOIN r hi ON hi.event_type = p.event_type AND hi.r = floor(z)::BIGINT
@@ -322,8 +322,8 @@ JOIN r hi1 ON hi1.event_type = p.event_type AND hi1.r = ceil(z)::BIGINT
 GROUP BY p.event_type, p.n, p.median, level""")
 def letter_values(spark, d):
     letters = summary.letter_values(fixtures.events(spark, d), "value", ["event_type"])
-    # Ten digits: interpolated hundredths often end in a 5 further up.
-    return letters.withColumns({c: F.round(c, 10) for c in ("median", "low", "high")})
+    # Interpolated hundredths often end in a 5 further up.
+    return rounded(letters, "median", "low", "high", digits=12)
 
 
 @register("""
