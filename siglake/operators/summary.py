@@ -128,12 +128,14 @@ def _fences() -> tuple[Column, Column]:
 
 
 def box_stats(
-    df: DataFrame, x: str, by: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, x: str, by: Sequence[str] = (), rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Quartiles, mean, notch, whiskers at the last data within 1.5 IQR, and number of outliers.
 
     The outliers themselves are rows of ``box_outliers``.
     """
+    if not by:
+        return box_stats(df.withColumn("_all", F.lit(1)), x, ["_all"], rows_per_slice).drop("_all")
     rows = _values(df, by, x)
     low, high = _fences()
     value = F.col(x)
@@ -158,9 +160,11 @@ def box_stats(
 
 
 def box_outliers(
-    df: DataFrame, x: str, by: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, x: str, by: Sequence[str] = (), rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """The values beyond the whiskers, one per row."""
+    if not by:
+        return box_outliers(df.withColumn("_all", F.lit(1)), x, ["_all"], rows_per_slice).drop("_all")
     rows = _values(df, by, x)
     low, high = _fences()
     beyond = (F.col(x) < low) | (F.col(x) > high)
@@ -168,7 +172,7 @@ def box_outliers(
 
 
 def letter_values(
-    df: DataFrame, x: str, by: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, x: str, by: Sequence[str] = (), rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Boxes of a boxen plot: quantiles at tails of 1/4, 1/8, ... down to about 5 values each.
 

@@ -45,6 +45,16 @@ def test_box_stats(df, values, size):
         assert sorted(r.x for r in outliers if r.g == group) == sorted(beyond.tolist())
 
 
+@pytest.mark.parametrize("size", SLICES)
+def test_boxes_of_everything(df, values, size):
+    hot = df.where("g = 'hot'")
+    box = summary.box_stats(hot, "x", rows_per_slice=size).first()
+    assert box.median == pytest.approx(np.median(values["hot"])) and "_all" not in box
+    assert summary.box_outliers(hot, "x", rows_per_slice=size).count() == box.outliers
+    inner = summary.letter_values(hot, "x", rows_per_slice=size).where("level = 1").first()
+    assert (inner.low, inner.high) == pytest.approx((box.q1, box.q3))
+
+
 def test_whiskers_stop_at_the_box(spark):
     rows = [("a", v) for v in (0.0, 0.0, 0.0, 0.0, 1.0, 1.0, 1.0, 100.0)]
     df = spark.createDataFrame(rows, "g string, x double")
