@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,20 +29,36 @@ def configure(spark: SparkSession) -> SparkSession:
 MAX_BROADCAST_ROWS = 100_000
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data: ``spark.checkpoint.dir``, or one made up for a local session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="siglake-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back from there."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="siglake-checkpoint-")
-        context.setCheckpointDir(folder)
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    The optimizer then plans with the table's real size in bytes, and broadcasts it
+    only below its own threshold.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/siglake-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Settle a derived table, and let joins broadcast it if it has few rows.
 
