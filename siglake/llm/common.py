@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,26 @@ def filled(text: str | Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text in order; none for a missing text."""
-    return F.filter(F.split(F.trim(F.translate(text, SPACES[1:], " " * 5)), " +"), lambda w: w != "")
+    spaced = F.trim(F.translate(text, SPACES[1:], " " * 5))
+    return F.when(F.coalesce(spaced, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " +"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that later filters and expressions read and never compute anew."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """The name, made longer until no frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def folded(text: Column) -> Column:

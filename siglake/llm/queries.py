@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import packing
+from siglake.llm import packing, quality
 from siglake.llm.common import table
 from siglake.session import configure
 
@@ -44,3 +44,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@register()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "quality.*")
