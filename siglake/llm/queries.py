@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import packing, quality
+from siglake.llm import langid, packing, quality, secret_scan
 from siglake.llm.common import table
 from siglake.session import configure
 
@@ -31,6 +31,42 @@ def register(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def secret_scan_sql() -> str:
+    """The rules over every row's text, without a ledger."""
+    literal = lambda text: "'" + text.replace("'", "''") + "'"
+    rules = " UNION ALL ".join(
+        f"SELECT doc_id, {rank} AS rank, {literal(r.kind)} AS kind, {r.least} AS least, {r.base} AS base,"
+        f" regexp_extract_all(t, {literal(r.pattern)}, 0) AS whole,"
+        f" regexp_extract_all(t, {literal(r.pattern)}, {r.group}) AS vals,"
+        f" string_split_regex(t, {literal(r.pattern)}) AS gaps FROM texts"
+        for rank, r in enumerate(secret_scan.RULES)
+    )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+matches AS (SELECT * FROM ({rules}) WHERE len(whole) > 0),
+placed AS (
+  SELECT doc_id, rank, kind, least, base, length(vals[i]) AS n, length(whole[i]) AS w,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS s
+  FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM matches)
+),
+found AS (
+  SELECT doc_id, rank, kind, base, s, kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + w AS BIGINT) AS item
+  FROM placed WHERE n >= least
+),
+grouped AS (
+  SELECT doc_id,
+    count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(item, ',' ORDER BY s, rank) FILTER (base) AS base_items,
+    string_agg(item, ',' ORDER BY s, rank) AS spans
+  FROM found GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base_items, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts t LEFT JOIN grouped g ON t.doc_id IS NOT DISTINCT FROM g.doc_id
+"""
+
+
 @register()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of power-of-two length."""
@@ -51,3 +87,27 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "quality.*")
+
+
+@register(secret_scan_sql())
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, joined back from the ledger of its distinct texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.findings(docs, secret_scan.scan(docs))
+    base = [rule.kind for rule in secret_scan.RULES if rule.base]
+    count = lambda kind: F.size(secret_scan.of_kinds(F.col("spans"), [kind])).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.listed(secret_scan.of_kinds(F.col("spans"), base)), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@register()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a quarter of the documents is kept from learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = langid.held_out(F.col("doc_id"))
+    learnt = langid.dictionaries(docs.where(~out))
+    return langid.predict(docs.drop("lang"), learnt).select("doc_id", out.alias("held_out"), "language.*")
