@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import langid, packing, quality, secret_scan
+from siglake.llm import langid, near_dup, packing, quality, secret_scan
 from siglake.llm.common import table
 from siglake.session import configure
 
@@ -111,3 +111,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.held_out(F.col("doc_id"))
     learnt = langid.dictionaries(docs.where(~out))
     return langid.predict(docs.drop("lang"), learnt).select("doc_id", out.alias("held_out"), "language.*")
+
+
+@register()
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, on three words at 85 percent."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
