@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import langid, near_dup, packing, quality, secret_scan
+from siglake.llm import fingerprint, langid, near_dup, packing, quality, secret_scan
 from siglake.llm.common import table
 from siglake.session import configure
 
@@ -117,3 +117,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, on three words at 85 percent."""
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprint.digest(F.col("cells")).alias("fingerprint"),
+        fingerprint.digest(F.col("edited_cells")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
