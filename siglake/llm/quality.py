@@ -163,9 +163,13 @@ def judge(
     lang_col: str = "lang",
     source_col: str = "source",
     verdict: str = "quality",
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """All rows and columns of ``docs`` and a struct column ``verdict``.
 
+    ``columns``: hand on only these columns of ``docs``. Without the text among them,
+    the counts are written and each text is read once.
+
     It has n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, the rates,
     ``base_failed`` and ``kept``. A missing text counts as empty, which fails the base
     rules; missing languages or sources form a group of their own; ties share one
@@ -174,8 +178,11 @@ def judge(
     between tasks only if the fences are too many to be sent to every task.
     """
     rest = docs.drop(verdict)
+    out = [c for c in rest.columns if columns is None or c in columns]
     m, lang, source, low, high = (unused(f"_{x}", rest) for x in ("m", "lang", "source", "low", "high"))
     measured = with_once(rest, m, let(filled(text_col), lambda text: _counts(text, rules)))
+    if text_col not in out:
+        measured = written(measured.select(*{c: None for c in (*out, lang_col, source_col, m)}))
     narrow = measured.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(m).alias("m"))
     found = written(fences(narrow, rules)).toDF(lang, source, low, high)
     joined = measured.join(
@@ -185,7 +192,7 @@ def judge(
     for rate in rules.rates:
         inside &= F.col(m)[rate].between(F.col(low)[rate], F.col(high)[rate])
     judged = F.col(m).withField("kept", F.coalesce(inside, F.lit(False)))
-    return joined.select(*rest.columns, judged.alias(verdict))
+    return joined.select(*out, judged.alias(verdict))
 
 
 def kept(docs: DataFrame, rules: Rules = Rules(), **columns: str) -> DataFrame:
