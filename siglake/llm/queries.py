@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import fingerprint, langid, near_dup, packing, quality, secret_scan
+from siglake.llm import fingerprint, html_extract, langid, near_dup, packing, quality, secret_scan
 from siglake.llm.common import table
 from siglake.session import configure
 
@@ -85,7 +85,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    judged = quality.judge(table(spark, sf_dir, "documents"))
+    judged = quality.judge(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return judged.select("doc_id", "quality.*")
 
 
@@ -132,3 +132,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@register()
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
