@@ -105,13 +105,41 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _detours() -> np.ndarray:
+    """For each bucket, all buckets in an order of its own."""
+    n = REGISTERS
+    scores = _mixed(np.arange(1, n * n + 1, dtype=np.uint64) * _ODD).reshape(n, n)
+    return np.argsort(scores, axis=1, kind="stable")
+
+
+_DETOURS = _detours()
+
+
+def densified(signature: np.ndarray) -> np.ndarray:
+    """The registers, where an empty bucket takes the first filled one on its own detour.
+
+    Any two sets then agree in any register with odds equal to their similarity, small
+    sets too, whose bands would else hold few values and agree too easily.
+    """
+    filled = signature > 0
+    empty = np.flatnonzero(~filled)
+    if len(empty) in (0, len(signature)):
+        return signature
+    ways = _DETOURS[empty]
+    dense = signature.copy()
+    dense[empty] = signature[ways[np.arange(len(empty)), filled[ways].argmax(axis=1)]]
+    return dense
+
+
 def band_keys(signature: np.ndarray, settings: Settings) -> np.ndarray:
-    """A 64-bit key of each band that holds a value; the band's number is part of it."""
-    used = signature[: settings.bands * settings.rows].reshape(settings.bands, settings.rows).astype(np.uint64)
+    """A 64-bit key of each band; the band's number is part of it. None for an empty set."""
+    if not signature.any():
+        return np.empty(0, np.int64)
+    dense = densified(signature)[: settings.bands * settings.rows]
     keys = np.arange(1, settings.bands + 1, dtype=np.uint64)
-    for column in used.T:
+    for column in dense.reshape(settings.bands, settings.rows).astype(np.uint64).T:
         keys = _mixed(keys * _ODD + column)
-    return keys[used.any(axis=1)].view(np.int64)
+    return keys.view(np.int64)
 
 
 def estimates(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series, settings: Settings) -> pd.Series:
@@ -232,7 +260,7 @@ def links_of(members: DataFrame, keys: DataFrame, sets: DataFrame, settings: Set
     pairs = members.join(groups, "g").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = checkpointed(confirmed(pairs.distinct(), sets, settings))
     found = None if links.isEmpty() else components(links)
-    live, turn = members, 0
+    live, turn, paid = members, 0, True
     while True:
         labelled = live.withColumn("component", F.col("node")) if found is None else _relabelled(live, found)
         parts = labelled.groupBy("g", "component").agg(F.count("*").alias("m"))
@@ -245,7 +273,8 @@ def links_of(members: DataFrame, keys: DataFrame, sets: DataFrame, settings: Set
         counts = {r["large"]: r["n"] for r in open_groups.groupBy("large").agg(F.count("*").alias("n")).collect()}
         if not counts:
             return found
-        if turn % 4 < 3 and counts.get(True):
+        hubs_first = paid and counts.get(True)
+        if hubs_first:
             # Another hub for each large group, until most of its members are in one component.
             order = F.xxhash64("node", F.lit(turn))
             hubs = open_groups.where("large").groupBy("g").agg(F.min_by(F.struct("node", "component"), order).alias("hub"))
@@ -264,7 +293,10 @@ def links_of(members: DataFrame, keys: DataFrame, sets: DataFrame, settings: Set
         pairs = chosen.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
         fresh = checkpointed(confirmed(pairs, sets, settings))
         links = links.unionByName(fresh)
-        if not fresh.isEmpty():
+        linked = not fresh.isEmpty()
+        paid = linked or not hubs_first
+        if linked:
+            links = checkpointed(links)
             found = components(links)
         if live is None:
             return found
