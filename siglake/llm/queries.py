@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siglake.llm import fingerprint, html_extract, langid, near_dup, packing, quality, secret_scan
+from siglake.llm import (
+    fingerprint,
+    html_extract,
+    langid,
+    lattice,
+    license_scan,
+    near_dup,
+    packing,
+    quality,
+    secret_scan,
+    token_count,
+)
 from siglake.llm.common import table
 from siglake.session import configure
 
@@ -139,3 +150,76 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = html_extract.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@register()
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and whether they spell its text again."""
+    docs = table(spark, sf_dir, "documents")
+    encoded = lattice.encode(docs)
+    decoded = lattice.decode(encoded)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+@register()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of tokens of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs).select("doc_id", "n_tokens")
+
+
+def license_scan_sql() -> str:
+    """Every line and whole text against every template."""
+    literal = lambda text: "'" + text.replace("'", "''") + "'"
+    templates = ", ".join(f"({literal(a)}, {literal(b)})" for a, b in license_scan.TEMPLATES)
+    words = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+(?:\.\p{{N}}+)*')"
+    pairs = (
+        "CASE WHEN len({0}) >= 2 THEN list_distinct(list_transform(range(1, len({0})),"
+        " lambda i: {0}[i] || ' ' || {0}[i + 1])) ELSE {0} END"
+    )
+    return f"""
+WITH templates AS (
+  SELECT license, {pairs.format("w")} AS tb
+  FROM (SELECT license, {words.format("t")} AS w FROM (VALUES {templates}) v(license, t))
+),
+lines AS (
+  SELECT doc_id, unnest(list_concat([coalesce(text, '')], string_split(coalesce(text, ''), chr(10)))) AS line,
+    generate_subscripts(list_concat([coalesce(text, '')], string_split(coalesce(text, ''), chr(10))), 1) - 1 AS n
+  FROM documents
+),
+bigrams AS (SELECT doc_id, n, {pairs.format("w")} AS b FROM (SELECT doc_id, n, {words.format("line")} AS w FROM lines)),
+scored AS (
+  SELECT doc_id, n, license, max(2.0 * len(list_intersect(b, tb)) / (len(b) + len(tb))) AS dice
+  FROM bigrams JOIN templates
+    ON len(b) * {2 - license_scan.LEAST} >= len(tb) * {license_scan.LEAST} - 1e-9
+    AND len(tb) * {2 - license_scan.LEAST} >= len(b) * {license_scan.LEAST} - 1e-9 AND len(b) > 0
+  GROUP BY doc_id, n, license HAVING max(2.0 * len(list_intersect(b, tb)) / (len(b) + len(tb))) >= {license_scan.LEAST}
+),
+grouped AS (
+  SELECT doc_id, string_agg(license || ':' || n, ',' ORDER BY license, n) AS licenses,
+    first(license ORDER BY dice DESC, license) AS best, CAST(count(*) AS BIGINT) AS n_matches, round(max(dice), 6) AS dice
+  FROM scored GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(licenses, '') AS licenses, best, coalesce(n_matches, 0) AS n_matches, coalesce(dice, 0.0) AS dice
+FROM documents d LEFT JOIN grouped g ON d.doc_id = g.doc_id
+"""
+
+
+@register(license_scan_sql())
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document: licence and line, the closest licence and its coefficient."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs)
+    listed = F.transform("licenses", lambda s: F.concat_ws(":", s["license"], s["line"]))
+    return found.select(
+        "doc_id",
+        F.array_join(listed, ",").alias("licenses"),
+        license_scan.best(F.col("licenses")).alias("best"),
+        F.size("licenses").cast("long").alias("n_matches"),
+        F.round(F.coalesce(F.array_max(F.transform("licenses", lambda s: s["dice"])), F.lit(0.0)), 6).alias("dice"),
+    )
