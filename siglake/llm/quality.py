@@ -126,7 +126,7 @@ def fences(measured: DataFrame, rules: Rules) -> DataFrame:
     merged = [F.kll_merge_agg_double(r, rules.k).alias(r) for r in rules.rates]
     by_lang = groups.groupBy(F.col("lang").alias("_lang")).agg(*merged)
     overall = _bounds(groups.groupBy().agg(*merged), rules).first()
-    if overall is None or overall["n"] is None:
+    if not overall["n"]:
         return _bounds(groups, rules).select("lang", "source", "low", "high")
     total = {side: F.struct(*[F.lit(float(overall[side][r])).alias(r) for r in rules.rates]) for side in ("low", "high")}
     own, lang = _bounds(groups, rules), _bounds(by_lang, rules, "_l")
@@ -140,7 +140,8 @@ def fences(measured: DataFrame, rules: Rules) -> DataFrame:
 
 
 def _bounds(sketches: DataFrame, rules: Rules, suffix: str = "") -> DataFrame:
-    at = lambda r, q: F.kll_sketch_get_quantile_double(F.col(r), F.lit(q))
+    n = F.kll_sketch_get_n_double(rules.rates[0])
+    at = lambda r, q: F.when(n > 0, F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)))
     high, low = [], []
     for rate, slack in rules.slack:
         spread = rules.whiskers * (at(rate, 0.75) - at(rate, 0.25)) + slack
@@ -150,7 +151,7 @@ def _bounds(sketches: DataFrame, rules: Rules, suffix: str = "") -> DataFrame:
     kept = [c for c in sketches.columns if c not in rules.rates]
     return sketches.select(
         *kept,
-        F.kll_sketch_get_n_double(rules.rates[0]).alias(f"n{suffix}"),
+        n.alias(f"n{suffix}"),
         F.struct(*low).alias(f"low{suffix}"),
         F.struct(*high).alias(f"high{suffix}"),
     )
