@@ -47,7 +47,7 @@ class Settings:
     percent: int = 85
     bands: int = 32
     rows: int = 8
-    pair_factor: int = 16
+    pair_factor: int = 32
     slack: float = 6.0
 
 
@@ -295,7 +295,7 @@ def links_of(members: DataFrame, keys: DataFrame, sets: DataFrame, settings: Set
         fresh = checkpointed(confirmed(pairs, sets, settings))
         links = links.unionByName(fresh)
         linked = not fresh.isEmpty()
-        paid = linked or not hubs_first
+        paid = paid and (linked or not hubs_first)
         if linked:
             links = checkpointed(links)
             found = components(links)
