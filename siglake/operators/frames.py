@@ -2,13 +2,13 @@
 
 Group functions come in two forms. Column functions (``F.avg``, or any
 expression over aggregates) are combined before the shuffle, whatever the size
-of a group. Pandas functions need a whole group in one task, so they are only
-run once every group is known to be within ``max_group_rows``.
+of a group. Pandas functions over a whole group need it in one task; for groups of
+any size there is ``fold_groups_pandas``, whose states are merged before they move.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from siglake.model import FRAME, PART, ROW, group_keys, row_order, with_keys_present
 from siglake.operators.ranking import group_quantiles, slice_cuts
+from siglake.operators.ranking import present as numbers
 from siglake.session import broadcast_if_small
 
-MAX_GROUP_ROWS = 5_000_000
+# Groups that a task of ``fold_groups_pandas`` holds before it hands on their states.
+HELD_GROUPS = 10_000
 
 Aggregate = Callable[[Column], Column]
 
@@ -54,26 +56,13 @@ def apply_frame(df: DataFrame, function: Callable[[DataFrame], DataFrame]) -> Da
     return df.transform(function)
 
 
-def checked_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> DataFrame:
-    """The dataset, once no group is known to exceed the bound."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > max_group_rows:
-        raise ValueError(
-            f"a group by {list(keys)} has {largest} rows, over the bound of {max_group_rows} for "
-            "pandas functions; use a column function"
-        )
-    return df
-
-
 def apply_frame_pandas(
     df: DataFrame,
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
-    max_frame_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Apply a pandas function to each frame; rows arrive in their order."""
-    return apply_groups_pandas(df, [], function, schema, max_group_rows=max_frame_rows)
+    return apply_groups_pandas(df, [], function, schema)
 
 
 def _template(df: DataFrame, groups: Sequence[str], dropped: Sequence[str]) -> list[str]:
@@ -103,7 +92,7 @@ def _quantile_of_groups(df, keys, input_column, output_column, probability, acro
     groups = group_keys(keys, across_frames)
     present = with_keys_present(df, groups)
     if not slice_cuts(present, input_column):
-        exact = lambda: F.percentile(input_column, probability)
+        exact = lambda: F.percentile(numbers(input_column), probability)
         return apply_groups(df, keys, input_column, output_column, exact, across_frames)
     quantile = group_quantiles(present, groups, input_column, [probability])
     none = lambda: F.lit(None)
@@ -186,11 +175,10 @@ def aggregate_groups_pandas(
     function: Callable[[pd.Series], object],
     result_type: str = "double",
     across_frames: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``aggregate_groups`` for a function from a pandas series to a scalar."""
     groups = group_keys(keys, across_frames)
-    rows = checked_groups(with_keys_present(df, groups), groups, max_group_rows)
+    rows = with_keys_present(df, groups)
     # Spark reads the kind of a pandas UDF from its type hints.
     def aggregate(values: pd.Series) -> object:
         return function(values)
@@ -210,14 +198,99 @@ def apply_groups_pandas(
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: str,
     across_frames: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Apply a pandas function to each whole group; rows arrive in their order."""
     groups = group_keys(keys, across_frames)
     order = [c for c in (FRAME, PART, ROW) if c in df.columns]
-    rows = checked_groups(with_keys_present(df, groups), groups, max_group_rows)
+    rows = with_keys_present(df, groups)
 
     def ordered(frame: pd.DataFrame) -> pd.DataFrame:
         return function(frame.sort_values(order, ignore_index=True))
 
     return rows.groupBy(*groups).applyInPandas(ordered, schema)
+
+
+def assign_groups_pandas(
+    df: DataFrame,
+    keys: Sequence[str],
+    input_column: str,
+    output_column: str,
+    function: Callable[[pd.Series], pd.Series],
+    result_type: str = "double",
+    across_frames: bool = False,
+) -> DataFrame:
+    """A column from a function of a whole group's series to a series as long."""
+    kept = [c for c in df.columns if c != output_column]
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.select(*kept).dtypes)
+
+    def assigned(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame[kept].assign(**{output_column: function(frame[input_column]).to_numpy()})
+
+    return apply_groups_pandas(df, keys, assigned, f"{schema}, `{output_column}` {result_type}", across_frames)
+
+
+def apply_groups_raw(
+    df: DataFrame,
+    keys: Sequence[str],
+    output_column: str,
+    function: Callable[[pd.DataFrame], dict],
+    result_type: str,
+    across_frames: bool = False,
+) -> DataFrame:
+    """The group's keys and the object that a function makes of the group, as a struct."""
+    groups = group_keys(keys, across_frames)
+    key_types = dict(df.dtypes)
+    schema = ", ".join([*[f"`{k}` {key_types[k]}" for k in groups], f"`{output_column}` {result_type}"])
+
+    def raw(frame: pd.DataFrame) -> pd.DataFrame:
+        row = {k: [frame[k].iloc[0]] for k in groups}
+        return pd.DataFrame(row | {output_column: [function(frame)]})
+
+    return apply_groups_pandas(df, keys, raw, schema, across_frames)
+
+
+def fold_groups_pandas(
+    df: DataFrame,
+    keys: Sequence[str],
+    output_column: str,
+    start: Callable[[pd.DataFrame], object],
+    merge: Callable[[object, object], object],
+    finish: Callable[[object], object],
+    state_type: str,
+    result_type: str = "double",
+    across_frames: bool = False,
+) -> DataFrame:
+    """Keys and a result for groups of any size.
+
+    ``start`` makes a state of some of a group's rows, ``merge`` one of two, ``finish``
+    the result of the last. Tasks merge what they have of a group before it moves, so
+    a group arrives as one state or a few from each task.
+    """
+    groups = group_keys(keys, across_frames)
+    rows = with_keys_present(df, groups)
+    key_types = dict(df.dtypes)
+    key_schema = ", ".join(f"`{k}` {key_types[k]}" for k in groups)
+
+    def frame_of(states: dict, column: str) -> pd.DataFrame:
+        out = pd.DataFrame(list(states), columns=groups)
+        out[column] = pd.Series(list(states.values()), dtype=object)
+        return out
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        states: dict = {}
+        for batch in batches:
+            for key, part in batch.groupby(groups, sort=False):
+                state = start(part)
+                states[key] = merge(states[key], state) if key in states else state
+            if len(states) > HELD_GROUPS:
+                yield frame_of(states, "_state")
+                states = {}
+        if states:
+            yield frame_of(states, "_state")
+
+    def whole(frame: pd.DataFrame) -> pd.DataFrame:
+        key = {k: [frame[k].iloc[0]] for k in groups}
+        return pd.DataFrame(key | {output_column: [finish(reduce(merge, frame["_state"]))]})
+
+    states = rows.mapInPandas(partial, f"{key_schema}, _state {state_type}")
+    return states.groupBy(*groups).applyInPandas(whole, f"{key_schema}, `{output_column}` {result_type}")

@@ -46,14 +46,14 @@ def age_of_information(
     """Sum of the values over the time from the message's generation to its last sample.
 
     The generation time (ms) is the last field of the first sample's variable.
-    NULL where no time has passed.
+    NULL where no time has passed; missing values add nothing.
     """
 
     def mean() -> Column:
         first = F.min_by(variable, F.struct(time, row_order(df)))
         generated = numbers.to_long(field(first, "_", -1))
         elapsed = F.max(time) * F.lit(to_ms) - generated
-        return F.when(elapsed != 0, F.sum(F.col(input_column).cast("double")) / elapsed)
+        return F.when(elapsed != 0, F.coalesce(F.sum(F.col(input_column).cast("double")), F.lit(0.0)) / elapsed)
 
     return apply_groups(df, keys, input_column, output_column, mean, across_frames)
 

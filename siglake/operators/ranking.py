@@ -4,10 +4,12 @@ A group may hold a third of all rows, so no group is ever ordered as a whole by
 one task. Values are cut into slices at approximate quantiles of the *whole*
 column. A slice holds only its share of all rows, hence so does the part of any
 one group inside it: each part is ordered on its own, and the parts are
-chained by adding up the sizes of the slices before them, of which a group has
-at most ``MAX_SLICES``. The cut points only steer the balance; results are exact.
+chained by adding up the sizes of the slices before them. There are as many slices
+as the rows need. The cut points only steer the balance; results are exact.
 
-Inputs that fit into one slice skip all of that.
+Inputs that fit into one slice skip all of that, with the same results: missing
+numbers (NULL and NaN) have no rank among values, infinite ones do; where rows are
+numbered, NULL comes first and NaN last.
 """
 
 from __future__ import annotations
@@ -21,36 +23,44 @@ from pyspark.sql import functions as F
 
 from siglake.session import broadcast_if_small, checkpointed
 
-MAX_SLICES = 4096
 ROWS_PER_SLICE = 4_000_000
 CUT_SAMPLE = 1_000_000
 
 
+def present(x: str) -> Column:
+    """The number in column ``x``; NULL for a missing one."""
+    value = F.col(x).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def slice_cuts(df: DataFrame, x: str, rows_per_slice: int = ROWS_PER_SLICE) -> list[float]:
     """Cut points of the column, empty if it fits into one slice.
 
-    They are quantiles of a sample of bounded size, one row of numbers.
+    They are quantiles of a sample with a hundred rows or more for each slice; what
+    reaches the driver is one number per ``rows_per_slice`` rows.
     """
-    values = df.select(F.col(x).cast("double").alias("x")).where(F.col("x").isNotNull())
+    values = df.select(present(x).alias("x")).where(F.col("x").isNotNull())
     n = values.count()
-    wanted = min(MAX_SLICES, math.ceil(n / rows_per_slice))
+    wanted = math.ceil(n / rows_per_slice)
     if wanted <= 1:
         return []
     shares = ", ".join(f"{i / wanted}D" for i in range(1, wanted))
     found = (
-        values.sample(fraction=min(1.0, CUT_SAMPLE / n), seed=1)
-        .agg(F.expr(f"percentile_approx(x, array({shares}), {10 * MAX_SLICES})").alias("cuts"))
+        values.sample(fraction=min(1.0, max(CUT_SAMPLE, 100 * wanted) / n), seed=1)
+        .agg(F.expr(f"percentile_approx(x, array({shares}), {max(10_000, 10 * wanted)})").alias("cuts"))
         .first()["cuts"]
     )
     return sorted({cut for cut in found or [] if math.isfinite(cut)})
 
 
 def with_slice(df: DataFrame, x: str, cuts: Sequence[float]) -> DataFrame:
+    """``_slice`` in the order of ``x``: NULL in one before all others, NaN in one after."""
     bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_x", outputCol="_slice"
+        splits=[-math.inf, *cuts, math.inf], inputCol="_x", outputCol="_slice", handleInvalid="keep"
     )
     sliced = bucketizer.transform(df.withColumn("_x", F.col(x).cast("double")))
-    return sliced.drop("_x").withColumn("_slice", F.col("_slice").cast("int"))
+    place = F.when(F.col("_x").isNull(), F.lit(-1)).otherwise(F.col("_slice").cast("int"))
+    return sliced.withColumn("_slice", place).drop("_x")
 
 
 def slice_offsets(sliced: DataFrame, keys: Sequence[str], size: Column) -> DataFrame:
@@ -70,7 +80,7 @@ def cumulative_counts(
 ) -> DataFrame:
     """Per group and distinct value: ``n`` rows, ``cumulative`` rows up to it, ``total`` rows."""
     keys = list(keys)
-    rows = df.where(F.col(x).isNotNull()).select(*keys, x)
+    rows = df.where(present(x).isNotNull()).select(*keys, x)
     counts = rows.groupBy(*keys, x).agg(F.count(F.lit(1)).alias("n"))
     cuts = slice_cuts(rows, x, rows_per_slice)
     up_to = (Window.unboundedPreceding, Window.currentRow)
@@ -104,7 +114,7 @@ def group_quantiles(
     slices hold a wanted rank, and only the rows of those are shuffled and ordered.
     """
     keys = list(keys)
-    rows = df.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias(x))
+    rows = df.where(present(x).isNotNull()).select(*keys, F.col(x).cast("double").alias(x))
     cuts = slice_cuts(rows, x, rows_per_slice)
     if not cuts:
         # The exact percentile keeps a group's distinct values, at most one slice of rows here.
@@ -141,7 +151,8 @@ def group_quantiles(
     for i, p in enumerate(probabilities):
         rank = p * (F.col("n") - 1)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        quantiles.append(low + (high - low) * (rank - F.floor(rank)))
+        between = low + (high - low) * (rank - F.floor(rank))
+        quantiles.append(F.when(low == high, low).otherwise(between))  # also of infinite values
     return picked.select(*keys, "n", F.array(*quantiles).alias("q"))
 
 

@@ -19,11 +19,13 @@ from siglake.operators.ranking import (
     cumulative_counts,
     group_quantiles,
 )
-from siglake.session import broadcast_if_small
+from siglake.session import broadcast_if_small, checkpointed
 
 NORMAL_95 = 1.96
 WHISKER = 1.5
 NOTCH = 1.57
+# Bandwidths beyond which a Gaussian kernel is zero in double precision.
+KDE_REACH = 39.0
 KDE_CUT = 2.0
 GRID_POINTS = 100
 
@@ -99,8 +101,8 @@ def histogram(
     by: Sequence[str] = (),
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Counts over equal bins spanning all values; the last bin holds its upper edge."""
-    rows = _values(df, by, x)
+    """Counts over equal bins spanning all finite values; the last bin holds its upper edge."""
+    rows = _values(df, by, x).where(F.abs(x) < F.lit(math.inf))
     if bins == "auto":
         bins = automatic_bins(rows, x, rows_per_slice)
     low, high = rows.select(F.min(x)).scalar(), rows.select(F.max(x)).scalar()
@@ -183,7 +185,7 @@ def letter_values(
     deepest = max(1, int(math.log2(largest)) - 3)
     tails = [0.5 ** (level + 1) for level in range(1, deepest + 1)]
     probabilities = [0.5, *tails, *[1 - t for t in tails]]
-    found = group_quantiles(rows, by, x, probabilities, rows_per_slice)
+    found = group_quantiles(rows, by, x, probabilities, rows_per_slice).where(F.col("n") > 0)
     boxes = F.array(
         *[
             F.struct(
@@ -214,10 +216,11 @@ def density_grid(
 ) -> DataFrame:
     """Gaussian kernel density (Scott's bandwidth) of each group on an even grid.
 
-    The grid reaches two bandwidths beyond the values. Equal values are counted
-    first; the kernels are summed up where the values lie, so only grid points are shuffled.
+    The grid reaches two bandwidths beyond the finite values. Equal values are counted
+    first; each adds its kernel to the grid points within reach (beyond it, a kernel is
+    zero in double precision), where the values lie, so only grid points are shuffled.
     """
-    rows = _values(df, by, x)
+    rows = _values(df, by, x).where(F.abs(x) < F.lit(math.inf))
     stats = rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(x).alias("_min"),
@@ -233,10 +236,20 @@ def density_grid(
     joined = counts.join(broadcast_if_small(stats), list(by)) if by else counts.withColumns(
         {c: stats.select(c).scalar() for c in ("n", "_min", "_max", "bandwidth")}
     )
-    spread = joined.where(F.col("bandwidth") > 0).withColumn(
-        "point", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1)))
+    last = grid_points - 1
+    nearest = lambda side: (F.col(x) + side * KDE_REACH * F.col("bandwidth") - start) / step
+    points = F.sequence(
+        F.greatest(F.floor(nearest(-1)), F.lit(0)).cast("int"), F.least(F.ceil(nearest(1)), F.lit(last)).cast("int")
+    )
+    wide = F.col("bandwidth") > 0
+    spread = joined.where(wide).withColumn("point", F.explode(points))
+    keys = [*by, "point", "n", "bandwidth", "_min", "_max"]
+    far = stats.where(wide).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(last))))
+    sums = (
+        spread.groupBy(*keys).agg(kernels.alias("_sum"))
+        .unionByName(far.select(*keys, F.lit(0.0).alias("_sum")))
+        .groupBy(*keys).agg(F.sum("_sum").alias("_sum"))
     )
-    sums = spread.groupBy(*by, "point", "n", "bandwidth", "_min", "_max").agg(kernels.alias("_sum"))
     density = F.col("_sum") / (F.col("n") * F.col("bandwidth") * math.sqrt(2 * math.pi))
     return sums.select(*by, "point", grid.alias("grid"), density.alias("density"))
 
@@ -275,23 +288,22 @@ def heat_grid(
 ) -> DataFrame:
     """The full picture, long form: every x bin with every y bin of the facet, empty ones filled.
 
-    The size is that of the picture, whatever the number of rows.
+    The size is that of the picture, whatever the number of rows. The x bins are spread
+    over tasks before each is paired with the y bins of its facet.
     """
-    cells = heat_cells(df, x, y, z, bin_size, by, negate_y)
-    axes = cells.groupBy(*by).agg(F.collect_set(x).alias("_xs"), F.collect_set(y).alias("_ys"))
-    grid = axes.select(*by, F.explode("_xs").alias(x), "_ys").select(
-        *by, x, F.explode("_ys").alias(y)
-    )
+    cells = checkpointed(heat_cells(df, x, y, z, bin_size, by, negate_y))
+    columns = cells.select(*by, x).distinct().repartition(*by, x)
+    axes = cells.groupBy(*by).agg(F.collect_set(y).alias("_ys"))
+    if by:
+        pairs = columns.join(axes, list(by))
+    else:
+        pairs = columns.withColumn("_ys", axes.select("_ys").scalar())
+    grid = pairs.select(*by, x, F.explode("_ys").alias(y))
     filled = F.coalesce(F.col(z), F.lit(fill)).alias(z)
     return grid.join(cells, [*by, x, y], "left").select(*by, x, y, filled)
 
 
-def heat_matrix(
-    df: DataFrame, x: str, y: str, z: str, bin_size: float, fill: float = 0.0, max_columns: int = 4096
-) -> DataFrame:
-    """The picture as a matrix: one row per y bin and one column per x bin."""
+def heat_matrix(df: DataFrame, x: str, y: str, z: str, bin_size: float) -> DataFrame:
+    """The picture by rows: each y bin with the array ``cells`` of its (x, z) in order of x."""
     cells = heat_cells(df, x, y, z, bin_size)
-    found = [r[0] for r in cells.select(x).distinct().limit(max_columns + 1).collect()]
-    if len(found) > max_columns:
-        raise ValueError(f"more than {max_columns} x bins; choose a larger bin size or heat_grid")
-    return cells.groupBy(y).pivot(x, sorted(found)).agg(F.first(z)).fillna(fill)
+    return cells.groupBy(y).agg(F.sort_array(F.collect_list(F.struct(x, z))).alias("cells"))

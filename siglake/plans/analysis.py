@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from siglake.functions.numbers import truncated_bin
-from siglake.model import FRAME
+from siglake.model import FRAME, nan_to_null
 from siglake.operators import columns, compare, extract, frames, metrics, query, ranking, summary
 from siglake.plans import fixtures
 from siglake.plans.registry import r6, register, rounded
@@ -70,6 +71,108 @@ def group_median(spark, d):
     return rounded(medians.drop(FRAME), "cbr_median", digits=10)
 
 
+def _with_gaps(spark, d):
+    """The channel signal with every seventh value missing, as NULL or NaN in turn."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+    gap = F.when(F.col("_row") % 14 == 0, F.lit(None)).when(F.col("_row") % 7 == 0, F.lit(float("nan")))
+    return rows.withColumn("cbr", F.when(F.col("_row") % 7 == 0, gap).otherwise(F.col("cbr")))
+
+
+@register("""
+SELECT source_file, moduleName, min(_row) AS _row,
+  round(median(cbr) FILTER (WHERE _row % 7 <> 0), 10) AS cbr_median
+FROM f_cbr GROUP BY source_file, moduleName""")
+def group_median_missing(spark, d):
+    """Missing values have no rank; a group of nothing else has no median."""
+    medians = frames.aggregate_groups(_with_gaps(spark, d), ["moduleName"], "cbr", "cbr_median", "median")
+    return rounded(medians.drop(FRAME), "cbr_median", digits=10)
+
+
+@register("""
+SELECT source_file, _row, row_number() OVER (PARTITION BY source_file ORDER BY _row) AS nth
+FROM f_cbr WHERE _row % 7 <> 0
+UNION ALL SELECT source_file, -1 AS _row, 0 AS nth FROM f_cbr GROUP BY source_file""")
+def row_ordinal_missing(spark, d):
+    """A row without the ordered column comes first."""
+    rows = cbr(spark, d).select("source_file", "_row").where("_row % 7 <> 0")
+    gaps = cbr(spark, d).select("source_file").distinct().withColumn("_row", F.lit(None).cast("bigint"))
+    numbered = ranking.row_ordinal(rows.unionByName(gaps), ["source_file"], "_row", "nth")
+    return numbered.withColumn("_row", F.coalesce("_row", F.lit(-1)))
+
+
+@register("""
+SELECT source_file, moduleName, min(_row) AS _row, round(max(cbr) - min(cbr), 10) AS spread
+FROM f_cbr GROUP BY source_file, moduleName""")
+def group_pandas_aggregate(spark, d):
+    """A function from a group's series to a number."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+    spread = frames.aggregate_groups_pandas(rows, ["moduleName"], "cbr", "spread", lambda s: s.max() - s.min())
+    return rounded(spread.drop(FRAME), "spread", digits=10)
+
+
+@register("""
+SELECT source_file, moduleName, first(cbr ORDER BY _row) AS first_cbr, last(cbr ORDER BY _row) AS last_cbr,
+  count(*) AS n FROM f_cbr GROUP BY source_file, moduleName""")
+def group_pandas_apply(spark, d):
+    """A function from a group's rows, in order, to a table."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+
+    def ends(group: pd.DataFrame) -> pd.DataFrame:
+        found = group[["source_file", "moduleName"]].head(1)
+        return found.assign(first_cbr=group.cbr.iloc[0], last_cbr=group.cbr.iloc[-1], n=len(group))
+
+    schema = "source_file string, moduleName string, first_cbr double, last_cbr double, n long"
+    return frames.apply_groups_pandas(rows, ["moduleName"], ends, schema)
+
+
+@register("""
+SELECT source_file, _row, moduleName, cbr,
+  round(cbr - lag(cbr) OVER (PARTITION BY source_file, moduleName ORDER BY _row), 10) AS step
+FROM f_cbr""")
+def group_pandas_series(spark, d):
+    """A function from a group's series to a series as long."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+    steps = frames.assign_groups_pandas(rows, ["moduleName"], "cbr", "step", lambda s: s.diff())
+    return rounded(nan_to_null(steps.drop(FRAME)), "step", digits=10)
+
+
+@register("""
+SELECT source_file, moduleName, count(*) AS n, round(max(cbr), 10) AS top,
+  count(*) FILTER (WHERE cbr > 0.9) AS n_high
+FROM f_cbr GROUP BY source_file, moduleName""")
+def apply_groups_raw(spark, d):
+    """Keys and an object with a list, flattened for the comparison."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+
+    def describe(group: pd.DataFrame) -> dict:
+        return {"n": len(group), "top": float(group.cbr.max()), "high": group.cbr[group.cbr > 0.9].tolist()}
+
+    raw = frames.apply_groups_raw(
+        rows, ["moduleName"], "found", describe, "struct<n:bigint,top:double,high:array<double>>"
+    )
+    return raw.select(
+        F.col(FRAME).alias("source_file"), "moduleName", "found.n", F.round("found.top", 10).alias("top"),
+        F.size("found.high").cast("bigint").alias("n_high"),
+    )
+
+
+@register("""
+SELECT source_file, moduleName, round(avg(cbr), 8) AS mean_cbr FROM f_cbr GROUP BY source_file, moduleName""")
+def group_pandas_fold(spark, d):
+    """A mean from states that are merged before they move."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+    means = frames.fold_groups_pandas(
+        rows,
+        ["moduleName"],
+        "mean_cbr",
+        lambda part: [float(part.cbr.sum()), float(part.cbr.count())],
+        lambda a, b: [a[0] + b[0], a[1] + b[1]],
+        lambda state: state[0] / state[1],
+        "array<double>",
+    )
+    return means.select(F.col(FRAME).alias("source_file"), "moduleName", F.round("mean_cbr", 8).alias("mean_cbr"))
+
+
 @register("""
 SELECT source_file, moduleName, count(*) AS n, round(sum(cbr), 6) AS total,
   round(stddev_samp(cbr), 6) AS spread FROM f_cbr GROUP BY source_file, moduleName""")

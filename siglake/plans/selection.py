@@ -14,6 +14,7 @@ from siglake.plans import fixtures
 from siglake.plans.registry import register, rounded
 from siglake.sources import files
 from siglake.sources.results import join_signals, sql_per_file, unify_parameters
+from siglake.sources.sinks import output_name
 
 AREA = (0.0, 500.0, 5000.0, 3000.0)
 AOI_PATTERN = r"coordination_aoi_(?P<index>\d+)_(?P<gentime>\d+)"
@@ -528,6 +529,31 @@ def sample_exact(spark, d):
     return sampled.select("source_file", "_row", "value")
 
 
+@register("""
+SELECT source_file, _row, piece FROM (
+  SELECT *, row_number() OVER (ORDER BY md5('23|' || _part || '|' || _row), _part, _row) AS r,
+    round_even(0.5 * count(*) OVER (), 0) AS quota
+  FROM (
+    SELECT source_file, _row, 'all' AS piece, '000000/' || source_file AS _part FROM f_signal
+    UNION ALL
+    SELECT source_file, _row, 'large' AS piece, '000001/' || source_file AS _part FROM f_signal WHERE value > 1000
+  )) WHERE r <= quota""")
+def sample_concat(spark, d):
+    """Half of the rows of a concatenation whose pieces share their row numbers."""
+    rows = _frames(spark, d).select("_frame", "source_file", "_row", "value")
+    pieces = [rows.withColumn("piece", F.lit("all")), rows.where("value > 1000").withColumn("piece", F.lit("large"))]
+    return files.sample_rows(frames.concat(pieces), 0.5).select("source_file", "_row", "piece")
+
+
+@register("""
+SELECT source_file, replace(replace('v2x/' || source_file || '/a=1', '/', '%2F'), '=', '%3D') || '_cbr' AS output
+FROM f_run""")
+def output_names(spark, d):
+    """Folder names of frames: below the root, distinct, with an alias."""
+    path = F.concat(F.lit("/data/r+1/v2x/"), "source_file", F.lit("/a=1"))
+    return fixtures.runs(spark, d).select("source_file", output_name(path, "/data/r+1", ["cbr"]).alias("output"))
+
+
 @register(f"SELECT * FROM ({_SAMPLE}) WHERE value > 1000")
 def sample_then_filter(spark, d):
     sampled = files.sample_then_filter(_frames(spark, d), 0.3, "value > 1000")

@@ -26,9 +26,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-MAX_BROADCAST_ROWS = 100_000
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate data: ``spark.checkpoint.dir``, or one made up for a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -59,12 +56,30 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Settle a derived table, and let joins broadcast it if it has few rows.
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Settle a derived table, and let joins broadcast it if it has few bytes.
 
     For one row per group, file or category, joined to all rows: the optimizer
     only learns that such a table is small after it has shuffled the other side.
-    The table is written before it is counted, so it is not computed twice.
+    Once it is written, the optimizer compares its bytes with its own threshold.
     """
-    settled = checkpointed(df)
-    return F.broadcast(settled) if settled.count() <= max_rows else settled
+    if any(kind == "void" for _, kind in df.dtypes):
+        return checkpointed(df)
+    return written(df)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, in any store that Spark reads."""
+    folder, store = _folder(spark, path)
+    return store.getContentSummary(folder).getLength()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any store that Spark writes."""
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)

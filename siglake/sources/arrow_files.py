@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from siglake.model import FRAME, ROW, SOURCE, as_frames, nan_to_null
+from siglake.model import FRAME, PART, ROW, SOURCE, as_frames, nan_to_null
 
 FORMAT = "arrow_files"
 ARROW_TYPES = {
@@ -22,6 +22,17 @@ ARROW_TYPES = {
 }
 
 
+ARROW_TYPES |= {
+    "date": pa.date32(), "timestamp": pa.timestamp("us", "UTC"), "timestamp_ntz": pa.timestamp("us"),
+    "decimal(20,0)": pa.decimal128(20, 0),
+}
+LARGER = {
+    "smallint": [pa.uint8()], "int": [pa.uint16()], "bigint": [pa.uint32()],
+    "decimal(20,0)": [pa.uint64()], "float": [pa.float16()],
+}
+WHOLE = ["tinyint", "smallint", "int", "bigint", "decimal(20,0)"]
+
+
 @dataclass
 class Batches(InputPartition):
     path: str
@@ -30,28 +41,73 @@ class Batches(InputPartition):
 
 
 def sql_type(arrow: pa.DataType) -> str:
-    """Spark type of a column; categories are read as their values."""
+    """Spark type of a column; categories are read as their values, unsigned numbers in the next larger type."""
     if pa.types.is_dictionary(arrow):
         return sql_type(arrow.value_type)
     if pa.types.is_large_string(arrow):
         return "string"
+    if pa.types.is_timestamp(arrow):
+        return "timestamp" if arrow.tz else "timestamp_ntz"
+    if pa.types.is_date(arrow):
+        return "date"
+    for name, kinds in LARGER.items():
+        if arrow in kinds:
+            return name
     for name, known in ARROW_TYPES.items():
         if arrow == known:
             return name
     raise ValueError(f"column type {arrow} is not supported")
 
 
+def widened(a: str, b: str) -> str:
+    """A type that holds the values of both."""
+    if a == b:
+        return a
+    if a in WHOLE and b in WHOLE:
+        return max(a, b, key=WHOLE.index)
+    if {a, b} <= {*WHOLE, "float", "double"}:
+        return "double"
+    if {a, b} <= {"date", "timestamp", "timestamp_ntz"}:
+        return "timestamp" if "timestamp" in (a, b) else "timestamp_ntz"
+    return "string"
+
+
+def footers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, str], dict[str, int]]:
+    """Type of each column over all files, and record batches of each file; read by tasks."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with pa.memory_map(path) as file:
+                    reader = pa.ipc.open_file(file)
+                    columns = {f.name: sql_type(f.type) for f in reader.schema}
+                    row = [[path], [reader.num_record_batches], [json.dumps(columns)]]
+                yield pa.record_batch([pa.array(c) for c in row], ["path", "n", "columns"])
+
+    listed = spark.createDataFrame([(p,) for p in dict.fromkeys(paths)], "path string")
+    tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism) or 1
+    found = {
+        r["path"]: r
+        for r in listed.repartition(tasks).mapInArrow(read, "path string, n long, columns string").collect()
+    }
+    types: dict[str, str] = {}
+    for path in paths:
+        for name, kind in json.loads(found[path]["columns"]).items():
+            types[name] = widened(types.get(name, kind), kind)
+    return types, {path: row["n"] for path, row in found.items()}
+
+
 class ArrowReader(DataSourceReader):
-    def __init__(self, schema: StructType, paths: list[str], batches: int):
+    def __init__(self, schema: StructType, paths: list[str], counts: dict[str, int], batches: int):
         self.schema = schema
         self.paths = paths
+        self.counts = counts
         self.batches = batches
 
     def partitions(self) -> list[Batches]:
         found = []
         for path in self.paths:
-            with pa.memory_map(path) as file:
-                count = pa.ipc.open_file(file).num_record_batches
+            count = self.counts[path]
             found += [
                 Batches(path, first, min(first + self.batches, count))
                 for first in range(0, count, self.batches)
@@ -76,7 +132,7 @@ class ArrowReader(DataSourceReader):
                         column = batch.column(batch.schema.names.index(name))
                         if pa.types.is_dictionary(column.type):
                             column = column.dictionary_decode()
-                        columns[name] = pc.cast(column, kind)
+                        columns[name] = pc.cast(column, kind, safe=not pa.types.is_floating(kind))
                     else:
                         columns[name] = pa.nulls(size, kind)
                 yield pa.record_batch(columns)
@@ -88,35 +144,41 @@ class ArrowFiles(DataSource):
         return FORMAT
 
     def schema(self) -> str:
-        """All columns of all files, by name."""
-        columns = {}
-        for path in json.loads(self.options["paths"]):
-            with pa.memory_map(path) as file:
-                for field in pa.ipc.open_file(file).schema:
-                    columns.setdefault(field.name, sql_type(field.type))
+        """All columns of all files, by name, as ``footers`` found them."""
+        columns = json.loads(self.options["columns"])
         listed = [f"`{name}` {kind}" for name, kind in columns.items()]
         return ", ".join([*listed, f"{SOURCE} string", f"{ROW} bigint"])
 
     def reader(self, schema: StructType) -> DataSourceReader:
         batches = int(self.options.get("batchesPerPartition", 16))
-        return ArrowReader(schema, json.loads(self.options["paths"]), batches)
+        return ArrowReader(
+            schema, json.loads(self.options["paths"]), json.loads(self.options["counts"]), batches
+        )
 
 
 def read_arrow(spark: SparkSession, paths: list[str], **options) -> DataFrame:
     """Frames of Arrow files, one per file, united by column name."""
     spark.dataSource.register(ArrowFiles)
-    df = spark.read.format(FORMAT).options(paths=json.dumps(list(paths)), **options).load()
+    columns, counts = footers(spark, list(paths))
+    known = {"paths": json.dumps(list(paths)), "columns": json.dumps(columns), "counts": json.dumps(counts)}
+    df = spark.read.format(FORMAT).options(**known, **options).load()
     return nan_to_null(as_frames(df))
 
 
 def read_parquet_frames(spark: SparkSession, *paths: str, tolerant: bool = False) -> DataFrame:
     """Saved datasets, united by column name; a dataset without frames is one per file.
 
+    Rows saved without ``_row`` are numbered by their place in their file, which becomes ``_part``.
+
     ``tolerant`` passes over files that cannot be read.
     """
     options = {"mergeSchema": "true", "ignoreCorruptFiles": str(tolerant).lower()}
     df = spark.read.options(**options).parquet(*paths)
     if FRAME not in df.columns:
         df = df.withColumn(FRAME, F.col("_metadata.file_path"))
+    if ROW not in df.columns:
+        df = df.withColumn(ROW, F.col("_metadata.row_index"))
+        if PART not in df.columns:
+            df = df.withColumn(PART, F.col("_metadata.file_path"))
     return nan_to_null(df)
 

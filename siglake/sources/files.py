@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siglake.functions.text import Pattern
-from siglake.model import FRAME, ROW, SOURCE
+from siglake.model import FRAME, PART, ROW, SOURCE
 from siglake.session import broadcast_if_small
 
+# Fixed value: what counts as literal in a path pattern.
 _LITERAL_RUN = re.compile(r"[a-zA-Z0-9_\-/]+")
 SAMPLE_SEED = 23
 
@@ -111,7 +112,8 @@ def sample_rows(
 ) -> DataFrame:
     """Sample without replacement; ``exact`` keeps round(fraction * rows) rows of each frame.
 
-    Rows are ordered by a hash, an even spread over [0, 1). The last row of the
+    Part and row have to tell the rows of a frame apart; rows that share them, as after a
+    join that repeats rows, are drawn together. Rows are ordered by a hash, an even spread over [0, 1). The last row of the
     sample has a hash near the fraction, so buckets halve in width towards it:
     their sizes tell in which one the quota of a frame is used up, and with n rows
     that is a bucket of about the root of n. Only that bucket is ordered. Only then
@@ -119,8 +121,10 @@ def sample_rows(
     """
     if not exact:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(row).cast("string")))
-    hashed = df.select(frame, F.col(row).alias("_at"), digest.alias("_digest"))
+    place = [F.col(c) for c in (PART, row) if c in df.columns]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in place]))
+    at = F.struct(*place)
+    hashed = df.select(frame, at.alias("_at"), digest.alias("_digest"))
     hashed = hashed.withColumn("_bucket", F.expr(_bucket_sql(fraction, "_digest")))
     group = Window.partitionBy(frame)
     up_to = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -143,7 +147,7 @@ def sample_rows(
         .where(F.col("_rank") == F.col("_left"))
         .select(frame, F.struct("_digest", "_at").alias("_last"))
     )
-    chosen = F.struct(digest.alias("_digest"), F.col(row).alias("_at")) <= F.col("_last")
+    chosen = F.struct(digest.alias("_digest"), at.alias("_at")) <= F.col("_last")
     return df.join(broadcast_if_small(last), frame).where(chosen).select(*df.columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglake.model import DATA_COLUMNS, ROW, SOURCE, nan_to_null
-from siglake.session import broadcast_if_small
+from siglake.session import broadcast_if_small, remove, stored_bytes
 from siglake.sources.sqlite import FORMAT, RUN_PARAMETERS, SqliteResults
 
 # Column to order a written table by, so that a query by name reads few row groups.
@@ -26,6 +27,10 @@ SORTED_BY = {
 }
 
 
+# Stored bytes of the staged table for each sorted partition.
+PARTITION_BYTES = 256 << 20
+
+
 class Metadata(NamedTuple):
     rows: int
     text_bytes: int
@@ -100,13 +105,15 @@ def unify_parameters(run_param: DataFrame | None, run_config: DataFrame | None)
 def ingest(spark: SparkSession, paths: Sequence[str], target: str, **options) -> None:
     """Write the tables of all files below ``target``.
 
-    Each file is read once, into staging tables. A file with any error is left
-    out of the result and listed in ``ingest_errors``.
+    Each file is read once, into staging tables, which are removed at the end. A table
+    of a file that cannot be read is listed in ``ingest_errors`` and costs only itself:
+    the file's other tables stay. Samples need the file's table of signal names too.
     """
     paths = list(paths)
     staged = {}
+    staging = f"{target}/_staging"
     for table in ("run", "runAttr", RUN_PARAMETERS, "vector", "vectorData", "scalar", "statistic"):
-        folder = f"{target}/_staging/{table}"
+        folder = f"{staging}/{table}"
         read_sqlite(spark, paths, table, **options).write.mode("overwrite").parquet(folder)
         staged[table] = spark.read.parquet(folder)
 
@@ -116,30 +123,32 @@ def ingest(spark: SparkSession, paths: Sequence[str], target: str, **options) ->
             SOURCE, F.lit(table).alias("table"), F.col("ingest_error").alias("error")
         )
         errors = found if errors is None else errors.unionByName(found)
-    errors.coalesce(1).write.mode("overwrite").parquet(f"{target}/ingest_errors")
-    bad_files = spark.read.parquet(f"{target}/ingest_errors").select(SOURCE).distinct()
-    any_bad = not bad_files.isEmpty()
+    errors.repartition(1).write.mode("overwrite").parquet(f"{target}/ingest_errors")
+    bad = spark.read.parquet(f"{target}/ingest_errors").select(SOURCE, "table").distinct()
+    bad_tables = {r["table"] for r in bad.select("table").distinct().collect()}
 
     def rows(table: str, row: str = "rowId") -> DataFrame:
         df = staged[table].where(F.col("ingest_error").isNull()).drop("ingest_error")
-        if any_bad:
-            df = df.join(bad_files, SOURCE, "left_anti")
+        if table in bad_tables:  # a file of several parts may have failed in one
+            df = df.join(bad.where(F.col("table") == table).select(SOURCE), SOURCE, "left_anti")
         return df.withColumn(ROW, F.col(row)).drop("rowId") if row in df.columns else df
 
     names = broadcast_if_small(rows("vector").select(SOURCE, "vectorId", "moduleName", "vectorName"))
     tables = {
-        "signals": join_signals(names, rows("vectorData")),
-        "scalars": rows("scalar", "scalarId"),
-        "statistics": rows("statistic", "statId"),
-        "run_attrs": rows("runAttr"),
-        "run_params": rows(RUN_PARAMETERS),
-        "runs": rows("run"),
+        "signals": (join_signals(names, rows("vectorData")), "vectorData"),
+        "scalars": (rows("scalar", "scalarId"), "scalar"),
+        "statistics": (rows("statistic", "statId"), "statistic"),
+        "run_attrs": (rows("runAttr"), "runAttr"),
+        "run_params": (rows(RUN_PARAMETERS), RUN_PARAMETERS),
+        "runs": (rows("run"), "run"),
     }
-    for name, df in tables.items():
+    for name, (df, source) in tables.items():
         order = SORTED_BY[name]
-        nan_to_null(df).repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+        parts = max(1, math.ceil(stored_bytes(spark, f"{staging}/{source}") / PARTITION_BYTES))
+        nan_to_null(df).repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode(
             "overwrite"
         ).parquet(f"{target}/{name}")
+    remove(spark, staging)
 
 
 def load(spark: SparkSession, target: str) -> Results:
@@ -157,9 +166,20 @@ def sql_per_file(
     Each file is a database of its own: joins in the query name ``source_file``
     among their columns, as in ``FROM flows JOIN config USING (source_file)``.
     """
+    own = {
+        name: spark.table(name)
+        for name in tables
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+    }
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    result = spark.sql(query)
+    try:
+        result = spark.sql(query)
+    finally:  # views of the caller come back
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in own.items():
+            df.createOrReplaceTempView(name)
     result = result.drop("rowId")
     if include_filename:
         result = result.withColumn("filename", F.col(SOURCE))

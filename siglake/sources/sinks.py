@@ -4,19 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siglake.model import FRAME, SOURCE
 from siglake.operators.columns import convert_columns
+from siglake.session import remove
 
 FORMATS = ("parquet", "json")
 
 
 def output_name(path: Column, root: str = "", aliases: Sequence[str] = ()) -> Column:
-    """Name of a frame's output: path below the root and the aliases, without separators."""
-    relative = F.regexp_replace(path, "^" + root.rstrip("/").replace(".", r"\.") + "/?", "")
-    return F.regexp_replace(F.concat_ws("_", relative, *[F.lit(a) for a in aliases]), "[/=]+", "_")
+    """Name of a frame's output: path below the root and the aliases, joined by ``_``.
+
+    The path stays one folder name of its own: ``/``, ``=`` and ``%`` are percent-encoded.
+    """
+    root = root.rstrip("/")
+    inside = F.startswith(path, F.lit(root + "/")) if root else F.lit(False)
+    relative = F.when(inside, F.substring(path, F.lit(len(root) + 2), F.length(path))).otherwise(path)
+    for plain, code in (("%", "%25"), ("/", "%2F"), ("=", "%3D")):
+        relative = F.replace(relative, F.lit(plain), F.lit(code))
+    return F.concat_ws("_", relative, *[F.lit(a) for a in aliases])
 
 
 def save(
@@ -31,22 +39,27 @@ def save(
     raw: bool = False,
     mode: str = "overwrite",
 ) -> bool:
-    """Write a dataset, as a whole or one folder per frame; an empty one is not written.
+    """Write a dataset, as a whole or one folder per frame; whether it had a row.
 
+    Of an empty dataset nothing is left. Rows are counted while they are written. For
+    separate folders, rows are first gathered by frame, a large frame in several tasks.
     ``raw`` writes group results as they are, without converting columns.
     """
     if file_format not in FORMATS:
         raise ValueError(f"unknown file format {file_format!r}")
-    if df.isEmpty():
-        return False
     if not raw:
         df = convert_columns(df, categorical, numerical)
     writer_options = {"compression": "lz4"} if file_format == "parquet" else {}
     if separate:
         frame = SOURCE if SOURCE in df.columns else FRAME
         df = df.withColumn("output", output_name(F.col(frame), common_root, aliases))
-        writer = df.write.partitionBy("output")
-    else:
-        writer = df.write
+        df = df.hint("rebalance", "output")
+    written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
+    if separate:
+        writer = writer.partitionBy("output")
     writer.mode(mode).options(**writer_options).format(file_format).save(path)
-    return True
+    if written.get["rows"]:
+        return True
+    remove(df.sparkSession, path)
+    return False

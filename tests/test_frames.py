@@ -68,11 +68,6 @@ def test_pandas_functions_agree_with_native_ones(df):
     assert rows(framed, "_frame", "note") == [("a", "first"), ("b", "other file")]
 
 
-def test_pandas_functions_refuse_groups_over_the_bound(df):
-    with pytest.raises(ValueError, match="over the bound"):
-        frames.aggregate_groups_pandas(df, ["k"], "x", "r", lambda s: s.mean(), max_group_rows=1)
-
-
 def test_concat_is_one_frame_in_dataset_order(spark, df):
     more = spark.createDataFrame([("a", 0, 1)], "_frame string, _row long, extra int")
     both = frames.concat([df, more], "all")

@@ -93,3 +93,19 @@ def test_sample_is_exact_per_frame_and_repeatable(df, rows, fraction):
         sizes[group] = sizes.get(group, 0) + 1
     for group, size in sizes.items():
         assert sum(f == group for f, _ in first) == round(fraction * size)
+
+
+@pytest.mark.parametrize("size", SLICES)
+def test_missing_and_infinite_values(spark, size):
+    inf, nan = float("inf"), float("nan")
+    values = [float(i % 60) for i in range(300)] + [None, nan, inf, -inf, None, nan]
+    df = spark.createDataFrame([("hot", v, i) for i, v in enumerate(values)], "g string, x double, id long").repartition(4)
+    numbers = sorted(v for v in values if v is not None and v == v)
+    found = ranking.group_quantiles(df, ["g"], "x", [0.0, 0.5, 1.0], size).first()
+    assert found.n == len(numbers) and list(found.q) == [-inf, float(np.median(numbers)), inf]
+    counts = {r.x: r.cumulative for r in ranking.cumulative_counts(df, ["g"], "x", size).collect()}
+    assert counts == {v: sum(w <= v for w in numbers) for v in set(numbers)}
+    rows = ranking.row_ordinal(df, ["g"], "x", "nth", size).collect()
+    assert sorted(r.nth for r in rows) == list(range(len(values)))
+    rank = lambda v: (0, 0.0) if v is None else (2, 0.0) if v != v else (1, v)
+    assert [rank(r.x) for r in sorted(rows, key=lambda r: r.nth)] == sorted(map(rank, values))

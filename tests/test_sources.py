@@ -136,6 +136,55 @@ def test_sample_comes_before_the_filter(spark):
     assert files.sample_then_filter(df, condition="odd = 1").count() == 500
 
 
+def test_a_failing_table_costs_only_itself(spark, folder, tmp_path):
+    import shutil
+    import sqlite3
+
+    path = tmp_path / "part.vec"
+    shutil.copy(folder / "runs" / "a.vec", path)
+    with sqlite3.connect(path) as connection:
+        connection.execute("DROP TABLE statistic")
+    target = str(tmp_path / "tables")
+    results.ingest(spark, [str(path), str(folder / "runs" / "b.vec")], target)
+    loaded = results.load(spark, target)
+    assert loaded.signals.select("source_file").distinct().count() == 2
+    assert loaded.statistics.select("source_file").distinct().count() == 1
+    assert [r.table for r in spark.read.parquet(f"{target}/ingest_errors").collect()] == ["statistic"]
+    assert not (tmp_path / "tables" / "_staging").exists()
+
+
+def test_arrow_types_are_widened(spark, tmp_path):
+    import numpy as np
+
+    paths = [str(tmp_path / f"{n}.feather") for n in "abc"]
+    pd.DataFrame({"x": [1], "u": np.array([2**40], "uint64"), "t": [pd.Timestamp("2020-01-02")]}).to_feather(paths[0])
+    pd.DataFrame({"x": [0.5], "u": np.array([3], "uint8")}).to_feather(paths[1])
+    pd.DataFrame({"x": ["text"]}).to_feather(paths[2])
+    df = arrow_files.read_arrow(spark, paths[:2])
+    assert dict(df.dtypes)["x"] == "double" and sorted(r.x for r in df.collect()) == [0.5, 1.0]
+    assert sorted(int(r.u) for r in df.collect()) == [3, 2**40]
+    assert [str(r.t) for r in df.where("t IS NOT NULL").collect()] == ["2020-01-02 00:00:00"]
+    assert sorted(r.x for r in arrow_files.read_arrow(spark, paths).collect()) == ["0.5", "1", "text"]
+
+
+def test_samples_of_pieces_and_saved_datasets(spark, tmp_path):
+    df = spark.range(101).selectExpr("'f' AS _frame", "id AS _row")
+    both = frames.concat([df, df])
+    assert files.sample_rows(both, 0.5).count() == 101
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "plain"))
+    read = arrow_files.read_parquet_frames(spark, str(tmp_path / "plain"))
+    assert read.select("_part", "_row").distinct().count() == 100
+    sizes = [r["count"] for r in read.groupBy("_frame").count().collect()]
+    assert files.sample_rows(read, 0.5).count() == sum(round(0.5 * n) for n in sizes)
+
+
+def test_output_names_stay_distinct(spark):
+    paths = ["/d/r+1/a/b", "/d/r+1/a_b", "/d/r+1/a%2Fb", "/x/a"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    names = [r.n for r in df.select(sinks.output_name(F.col("p"), "/d/r+1").alias("n")).collect()]
+    assert names == ["a%2Fb", "a_b", "a%252Fb", "%2Fx%2Fa"]
+
+
 def test_saving(spark, tmp_path):
     df = spark.createDataFrame(
         [("/root/in/a.vec", "/root/in/a.vec", 1, "2.5"), ("/root/in/b.vec", "/root/in/b.vec", 1, "x")],
@@ -146,7 +195,7 @@ def test_saving(spark, tmp_path):
     assert sorted(r.v or 0 for r in arrow_files.read_parquet_frames(spark, whole).collect()) == [0, 2.5]
     assert sinks.save(df, parts, separate=True, common_root="/root", aliases=["v"], file_format="json")
     assert {p.name for p in (tmp_path / "parts").iterdir() if p.is_dir()} == {
-        "output=in_a.vec_v", "output=in_b.vec_v"
+        "output=in%252Fa.vec_v", "output=in%252Fb.vec_v"
     }
     grouped = frames.aggregate_groups_raw(df, [], "r", {"all": F.collect_set("v")})
     assert sinks.save(grouped, raw, "json", raw=True)

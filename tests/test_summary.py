@@ -145,7 +145,20 @@ def test_heat(spark):
     by = summary.heat_grid(df, "x", "y", "z", 1.0, ["g"], negate_y=True).collect()
     assert len(by) == 5 and {r.y for r in by if r.g == "a"} == {0.0, 2.0}
     matrix = summary.heat_matrix(df.where("g='a'"), "x", "y", "z", 1.0).orderBy("y").collect()
-    assert [tuple(r) for r in matrix] == [(-2.0, 0.0, 5.0), (0.0, 2.0, 0.0)]
+    assert [(r.y, [tuple(c) for c in r.cells]) for r in matrix] == [(-2.0, [(3.0, 5.0)]), (0.0, [(0.0, 2.0)])]
+
+
+def test_values_beyond_all_numbers_and_no_values(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),), (None,)], "x double")
+    found = sorted((r.left, r.n) for r in summary.histogram(df, "x", 2).collect())
+    assert found == [(1.0, 1), (1.5, 1)]
+    assert summary.letter_values(df.where("false"), "x").count() == 0
+
+
+def test_density_over_a_wide_gap_has_all_points(spark):
+    df = spark.createDataFrame([(v,) for v in [0.0] * 5000 + [1.0] * 5000 + [1e3]], "x double")
+    points = summary.density_grid(df, "x").collect()
+    assert len(points) == summary.GRID_POINTS and min(p.density for p in points) >= 0
 
 
 def test_series_and_facets(spark):
