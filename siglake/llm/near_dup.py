@@ -349,9 +349,10 @@ def near_duplicates(
 def deduplicated(
     docs: DataFrame, settings: Settings = CORPUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row of each component, with the columns of ``docs``: the one whose id names it.
+    """One document of each component, with the columns of ``docs``: the one whose id names it.
 
-    Of rows with that id and one text, one stays.
+    An id is taken to name one document: rows that share an id stay or go together, and
+    go if one of their texts is a copy of a document with a smaller id.
     """
     gone = near_duplicates(docs, settings, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
     name = unused("_gone", docs)
