@@ -61,6 +61,39 @@ def merge_by_attribute(
     return merge_rows(left, right, [attribute, *left_keys], [attribute, *right_keys])
 
 
+def merge_by_files(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str] | None = None,
+    right_keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Merge the rows of two frames whose rows come from the same set of files.
+
+    Unlike ``merge_by_attribute``, rows of different files meet if their keys are equal,
+    as in two concatenations of the same files. Each set of files has to belong to one
+    frame on either side. Frames are told apart by a hash of their set of files.
+    """
+    sets = [
+        df.select(FRAME, SOURCE)
+        .distinct()
+        .groupBy(FRAME)
+        .agg(F.bit_xor(F.xxhash64(SOURCE)).alias("files"), F.count(F.lit(1)).alias("n"))
+        for df in (left, right)
+    ]
+    for side in sets:
+        if not side.groupBy("files", "n").count().where("count > 1").isEmpty():
+            raise ValueError("several frames have the same set of files")
+    pairs = sets[0].join(sets[1].withColumnRenamed(FRAME, "_theirs"), ["files", "n"])
+    pairs = broadcast_if_small(pairs.select(FRAME, "_theirs"))
+    paired = left.join(pairs, FRAME).select(*left.columns, "_theirs")
+    others = right.withColumn("_theirs", F.col(FRAME)).drop(*BOOKKEEPING)
+    left_keys, right_keys = _row_keys(
+        left.drop(SOURCE), right.drop(*BOOKKEEPING, SOURCE), left_keys, right_keys, SOURCE
+    )
+    merged = merge_rows(paired, others, ["_theirs", *left_keys], ["_theirs", *right_keys])
+    return merged.drop("_theirs")
+
+
 def merge_by_position(
     left: DataFrame,
     right: DataFrame,

@@ -331,12 +331,17 @@ def wide_tags(
 
 
 def tag_rows(facts: DataFrame, wide: DataFrame) -> DataFrame:
-    """Attach each file's tags to its rows; a tag overwrites a data column of its name."""
+    """Attach each file's tags to its rows; a tag overwrites a data column of its name.
+
+    The column keeps its type; a tag that is no value of it makes it NULL.
+    """
     clashing = [c for c in wide.columns if c in facts.columns and c != SOURCE]
     renamed = wide.withColumnsRenamed({c: f"_tag_{c}" for c in clashing})
     joined = facts.join(renamed, SOURCE, "left")
     columns = [
-        F.coalesce(F.col(f"_tag_{c}").try_cast(facts.schema[c].dataType), F.col(c)).alias(c)
+        F.when(F.col(f"_tag_{c}").isNull(), F.col(c))
+        .otherwise(F.col(f"_tag_{c}").try_cast(facts.schema[c].dataType))
+        .alias(c)
         if c in clashing
         else F.col(c)
         for c in facts.columns

@@ -101,22 +101,26 @@ def signals(spark, d) -> DataFrame:
 
 
 def vectors(spark, d) -> DataFrame:
-    """Three vectors per customer."""
+    """Thirteen vectors per customer: one for each name its samples can have."""
     return table(spark, d, "customer").selectExpr(
         "concat('run_', c_nationkey, '.vec') AS source_file",
         "concat('World.node[', c_custkey % 20, '].middleware') AS moduleName",
         """inline(array(
-            named_struct('vectorId', c_custkey * 4, 'vectorName', 'posX:vector'),
-            named_struct('vectorId', c_custkey * 4 + 1, 'vectorName', 'posY:vector'),
-            named_struct('vectorId', c_custkey * 4 + 2, 'vectorName', 'cbr:vector')))""",
+            named_struct('vectorId', c_custkey * 16, 'vectorName', 'posX:vector'),
+            named_struct('vectorId', c_custkey * 16 + 1, 'vectorName', 'posY:vector'),
+            named_struct('vectorId', c_custkey * 16 + 2, 'vectorName', 'cbr:vector'))
+            || transform(sequence(0, 9), i -> named_struct('vectorId', c_custkey * 16 + 3 + i,
+                'vectorName', concat('coordination_aoi_', i, '_', c_custkey % 1000, ':vector'))))""",
     )
 
 
 def vector_data(spark, d) -> DataFrame:
-    sampled = signals(spark, d).where("vectorName IN ('posX:vector', 'posY:vector', 'cbr:vector')")
+    sampled = signals(spark, d)
     orders = table(spark, d, "orders").selectExpr("o_orderkey AS eventNumber", "o_custkey")
     return sampled.join(orders, "eventNumber").selectExpr(
-        "source_file", "_row", "o_custkey * 4 + _row % 4 AS vectorId", "eventNumber", "simtimeRaw",
+        "source_file", "_row",
+        "o_custkey * 16 + if(_row % 4 = 3, 3 + eventNumber % 10, _row % 4) AS vectorId",
+        "eventNumber", "simtimeRaw",
         "value",
     )
 
@@ -222,14 +226,17 @@ FROM nation JOIN region ON n_regionkey = r_regionkey,
         )
     ),
     "f_vector": """
-SELECT 'run_' || c_nationkey || '.vec' AS source_file, c_custkey * 4 + v.n AS vectorId,
-  'World.node[' || (c_custkey % 20) || '].middleware' AS moduleName, v.name AS vectorName
+SELECT 'run_' || c_nationkey || '.vec' AS source_file, c_custkey * 16 + v.n AS vectorId,
+  'World.node[' || (c_custkey % 20) || '].middleware' AS moduleName,
+  coalesce(v.name, 'coordination_aoi_' || (v.n - 3) || '_' || (c_custkey % 1000) || ':vector') AS vectorName
 FROM customer,
-  (VALUES (0, 'posX:vector'), (1, 'posY:vector'), (2, 'cbr:vector')) v(n, name)""",
+  (VALUES (0, 'posX:vector'), (1, 'posY:vector'), (2, 'cbr:vector'), (3, NULL), (4, NULL), (5, NULL),
+    (6, NULL), (7, NULL), (8, NULL), (9, NULL), (10, NULL), (11, NULL), (12, NULL)) v(n, name)""",
     "f_vectorData": """
-SELECT source_file, _row, o_custkey * 4 + _row % 4 AS vectorId, eventNumber, simtimeRaw, value
-FROM f_signal JOIN orders ON eventNumber = o_orderkey
-WHERE vectorName IN ('posX:vector', 'posY:vector', 'cbr:vector')""",
+SELECT source_file, _row,
+  o_custkey * 16 + CASE _row % 4 WHEN 3 THEN 3 + eventNumber % 10 ELSE _row % 4 END AS vectorId,
+  eventNumber, simtimeRaw, value
+FROM f_signal JOIN orders ON eventNumber = o_orderkey""",
     "f_scalar": """
 SELECT 'run_' || s_nationkey || '.vec' AS source_file, s_suppkey * 2 + k.n AS _row,
   s_suppkey * 2 + k.n AS scalarId, s_nationkey::BIGINT AS runId,

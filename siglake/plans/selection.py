@@ -591,6 +591,23 @@ def merge_by_file(spark, d):
     return rounded(merged, "value_r")
 
 
+@register("""
+SELECT x.source_file, x.moduleName, y.source_file AS "source_file_r", x.eventNumber
+FROM f_signal x JOIN f_signal y ON x.moduleName = y.moduleName AND x.eventNumber % 1000 = y.eventNumber % 1000
+WHERE x.vectorName = 'posX:vector' AND y.vectorName = 'posY:vector' AND x.eventNumber % 100 = 7""")
+def merge_concatenated(spark, d):
+    """Two concatenations of the same files; rows of different files meet."""
+    sides = []
+    for name in ("posX:vector", "posY:vector"):
+        rows = fixtures.signals(spark, d).where(F.col("vectorName") == name).withColumn("_frame", F.col("source_file"))
+        rows = rows.select("_frame", "_row", "source_file", "moduleName", "eventNumber")
+        sides.append(frames.concat([rows.withColumn("slot", F.col("eventNumber") % 1000)], "all"))
+    left = sides[0]
+    right = sides[1].drop("eventNumber")
+    merged = joins.merge_by_files(left, right, ["moduleName", "slot"], ["moduleName", "slot"])
+    return merged.where("eventNumber % 100 = 7").select("source_file", "moduleName", "source_file_r", "eventNumber")
+
+
 @register("""
 WITH files AS (SELECT source_file, row_number() OVER (ORDER BY source_file) AS nth FROM f_run),
 names AS (SELECT source_file, runName, row_number() OVER (ORDER BY runName) AS nth FROM f_run)
