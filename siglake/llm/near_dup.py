@@ -23,9 +23,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from siglake.llm.common import unused
+from siglake.llm.common import unused, with_once
 from siglake.session import checkpointed, written
 
 REGISTERS = 256
@@ -171,20 +170,18 @@ def _digest(hashes: np.ndarray) -> bytes | None:
 def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
     """Per row of ``id``, ``text``: ``id``, ``n`` (set size), ``node`` (digest of the set), ``keys`` of its bands."""
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingle_set(t, settings.shingle) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"],
-                    "n": [len(s) for s in sets],
-                    "node": [_digest(s) for s in sets],
-                    "keys": [band_keys(registers(s), settings) for s in sets],
-                }
-            )
+    @F.pandas_udf("n long, node binary, keys array<long>")
+    def sketch(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_set(t, settings.shingle) for t in texts]
+        return pd.DataFrame(
+            {
+                "n": [len(s) for s in sets],
+                "node": [_digest(s) for s in sets],
+                "keys": [band_keys(registers(s), settings) for s in sets],
+            }
+        )
 
-    schema = _schema(docs, "n long, node binary, keys array<long>")
-    return docs.mapInPandas(sketch, schema)
+    return with_once(docs.select("id", sketch("text").alias("s")), "t", F.col("s")).select("id", "t.*")
 
 
 def full_sets(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -207,10 +204,6 @@ def full_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.mapInPandas(whole, "node binary, n long, signature binary, items array<long>")
 
 
-def _schema(docs: DataFrame, more: str) -> T.StructType:
-    return T.StructType([T.StructField("id", docs.schema["id"].dataType), *T._parse_datatype_string(more).fields])
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough."""
 
