@@ -9,8 +9,8 @@ may pass is confirmed on the full sets.
 Documents with one set are one class, and only classes are compared. In a band's group
 each class is first compared with one member (the hub) only, a different one in each
 band. Then only groups that still hold several components are looked at: their pairs
-across components are all compared; groups too large for that are first divided by the
-other bands of their members, which any similar pair shares with the same odds.
+across components are all compared. For groups too large for that, members are joined
+on the rarest items of their sets, which finds every similar pair among them exactly.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ class Settings:
     """shingle: words per shingle. percent: similarity from which two are linked.
     bands, rows: bands of so many registers each; two sets of just that similarity share
     no band in 4 of 100,000 cases (2 of 10,000 for CORPUS), more alike ones far less often. pair_factor: a group's remaining
-    pairs are compared at once if they are at most so many times its members. slack:
+    pairs are compared if they are at most so many times its members. hub_rounds: how
+    often large groups are compared with a further hub before their sets are. slack:
     how far below the threshold an estimate may be for the pair to be confirmed, in
     standard deviations of the estimate."""
 
@@ -46,7 +47,8 @@ class Settings:
     percent: int = 85
     bands: int = 32
     rows: int = 8
-    pair_factor: int = 32
+    pair_factor: int = 8
+    hub_rounds: int = 2
     slack: float = 6.0
 
 
@@ -248,52 +250,73 @@ def _relabelled(live: DataFrame, found: DataFrame) -> DataFrame:
     return live.join(found, "node", "left").select("g", "node", F.coalesce("component", "node").alias("component"))
 
 
-def links_of(members: DataFrame, keys: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame | None:
+def sharing_rare_items(nodes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` among which are all similar enough ones, without hashing into bands.
+
+    Two such sets share an item even among the first few of each, whatever the order
+    of all items; with the rarest first, these few meet rarely. So unlike sets that
+    agree in many common items, as copies each edited in its own way, make no pairs.
+    """
+    own = sets.join(nodes, "node", "left_semi").select("node", "n", F.explode("items").alias("item"))
+    often = own.groupBy("item").agg(F.count(F.lit(1)).alias("f"))
+    ranked = own.join(often, "item").groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("f", "item"))).alias("items")
+    )
+    # A set of n items and one similar enough share at least this many of them.
+    shared = F.ceil(F.col("n") * settings.percent / 100)
+    first = ranked.select(
+        "node", "n", F.explode(F.slice("items", F.lit(1), (F.col("n") - shared + 1).cast("int"))).alias("e")
+    ).select("node", "n", "e.item", "e.f")
+    first = checkpointed(first.where("f > 1").drop("f"))
+    other = first.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "item")
+    close = 100 * F.least("n", "n_b") >= settings.percent * F.greatest("n", "n_b")
+    return first.join(other, "item").where((F.col("node") < F.col("b")) & close).select(F.col("node").alias("a"), "b").distinct()
+
+
+def links_of(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame | None:
     """(node, component) from ``members`` (g, node) of the bands' groups; None without a link."""
     groups = members.groupBy("g").agg(F.min("node").alias("hub"))
     pairs = members.join(groups, "g").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = checkpointed(confirmed(pairs.distinct(), sets, settings))
     found = None if links.isEmpty() else components(links)
-    live, turn, paid = members, 0, True
+    turn = 0
     while True:
-        labelled = live.withColumn("component", F.col("node")) if found is None else _relabelled(live, found)
+        labelled = members.withColumn("component", F.col("node")) if found is None else _relabelled(members, found)
         parts = labelled.groupBy("g", "component").agg(F.count("*").alias("m"))
         sizes = parts.groupBy("g").agg(
             F.sum("m").alias("m"), F.count("*").alias("parts"), F.max_by("component", "m").alias("main"), F.max("m").alias("main_m")
         ).where("parts > 1")
         large = (F.col("m") > settings.pair_factor) & (F.col("m") - F.col("main_m") > settings.pair_factor)
-        sizes = sizes.select("g", "main", large.alias("large"))
-        open_groups = checkpointed(labelled.join(sizes, "g"))
-        counts = {r["large"]: r["n"] for r in open_groups.groupBy("large").agg(F.count("*").alias("n")).collect()}
+        members = checkpointed(labelled.join(sizes.select("g", "main", large.alias("large")), "g"))
+        counts = {r["large"]: r["n"] for r in members.groupBy("large").agg(F.count("*").alias("n")).collect()}
         if not counts:
             return found
-        hubs_first = paid and counts.get(True)
+        hubs_first = bool(counts.get(True)) and turn < settings.hub_rounds
         if hubs_first:
-            # Another hub for each large group, until most of its members are in one component.
+            # Another hub for each large group, so that most of its members come into one component.
             order = F.xxhash64("node", F.lit(turn))
-            hubs = open_groups.where("large").groupBy("g").agg(F.min_by(F.struct("node", "component"), order).alias("hub"))
-            chosen = open_groups.where("large").join(hubs, "g").where("component <> hub.component").select("node", F.col("hub.node").alias("other"))
-            live = open_groups.select("g", "node")
+            hubs = members.where("large").groupBy("g").agg(F.min_by(F.struct("node", "component"), order).alias("hub"))
+            chosen = members.where("large").join(hubs, "g").where("component <> hub.component").select("node", F.col("hub.node").alias("other"))
         else:
-            small = open_groups.where("not large")
+            small = members.where("not large")
             rest = small.where("component <> main").select("g", F.col("node").alias("other"), F.col("component").alias("theirs"))
             chosen = small.join(rest, "g").where("component <> theirs").select("node", "other")
-            # What is still large is divided by the other bands of its members.
-            divided = open_groups.where("large").select("g", "node").join(keys, "node").select(
-                F.xxhash64("g", "key").alias("g"), "node", F.col("g").alias("was"), "key"
-            ).where("key <> was")
-            live = divided.select("g", "node").distinct()
-            live = checkpointed(live) if counts.get(True) else None
-        pairs = chosen.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        fresh = checkpointed(confirmed(pairs, sets, settings))
-        links = links.unionByName(fresh)
-        linked = not fresh.isEmpty()
-        paid = paid and (linked or not hubs_first)
-        if linked:
-            links = checkpointed(links)
+        pairs = chosen.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+        if not hubs_first and counts.get(True):
+            apart = members.where("large").select("node", "component").distinct()
+            rare = sharing_rare_items(apart.select("node"), sets, settings)
+            side = lambda x: apart.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+            rare = rare.join(side("a"), "a").join(side("b"), "b").where("c_a <> c_b").select("a", "b")
+            pairs = pairs.unionByName(rare)
+        fresh = checkpointed(confirmed(pairs.distinct(), sets, settings))
+        if not fresh.isEmpty():
+            links = checkpointed(links.unionByName(fresh))
             found = components(links)
-        if live is None:
+        elif hubs_first:
+            turn = settings.hub_rounds
+        if not hubs_first:
             return found
+        members = members.select("g", "node")
         turn += 1
 
 
@@ -321,7 +344,7 @@ def near_duplicates(
     ids = written(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("_id")).distinct())
     texts = rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
     sets = checkpointed(full_sets(texts, settings).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
-    found = links_of(members, keys, sets, settings)
+    found = links_of(members, sets, settings)
     named = classes.select("node", "id")
     if found is None:
         labelled = named.select("node", F.col("id").alias("component_id"))
