@@ -2,19 +2,30 @@
 
 The distinct parts of all texts (see ``pieces``) become lattices: every substring up
 to the longest piece's length is looked up in the table of pieces, the edges of a part
-are gathered, and a fold over its characters finds the best path. The paths are joined
-back to the places of the parts.
+are gathered, and a fold over its characters finds the best path, of which it carries a
+score and the last edge for each end. The paths are joined back to the places of the
+parts. Memory and work grow linearly with a part, however long it is: a long part is
+known by its hash, and its substrings are taken from short windows of it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siglake.llm.common import filled, let
 from siglake.llm.pieces import BLANK, PARTS, Pieces, load
 
-_PATH = "struct<score:double,ids:array<int>>"
+# Characters of a part whose substrings are taken from one window.
+_WINDOW = 256
+# Parts up to so many characters are their own key.
+_SHORT = 40
+# An edge in 61 bits: its end, 255 less its length, whether it is a character that is no piece, and its id or code point.
+_END, _LENGTH, _CHAR = 30, 22, 21
 
 
 def parts_of(text: Column) -> Column:
@@ -24,58 +35,76 @@ def parts_of(text: Column) -> Column:
     )
 
 
+def key_of(part: Column) -> Column:
+    """The part, or a line feed and its SHA-256; no part has a line feed before other characters."""
+    return F.when(F.length(part) <= _SHORT, part).otherwise(F.concat(F.lit("\n"), F.sha2(part, 256)))
+
+
 def paths(parts: DataFrame, pieces: Pieces) -> DataFrame:
-    """(part, ids) of distinct ``part``s: their best paths.
+    """(key, ids) of distinct ``part``s: their best paths.
 
     The table of pieces is sent to every task; ``pieces.MAX_PIECES`` bounds it.
     """
+    if pieces.longest > 255:
+        raise ValueError("a piece is too long")
     spark = parts.sparkSession
-    table = spark.createDataFrame(
-        [(piece, pieces.ids[piece], float(score)) for piece, score in pieces.scores.items()],
-        "piece string, id int, score double",
+    table = spark.createDataFrame([(piece, pieces.ids[piece]) for piece in pieces.scores], "piece string, id int")
+    chars = F.translate("part", " ", BLANK)
+    windows = F.transform(
+        F.sequence(F.lit(0), F.length("part") - 1, F.lit(_WINDOW)),
+        lambda at: F.struct(at.alias("at"), F.substring(chars, at + 1, F.lit(_WINDOW + pieces.longest - 1)).alias("chars")),
     )
-    blanked = parts.withColumn("chars", F.translate("part", " ", BLANK))
-    starts = blanked.select("part", "chars", F.explode(F.sequence(F.lit(1), F.length("chars"))).alias("start"))
+    cut = parts.select(key_of(F.col("part")).alias("key"), F.explode(windows).alias("w")).select("key", "w.*")
+    room = F.least(F.lit(_WINDOW), F.length("chars"))
+    starts = cut.select("key", "at", "chars", F.explode(F.sequence(F.lit(1), room)).alias("start"))
     room = F.least(F.lit(pieces.longest), F.length("chars") - F.col("start") + 1)
-    subs = starts.select("part", "start", "chars", F.explode(F.sequence(F.lit(1), room)).alias("length"))
-    subs = subs.select("part", "start", "length", F.substring(F.col("chars"), F.col("start"), F.col("length")).alias("piece"))
+    subs = starts.select("key", "at", "start", "chars", F.explode(F.sequence(F.lit(1), room)).alias("length"))
+    end = (F.col("at") + F.col("start") - 1 + F.col("length")).cast("long")
+    subs = subs.select("key", end.alias("end"), "length", F.substring(F.col("chars"), F.col("start"), F.col("length")).alias("piece"))
     edges = subs.join(F.broadcast(table), "piece", "left").where(F.col("id").isNotNull() | (F.col("length") == 1))
-    lattice = edges.groupBy("part").agg(
-        F.collect_list(
-            F.struct((F.col("start") + F.col("length")).alias("end"), "start", "id", "score", "piece")
-        ).alias("edges")
+    code = F.conv(F.hex(F.encode("piece", "UTF-32")), 16, 10).cast("long")
+    packed = (
+        F.shiftleft(F.col("end"), _END)
+        + F.shiftleft((255 - F.col("length")).cast("long"), _LENGTH)
+        + F.when(F.col("id").isNull(), F.lit(1 << _CHAR) + code).otherwise(F.col("id").cast("long"))
     )
-    return lattice.select("part", _best(F.array_sort("edges"), pieces).alias("ids"))
+    lattice = edges.groupBy("key").agg(F.collect_list(packed).alias("edges"))
+    return lattice.select("key", _best(pieces)(F.col("edges")).alias("ids"))
 
 
-def _best(edges: Column, pieces: Pieces) -> Column:
-    """Fold over edges by end and start; the state has the best path to each character.
+def _best(pieces: Pieces):
+    """Fold over edges by end and start, then back over the edges of the best path.
 
     Of equal scores the first start wins. A character that is no piece is spelt in bytes.
     """
-    byte_ids = F.array(*[F.lit(i) for i in pieces.byte_ids])
-
-    def spelt(char: Column) -> Column:
-        code = F.hex(F.encode(char, "UTF-8"))
-        at = F.sequence(F.lit(1), F.length(code), F.lit(2))
-        return F.transform(at, lambda i: F.get(byte_ids, F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int")))
-
-    def step(state: Column, e: Column) -> Column:
-        known = e["id"].isNotNull()
-        before = F.get(state, e["start"] - 1)
-        score = before["score"] + F.when(known, e["score"]).otherwise(F.lit(pieces.unknown_score))
-        ids = F.concat(before["ids"], F.when(known, F.array(e["id"])).otherwise(spelt(e["piece"])))
-        path = F.struct(score.alias("score"), ids.alias("ids")).cast(_PATH)
-        size = F.size(state)
-        # Edges come by end, so the path to this end is the last of the state, if there is one yet.
-        return (
-            F.when(size < e["end"], F.concat(state, F.array(path)))
-            .when(score > F.get(state, size - 1)["score"], F.concat(F.slice(state, F.lit(1), size - 1), F.array(path)))
-            .otherwise(state)
-        )
-
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")).cast(_PATH))
-    return let(F.aggregate(edges, start, step), lambda s: F.get(s, F.size(s) - 1)["ids"])
+    scores = {pieces.ids[piece]: float(score) for piece, score in pieces.scores.items()}
+    unknown, byte_ids = pieces.unknown_score, pieces.byte_ids
+
+    def path(edges: np.ndarray) -> list[int]:
+        edges = np.sort(edges)
+        ends, lengths = (edges >> _END).tolist(), (255 - (edges >> _LENGTH & 255)).tolist()
+        chars, values = (edges >> _CHAR & 1).tolist(), (edges & (1 << _CHAR) - 1).tolist()
+        best = [float("-inf")] * (ends[-1] + 1)
+        last = [0] * len(best)
+        best[0] = 0.0
+        for i, end in enumerate(ends):
+            score = best[end - lengths[i]] + (unknown if chars[i] else scores[values[i]])
+            if score > best[end]:
+                best[end], last[end] = score, i
+        ids: list[int] = []
+        at = ends[-1]
+        while at:
+            i = last[at]
+            ids += [byte_ids[x] for x in reversed(chr(values[i]).encode())] if chars[i] else [values[i]]
+            at -= lengths[i]
+        return ids[::-1]
+
+    @F.pandas_udf("array<int>")
+    def best_paths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([path(edges) for edges in batch], dtype=object)
+
+    return best_paths
 
 
 def encode(docs: DataFrame, pieces: Pieces | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,16 +112,16 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, id_col: str = "doc_id"
 
     A missing or empty text has no pieces; repeated rows are encoded each. A frequent
     part, such as an article, meets its path in a join whose large partitions are
-    split. Other columns are not read.
+    split. A text without blanks is one part. Other columns are not read.
     """
     pieces = pieces or load()
     rows = docs.select(F.col(id_col).alias("id"), parts_of(filled(text_col)).alias("parts"))
     distinct = rows.select(F.explode(F.array_distinct("parts")).alias("part")).distinct()
     known = paths(distinct, pieces)
     placed = rows.withColumn("row", F.monotonically_increasing_id()).select(
-        "row", "id", F.posexplode_outer("parts").alias("at", "part")
+        "row", "id", F.posexplode_outer(F.transform("parts", key_of)).alias("at", "key")
     )
-    found = placed.join(known, "part", "left").groupBy("row", "id").agg(
+    found = placed.join(known, "key", "left").groupBy("row", "id").agg(
         F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "ids")))).alias("found")
     )
     return found.select(F.col("id").alias(id_col), F.flatten(F.transform("found", lambda x: x["ids"])).alias("ids"))

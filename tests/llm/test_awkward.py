@@ -216,6 +216,19 @@ def test_lattice_and_counts_agree_with_the_tokenizer(spark):
         assert counted[i] == len(want)
 
 
+def test_long_texts_without_blanks(spark):
+    import base64
+    import random
+
+    random.seed(1)
+    texts = [base64.b64encode(random.randbytes(75_000)).decode(), "漢字仮名\U0001f600" * 4_000, "f(x)=>{a.b};" * 5_000, "w" * 300 + " end"]
+    texts += ["x" * n + "é" for n in (39, 40, 255, 256, 257, 512)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = unigram()
+    for r in lattice.decode(lattice.encode(docs)).collect():
+        assert r["ids"] == model.encode(texts[r["doc_id"]]).ids and r["text"] == texts[r["doc_id"]]
+
+
 def test_near_duplicates_chain_and_copies(spark):
     words = [f"w{i}" for i in range(200)]
     base = " ".join(words)
