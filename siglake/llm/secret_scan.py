@@ -41,6 +41,17 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+# A key with its body: up to the END line, also in a quoted or commented string, or, if
+# there is none, to the end of the base64 lines. Long bodies are matched by character
+# classes, never by a repeated group, which would be recursive.
+_GAP, _BASE64 = r"[\t\n\r ]*", r"A-Za-z0-9+/=\\"
+_HEADERS = rf"(?:{_GAP}[A-Za-z-]+:[^\n]*\n){{0,8}}"
+_TO_END = rf"""{_HEADERS}[{_BASE64}\t\n\r "',>#*|]*-----END [A-Z ]*PRIVATE KEY-----"""
+_TO_LAST_LINE = (
+    rf"{_HEADERS}(?:{_GAP}[{_BASE64}\r\n]*[{_BASE64}]{{16,}}){{1,60}}(?:{_GAP}[{_BASE64}]{{1,15}}(?:\r?\n|\z))?"
+)
+PRIVATE_KEY = rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_TO_END}|{_TO_LAST_LINE})?"
+
 RULES = (
     Rule(
         "assign",
@@ -54,7 +65,7 @@ RULES = (
     # A run is found whole, so shorter runs can be left out by the pattern.
     Rule("hex", r"[0-9a-f]{16,}", 0, 16, base=True),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, ("private key-----",)),
+    Rule("private_key", PRIVATE_KEY, 0, 1, ("private key-----",), version=2),
 )
 
 

@@ -4,8 +4,10 @@ import array
 import hashlib
 import re
 
+import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from siglake.llm import (
@@ -16,6 +18,7 @@ from siglake.llm import (
     near_dup,
     packing,
     quality,
+    queries,
     secret_scan,
     token_count,
 )
@@ -143,6 +146,34 @@ def test_redaction(spark):
     assert rows[2]["text"] == "clean"
 
 
+def test_private_keys_go_with_their_body(spark):
+    import base64
+
+    line = base64.b64encode(bytes(range(48))).decode()
+    lines = "\n".join([line] * 50)
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    encrypted = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    texts = {
+        f"a\n{head}\n{lines}\nabc=\n{end}\nb": "a\n[SECRET]\nb",
+        f"{head}\r\n{encrypted}{lines}\n{end} b": "[SECRET] b",
+        f"k: |\n  {head}\n  {line}\n  {line}\n  ab==\n  {end}\nb: 1": "k: |\n  [SECRET]\nb: 1",
+        f'"{head}\\n{line}\\n{line}\\n{end}\\n"': '"[SECRET]\\n"',
+        f"{head}\n{lines}\nabcd1234ef\nThe next words\n{head}\n{line}\n{end}\nb": "[SECRET]The next words\n[SECRET]\nb",
+        f"{head}\n{lines}\nThe next words": "[SECRET]\nThe next words",
+        f"{head}\n  {line}\n  {line}": "[SECRET]",
+        f"{head}\n" + f"{line}\n" * 20_000 + "The next words": "[SECRET]\nThe next words",
+        f"look for {head} in it": "look for [SECRET] in it",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    want = {r[0]: r[-1] for r in connection.execute(queries.ORACLES["op2_secrets"]).fetchall()}
+    found = secret_scan.findings(docs, secret_scan.scan(docs)).select("doc_id", secret_scan.listed(F.col("spans")))
+    assert {r[0]: r[1] for r in found.collect()} == want
+
+
 def test_packing(awkward):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = packing.pack(awkward.dropDuplicates(["doc_id"])).collect()
