@@ -1,7 +1,10 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup sketches.
 
-A text's paragraphs (its lines that are not empty, each counted once) are hashed, and
-each hash is put into one cell of each of three tables: a cell has the number of its
+A text's paragraphs, each counted once, are hashed: its lines that are not empty, and
+of lines of more than 64 characters the pieces that end with a sentence or with a word
+whose hash says so, one in eight. Words of more than 64 characters are cut likewise,
+where the hash of four characters says so. A cut depends on the words around it only, so
+text that stays keeps its pieces. Each hash is put into one cell of each of three tables: a cell has the number of its
 hashes, their exclusive or, and that of a second hash of them. Subtracting one text's
 cells from another's leaves the paragraphs in which they differ. A cell with one of
 them names it; taking it out of its other cells frees more. If paragraphs remain in
@@ -15,12 +18,13 @@ within one table a paragraph has one cell only and is therefore never taken out
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siglake.llm.common import filled, with_once
+from siglake.llm.common import filled, let, with_once
 from siglake.session import checkpointed, written
 
 # Cells in each of the three tables of the fingerprint itself, and growth per retry.
@@ -28,6 +32,10 @@ CELLS = 16
 GROWTH = 4
 SWEEPS = 6
 _SEGMENTS = 64
+# Lines and words of more characters are cut; one cut in so many words, or characters of such words.
+_LONG = 64
+_ONE_IN = 8
+_SENTENCE_END = r"[.!?\x{3002}\x{FF01}\x{FF1F}][\x22'\x29\x5D\x{201D}\x{2019}\x{00BB}]*\x20*$"
 _TALLY = -1
 
 
@@ -77,10 +85,45 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
     return following.where("ghost = 0").drop("ghost") if lowest is not None else following.drop("ghost")
 
 
+def _grouped(tokens: Column, ends: Callable[[Column, Column], Column]) -> Column:
+    """Tokens joined up to each one that ends a group, or is the last."""
+
+    def groups(tokens: Column) -> Column:
+        last = F.size(tokens) - 1
+        places = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | ends(tokens, i))
+        start = lambda at, j: F.coalesce(F.get(at, j - 1) + 1, F.lit(0))
+        return let(
+            places,
+            lambda at: F.transform(at, lambda i, j: F.array_join(F.slice(tokens, start(at, j) + 1, i - start(at, j) + 1), "")),
+        )
+
+    return let(tokens, groups)
+
+
+def _pieces(line: Column) -> Column:
+    """A long line cut by its own words, each with the blank behind it."""
+    chosen = lambda value: F.pmod(F.xxhash64(value), F.lit(_ONE_IN)) == 0
+    four = lambda chars, i: F.concat(*[F.coalesce(F.get(chars, i - k), F.lit("")) for k in range(4)])
+    cut = lambda word: _grouped(
+        F.split(word, "", -1), lambda chars, i: chosen(four(chars, i)) | F.rlike(F.get(chars, i), F.lit(_SENTENCE_END))
+    )
+    words = F.flatten(
+        F.transform(F.split(line, "(?<= )", -1), lambda w: F.when(F.length(w) > _LONG, cut(w)).otherwise(F.array(w)))
+    )
+    ended = lambda words, i: chosen(F.rtrim(F.get(words, i))) | F.rlike(F.get(words, i), F.lit(_SENTENCE_END))
+    return F.filter(F.transform(_grouped(words, ended), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def paragraphs(text: Column) -> Column:
     """64-bit hashes of the distinct paragraphs."""
     lines = F.filter(F.split(text, "\n", -1), lambda x: x != "")
-    return F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))
+    units = F.flatten(
+        F.transform(
+            lines,
+            lambda x: F.when((F.length(x) > _LONG) & (F.trim(x) != ""), _pieces(x)).otherwise(F.array(x)),
+        )
+    )
+    return F.array_distinct(F.transform(units, lambda x: F.xxhash64(x)))
 
 
 def _cell(key: Column, table: int, cells: int) -> Column:

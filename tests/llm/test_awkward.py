@@ -215,6 +215,19 @@ def test_fingerprints(spark, awkward):
     assert got[0]["cells"] == got[1]["cells"] != got[5]["cells"]
 
 
+def test_long_lines_share_what_an_edit_keeps(spark):
+    import random
+
+    random.seed(3)
+    word = lambda: "".join(random.choices("abcdefghij", k=random.randint(2, 8)))
+    texts = [" ".join(word() for _ in range(n)) for n in (60, 400, 2_000)]
+    texts += ["".join(chr(random.randrange(0x4E00, 0x9000)) for _ in range(n)) for n in (1_000, 10_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprint.fingerprints(docs).collect()}
+    assert all(got[i]["near_edited"] > 0.1 and got[i]["near_next"] < 0.1 for i in range(5))
+    assert all(0.2 < got[i]["near_edited"] for i in (1, 2, 4)) and got[2]["near_edited"] < 0.8
+
+
 def test_licenses(spark):
     texts = ["This one has a notice below.\nReleased under the MIT License.", "Licensed under the Apache License, Version 2.0", "nothing", None, ""]
     rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
