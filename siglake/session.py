@@ -56,6 +56,25 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Tables between the steps of an operator, in a folder of its own below the shared one.
+
+    ``remove`` deletes those that no later result reads.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def remove(self, *names: str) -> None:
+        for name in names:
+            remove(self.spark, f"{self.folder}/{name}")
+
+
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """Settle a derived table, and let joins broadcast it if it has few bytes.
 
