@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglake.llm import (
+    centroids,
     fingerprint,
     html_extract,
     langid,
@@ -16,7 +17,9 @@ from siglake.llm import (
     near_dup,
     packing,
     quality,
+    resample,
     secret_scan,
+    substrings,
     token_count,
 )
 from siglake.llm.common import table
@@ -223,3 +226,86 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("licenses").cast("long").alias("n_matches"),
         F.round(F.coalesce(F.array_max(F.transform("licenses", lambda s: s["dice"])), F.lit(0.0)), 6).alias("dice"),
     )
+
+
+@register()
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents most like the benchmark, five of a hundred, drawn with Gumbel numbers."""
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+SUBSTRINGS_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+windows AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS seq
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words)
+),
+later AS (
+  SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY seq ORDER BY doc_id, s) > 1
+),
+covered AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+single AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+  FROM single ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+)
+SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
+"""
+
+
+@register(SUBSTRINGS_SQL)
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document, less those in windows of twenty words that occurred before."""
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def centroids_sql(settings: centroids.Settings = centroids.Settings()) -> str:
+    """The rounds written out, with all distances."""
+    size = settings.size
+    distance = f"list_sum(list_transform(range(1, {size + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    steps = []
+    for turn in range(settings.rounds + 1):
+        steps.append(f"""
+a{turn} AS (
+  SELECT r, k, CAST(d AS BIGINT) AS distance FROM (SELECT r, k, {distance} AS d FROM kept, c{turn})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1
+)""")
+        steps.append(f"""
+c{turn + 1} AS (
+  SELECT k, coalesce(m, c) AS c FROM c{turn} LEFT JOIN (
+    SELECT k, list(CAST((s - (s % n + n) % n) // n AS BIGINT) ORDER BY i) AS m
+    FROM (SELECT k, i, sum(x) AS s, count(*) AS n
+      FROM (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept) JOIN a{turn} USING (r) GROUP BY k, i)
+    GROUP BY k) USING (k)
+)""")
+    last = settings.rounds
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor({settings.scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size} AND len(embedding) = {size}
+),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('{settings.seed}:' || vec_id), v) - 1 AS k, v AS c
+  FROM kept QUALIFY k < {settings.clusters}
+),{",".join(steps[:-1])}
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN kept USING (r) JOIN c{last} USING (k)
+"""
+
+
+@register(centroids_sql())
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its cluster after three rounds."""
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
