@@ -6,7 +6,7 @@ in the same place. Documents are joined on anchors; an anchor's windows are the
 extended to both sides as far as the anchor holds.
 
 * Occurrences whose whole extension is equal need only their first one: all later ones
-  are repeats from end to end. Within a batch this is decided before anything moves.
+  are repeats from end to end. Within a block of texts this is decided before anything moves.
 * Where an anchor occurs in several extensions, the extensions are compared window by
   window, each with the first occurrence of that window. Neighbouring matches along one
   diagonal join into maximal repeats.
@@ -20,15 +20,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from siglake.session import Steps
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+# Bytes of text whose words a task holds at a time.
+BLOCK_BYTES = 8 << 20
 SPANS = "array<struct<start: int, end: int>>"
 
 
@@ -69,77 +74,138 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
         width *= 2
 
 
-def extensions(words: list[bytes], settings: Settings) -> tuple[np.ndarray, ...]:
-    """The anchors of a text: hash, hash of the extension, start and end of its words.
+def _smallest(values: np.ndarray, size: int) -> np.ndarray:
+    """Place of the first smallest value in each run of ``size`` values."""
+    n = len(values) - size + 1
+    best, place = values[:n].copy(), np.arange(n)
+    for j in range(1, size):
+        less = values[j : n + j] < best
+        best[less] = values[j : n + j][less]
+        place[less] = np.flatnonzero(less) + j
+    return place
+
+
+class Words:
+    """The words of several texts: one after the other, with the text and place of each."""
+
+    def __init__(self, texts: list[bytes]):
+        found = [t.split() for t in texts]
+        self.lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.words = [w for words in found for w in words]
+        self.text = np.repeat(np.arange(len(found)), self.lengths)
+        self.hashes = word_hashes(self.words)
+
+    def windows(self, length: int) -> np.ndarray:
+        """Where a window of ``length`` words inside one text starts."""
+        if len(self.words) < length:
+            return np.empty(0, np.int64)
+        return np.flatnonzero(self.text[: len(self.text) - length + 1] == self.text[length - 1 :])
+
+
+def extensions(found: Words, settings: Settings) -> tuple[np.ndarray, ...]:
+    """The anchors of the texts: text, hash, hash of the extension, start and end of its words.
 
     The extension of an anchor is all windows that have it as their anchor; together
     they are one run of words, told by its first and last window and the anchor's place.
     """
-    first, _ = word_hashes(words)
+    starts = found.windows(settings.length)
+    if not len(starts):
+        return tuple(np.empty(0, np.int64) for _ in range(5))
+    first, _ = found.hashes
     windows, grams = run_hashes(first, settings.length), run_hashes(first, settings.gram)
-    choice = np.lib.stride_tricks.sliding_window_view(grams, settings.length - settings.gram + 1)
-    anchor = np.arange(len(windows)) + choice.argmin(axis=1)
-    low = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-    high = np.concatenate([low[1:], [len(windows)]]) - 1
-    place = ((anchor[low] - low) * settings.length + (high - low)).astype(np.uint64)
+    anchor = _smallest(grams, settings.length - settings.gram + 1)[starts]
+    text = found.text[starts]
+    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])
+    first_of = np.flatnonzero(new)
+    low, high = starts[first_of], starts[np.concatenate([first_of[1:], [len(starts)]]) - 1]
+    anchor, text = anchor[first_of], text[first_of]
+    place = ((anchor - low) * settings.length + (high - low)).astype(np.uint64)
     whole = _followed(_followed(windows[low], windows[high]), place)
-    return grams[anchor[low]].view(np.int64), whole.view(np.int64), low, high + settings.length
+    begin = found.begins[text]
+    return text, grams[anchor].view(np.int64), whole.view(np.int64), low - begin, high + settings.length - begin
 
 
-def _listed(rows: np.ndarray, size: int, *columns: np.ndarray) -> list[list[tuple]]:
-    """The tuples of the columns by row, for ``size`` rows."""
+def _lists(rows: np.ndarray, size: int, **fields: np.ndarray) -> pa.ListArray:
+    """Lists of structs, one for each of ``size`` rows."""
     order = np.argsort(rows, kind="stable")
-    ends = np.cumsum(np.bincount(rows, minlength=size))
-    items = list(zip(*[c[order].tolist() for c in columns]))
-    return [items[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=size))])
+    structs = pa.StructArray.from_arrays([pa.array(c[order]) for c in fields.values()], list(fields))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batches in blocks of a few texts, with the texts of ``_text``; a missing one is empty."""
+    for batch in batches:
+        texts = batch.column("_text").fill_null(b"")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // BLOCK_BYTES
+        edges = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a), texts.slice(a, b - a).to_pylist()
+
+
+def _int32(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.int32)
 
 
 def marked(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Per text (_at, _key): ``anchors`` to compare with other batches, and ``spans`` found to be repeats.
+    """Per text (_at, _key): ``anchors`` to compare with other blocks, and ``spans`` found to be repeats.
 
-    Of equal extensions in a batch only the first goes on; the later ones are repeats
-    already. Rows that share an id and a place are one occurrence.
+    Of equal extensions in a block of texts only the first goes on; the later ones are
+    repeats already. Rows that share an id and a place are one occurrence.
     """
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for row, (at, text) in enumerate(zip(batch["_at"], batch["_text"])):
-                words = (text or b"").split()
-                if len(words) >= settings.length:
-                    columns = extensions(words, settings)
-                    found.append((np.full(len(columns[0]), row), np.full(len(columns[0]), at), *columns))
-            if not found:
-                continue
-            row, at, anchor, whole, low, high = map(np.concatenate, zip(*found))
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, texts in _blocks(batches):
+            row, anchor, whole, low, high = extensions(Words(texts), settings)
+            at = block.column("_at").to_numpy()[row]
             order = np.lexsort((low, at, whole, anchor))
             row, at, anchor, whole, low, high = (c[order] for c in (row, at, anchor, whole, low, high))
-            new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])])
+            new = np.ones(len(row), bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (whole[1:] != whole[:-1])
             head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
             later = (at != at[head]) | (low != low[head])
-            size = len(batch)
-            spans = _listed(row[later], size, low[later], high[later])
-            anchors = _listed(row[~later], size, anchor[~later], whole[~later], low[~later], high[~later])
-            out = pd.DataFrame({"_at": batch["_at"], "_key": batch["_key"], "anchors": anchors, "spans": spans})
-            yield out[(out["anchors"].str.len() > 0) | (out["spans"].str.len() > 0)]
+            start, end, size = _int32(low), _int32(high), len(texts)
+            go_on = {"a": anchor, "whole": whole, "start": start, "end": end}
+            anchors = _lists(row[~later], size, **{k: v[~later] for k, v in go_on.items()})
+            spans = _lists(row[later], size, start=start[later], end=end[later])
+            yield pa.record_batch(
+                [block.column("_at"), block.column("_key"), anchors, spans], ["_at", "_key", "anchors", "spans"]
+            )
 
     kinds = f"_at long, _key long, anchors array<struct<a: long, whole: long, start: int, end: int>>, spans {SPANS}"
-    return docs.mapInPandas(mark, kinds)
+    return docs.select("_at", "_key", "_text").mapInArrow(mark, kinds)
+
+
+def _ranges(lists: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of each row's list of spans."""
+    lists = lists.fill_null([]) if lists.null_count else lists
+    offsets, spans = lists.offsets.to_numpy(), lists.values
+    starts, ends = (spans.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    return [(starts[a:b], ends[a:b]) for a, b in zip(offsets, offsets[1:])]
 
 
 def window_hashes(docs: DataFrame, settings: Settings) -> DataFrame:
     """The windows of the extensions ``runs`` of each text: two hashes and the first word."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at, key, text, runs in zip(batch["_at"], batch["_key"], batch["_text"], batch["runs"]):
-                one, two = (run_hashes(h, settings.length) for h in word_hashes(text.split()))
-                starts = np.unique(np.concatenate([np.arange(r["start"], r["end"] - settings.length + 1) for r in runs]))
-                yield pd.DataFrame(
-                    {"h1": one[starts].view(np.int64), "h2": two[starts].view(np.int64), "_at": at, "_key": key, "start": starts}
-                )
-
-    return docs.mapInPandas(cut, "h1 long, h2 long, _at long, _key long, start int")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, texts in _blocks(batches):
+            found = Words(texts)
+            windows = [
+                np.unique(np.concatenate([np.arange(a, b - settings.length + 1) for a, b in zip(*run)]))
+                for run in _ranges(block.column("runs"))
+            ]
+            row = np.repeat(np.arange(len(texts)), [len(w) for w in windows])
+            start = np.concatenate(windows)
+            place = found.begins[row] + start
+            hashes = [run_hashes(h, settings.length)[place].view(np.int64) for h in found.hashes]
+            owner = [block.column(c).to_numpy()[row] for c in ("_at", "_key")]
+            columns = map(pa.array, [*hashes, *owner, _int32(start)])
+            yield pa.record_batch(list(columns), ["h1", "h2", "_at", "_key", "start"])
+
+    kinds = "h1 long, h2 long, _at long, _key long, start int"
+    return docs.select("_at", "_key", "_text", "runs").mapInArrow(cut, kinds)
 
 
 def maximal(matches: DataFrame, settings: Settings) -> DataFrame:
@@ -199,7 +265,8 @@ def without_repeats(
     earlier: in a document with a smaller id, or before in the same one. Ids are whole
     numbers; a missing id comes before all others. Rows that share an id are copies of one document:
     the same place in them is one occurrence. A missing text, or one without words, has
-    an empty text. Other columns are not read. Memory holds one batch of texts.
+    an empty text. Other columns are not read. Memory holds one
+    batch of texts and the words of one block, or of one longer text.
     """
     at = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     text = F.col(text_col).cast("binary")
@@ -207,24 +274,41 @@ def without_repeats(
     steps = Steps(docs.sparkSession, "substrings")
     spans = repeats(rows.drop("_id"), steps, settings)
 
-    @F.pandas_udf(f"n_words long, n_removed long, removed {SPANS}, text string")
-    def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_kept(t, s) for t, s in zip(texts, found)], columns=["n_words", "n_removed", "removed", "text"])
-
-    joined = rows.join(spans, ["_at", "_key"], "left").select("_id", F.explode(F.array(cut("_text", "spans"))).alias("r"))
-    return joined.select(F.col("_id").alias(id_col), "r.*")
-
-
-def _kept(text: bytes | None, spans) -> tuple[int, int, list, str]:
-    words = (text or b"").split()
-    merged: list[tuple[int, int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in (spans if spans is not None else [])):
-        if merged and start <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+    id_type = docs.schema[id_col].dataType
+    kinds = T.StructType([T.StructField("_id", id_type), *T.StructType.fromDDL(f"n_words long, n_removed long, removed {SPANS}, text binary")])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, texts in _blocks(batches):
+            counts, starts, ends, rows, kept = [], [], [], [], []
+            for row, (text, spans) in enumerate(zip(texts, _ranges(block.column("spans")))):
+                words = text.split()
+                gone = merged(*spans)
+                left, at = [], 0
+                for start, end in gone:
+                    left += words[at:start]
+                    at = end
+                left += words[at:]
+                counts.append((len(words), len(words) - len(left)))
+                kept.append(b" ".join(left))
+                rows += [row] * len(gone)
+                starts += [a for a, _ in gone]
+                ends += [b for _, b in gone]
+            whole = lambda values: np.array(values, np.int32)
+            removed = _lists(np.array(rows, np.int64), len(texts), start=whole(starts), end=whole(ends))
+            n_words, n_removed = (pa.array(c, pa.int64()) for c in zip(*counts))
+            ids = block.column("_id").cast(to_arrow_type(id_type))
+            yield pa.record_batch([ids, n_words, n_removed, removed, pa.array(kept, pa.binary())], kinds.names)
+
+    found = rows.join(spans, ["_at", "_key"], "left").select("_id", "_text", "spans").mapInArrow(cut, kinds)
+    return found.select(F.col("_id").alias(id_col), "n_words", "n_removed", "removed", F.col("text").cast("string").alias("text"))
+
+
+def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
+    """The spans in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(zip(starts.tolist(), ends.tolist())):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
-            merged.append((start, end))
-    kept, at = [], 0
-    for start, end in [*merged, (len(words), len(words))]:
-        kept += words[at:start]
-        at = end
-    return len(words), len(words) - len(kept), merged, b" ".join(kept).decode()
+            out.append((start, end))
+    return out
