@@ -123,14 +123,26 @@ def apply_groups(
     function: Callable[[], Column],
     across_frames: bool = False,
 ) -> DataFrame:
-    """Like ``aggregate_groups``, for an expression that reads several columns."""
+    """Like ``aggregate_groups``, for an expression that reads several columns.
+
+    A task keeps the first row and the partial result of each of its groups in a hash
+    table, so rows are neither sorted nor read twice. Tasks with more groups than
+    ``session.SETTINGS`` allows in memory go on by sorting what they have.
+
+    By themselves, texts and structs would make Spark sort all rows, as its hash table of
+    fixed width has no place for them. Beside a list, here an empty one, it keeps all
+    results as objects in a hash table.
+    """
     groups = group_keys(keys, across_frames)
     carried = _template(df, groups, (input_column, output_column))
     aggregates = [function().alias(output_column)]
     if carried:
         aggregates.append(F.min_by(F.struct(*carried), row_order(df)).alias("_first"))
+        aggregates.append(F.collect_list(F.lit(None).cast("boolean")).alias("_none"))
     columns = [c for c in df.columns if c not in (input_column, output_column)]
     result = with_keys_present(df, groups).groupBy(*groups).agg(*aggregates)
+    if carried:
+        result = result.where(F.size("_none") == 0)
     return result.select(
         *[F.col(c) if c in groups else F.col(f"_first.{c}").alias(c) for c in columns],
         output_column,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siglake.functions import numbers
 from siglake.functions.text import Pattern, field
-from siglake.model import row_order
+from siglake.model import group_keys, row_order
 from siglake.operators.frames import apply_groups
 
 PICOSECONDS_TO_MS = 1e-9
@@ -25,7 +25,7 @@ def update_interval(
 ) -> DataFrame:
     """Mean time between consecutive samples of a group; NULL for a single one.
 
-    The differences of sorted times add up to the span, so nothing is sorted.
+    The differences of sorted times add up to the span, so no times are sorted.
     """
     span = F.max(time) - F.min(time)
     gaps = F.count(time) - 1
@@ -50,7 +50,8 @@ def age_of_information(
     """
 
     def mean() -> Column:
-        first = F.min_by(variable, F.struct(time, row_order(df)))
+        same = variable in group_keys(keys, across_frames)  # all samples of a group have one
+        first = F.col(variable) if same else F.min_by(variable, F.struct(time, row_order(df)))
         generated = numbers.to_long(field(first, "_", -1))
         elapsed = F.max(time) * F.lit(to_ms) - generated
         return F.when(elapsed != 0, F.coalesce(F.sum(F.col(input_column).cast("double")), F.lit(0.0)) / elapsed)

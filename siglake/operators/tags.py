@@ -252,7 +252,7 @@ def _first_iterationvars(run_attrs: DataFrame) -> DataFrame:
     return (
         run_attrs.where(F.col("attrName") == "iterationvars")
         .groupBy(SOURCE)
-        .agg(F.min_by("attrValue", ROW).alias("variables"))
+        .agg(F.array_min(F.collect_list(F.struct(ROW, "attrValue")))["attrValue"].alias("variables"))
     )
 
 
@@ -315,14 +315,17 @@ def wide_tags(
 ) -> DataFrame:
     """One row per file and one typed column per allowed tag; NULL where a file lacks it.
 
-    The last writer is picked per tag in the same aggregation that makes the columns.
+    A file's candidates are gathered as a list, from which the last writer of each tag is taken.
     """
     types = RuleSet.build().types() if types is None else types
     names = list(allowed)
-    last = [
-        F.expr(f"max_by(value, precedence) FILTER (WHERE key = {_quoted(n)}) AS `{n}`") for n in names
-    ]
-    wide = tags.where(F.col("key").isin(names)).groupBy(SOURCE).agg(*last)
+    listed = F.collect_list(F.struct("key", "precedence", "value"))
+    found = tags.where(F.col("key").isin(names)).groupBy(SOURCE).agg(listed.alias("_found"))
+
+    def last(name: str) -> Column:
+        return F.array_max(F.filter("_found", lambda t: t["key"] == name))["value"].alias(name)
+
+    wide = found.select(SOURCE, *[last(n) for n in names])
     parsed = {
         "double": to_double, "bigint": to_long, "boolean": lambda v: v.try_cast("boolean")
     }

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Groups with texts or lists that a task aggregates in memory before it sorts them.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 

@@ -165,3 +165,24 @@ def test_rows_paired_by_position(df, size):
     assert rows(numbered, "_frame", "_row", "_ordinal") == [
         (f, r, r - 1) for f in "ab" for r in (1, 2, 3)
     ]
+
+
+def test_group_results_are_not_sorted(spark):
+    import __spark_entry__ as contract
+
+    for name in ("group_mean", "group_mean_across_frames", "update_interval", "age_of_information", "sum_over_count", "group_function"):
+        df = contract.queries()[name](spark, "/root/testdata/sf0.001")
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_more_groups_than_fit_in_memory_are_sorted(spark):
+    rows = spark.range(5000).selectExpr("'f' AS _frame", "5000 - id AS _row", "id % 700 AS k", "id AS x", "string(id) AS note")
+    name = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    usual = spark.conf.get(name)
+    got = []
+    for threshold in (usual, "3"):
+        spark.conf.set(name, threshold)
+        got.append(sorted(frames.aggregate_groups(rows, ["k"], "x", "total", "sum").collect()))
+    spark.conf.set(name, usual)
+    assert got[0] == got[1] and len(got[0]) == 700
+    assert {(r.k, r.note) for r in got[0]} == {(i % 700, str(i)) for i in range(4300, 5000)}
