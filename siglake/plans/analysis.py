@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from siglake.operators import columns, compare, extract, frames, metrics, query,
 from siglake.plans import fixtures
 from siglake.plans.registry import r6, register, rounded
 from siglake.plans.selection import AOI_PATTERN, PPE_PATTERN
+from siglake.session import shared_folder
+from siglake.sources import arrow_files, sinks
 
 RATE_KEYS = ["v2x_rate", "moduleName"]
 
@@ -235,6 +239,15 @@ def complement(spark, d):
     return rounded(mapped.drop("statMin"), "loss")
 
 
+@register("SELECT source_file, source_file AS _frame, _row, moduleName, simtimeRaw, cbr FROM f_cbr")
+def read_written_arrow(spark, d):
+    """A dataset written as Arrow files, one folder per frame, and read back."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "simtimeRaw", "cbr")
+    folder = f"{shared_folder(spark).rstrip('/')}/arrow-{uuid.uuid4().hex}"
+    sinks.save(rows, folder, "arrow", separate=True)
+    return arrow_files.read_arrow_folder(spark, folder)
+
+
 # Metrics ---------------------------------------------------------------------------------
 
 

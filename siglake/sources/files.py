@@ -7,45 +7,53 @@ import re
 from collections.abc import Sequence
 from pathlib import PurePath
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siglake.functions.text import Pattern
 from siglake.model import FRAME, PART, ROW, SOURCE
 from siglake.session import broadcast_if_small
+from siglake.sources.store import listing, qualified
 
 # Fixed value: what counts as literal in a path pattern.
 _LITERAL_RUN = re.compile(r"[a-zA-Z0-9_\-/]+")
 SAMPLE_SEED = 23
 
 
+# A store named at the start of a path, such as ``hdfs://host``.
+_STORE = re.compile(r"[a-zA-Z][a-zA-Z0-9+.\-]*:(?://[^/]*)?(?=/)")
+
+
 def static_root(pattern: str) -> str:
-    """Folder above the first run of literal characters in a path pattern."""
-    return str(PurePath(_LITERAL_RUN.search(pattern).group()).parent)
+    """Folder above the first run of literal characters in a path pattern, with its store."""
+    store = _STORE.match(pattern)
+    start = store.end() if store else 0
+    return pattern[:start] + str(PurePath(_LITERAL_RUN.search(pattern, start).group()).parent)
 
 
 def relative_pattern(pattern: str) -> tuple[str, str]:
     root = static_root(pattern)
-    return root, str(PurePath(pattern).relative_to(root))
+    store = _STORE.match(root)
+    start = store.end() if store else 0
+    return root, str(PurePath(pattern[start:]).relative_to(root[start:]))
 
 
-def list_files(patterns: str | Sequence[str]) -> tuple[str, list[str]]:
+def list_files(patterns: str | Sequence[str], spark: SparkSession | None = None) -> tuple[str, list[str]]:
     """Common root and the files matching each pattern in turn; a file may come up twice.
 
-    A pattern is searched in the path below its static root.
+    A pattern is searched in the path below its static root, which may lie in any store
+    that Spark reads. Spark lists and chooses the files; hidden ones are passed over.
     """
+    spark = spark or SparkSession.active()
     single = isinstance(patterns, str)
     roots, found = [], []
     for pattern in [patterns] if single else patterns:
         root, relative = relative_pattern(pattern)
-        regex = re.compile(relative)
         roots.append(root)
-        found += sorted(
-            path
-            for folder, _, names in os.walk(root)
-            for path in (os.path.join(folder, name) for name in names)
-            if regex.search(os.path.relpath(path, root))
-        )
+        prefix = qualified(spark, root).rstrip("/") + "/"
+        inside = F.substring(F.col("path"), len(prefix) + 1, 2**31 - 1)
+        rows = listing(spark, root).where(Pattern(relative).found(inside)).select(inside.alias("name")).collect()
+        found += sorted(f"{root.rstrip('/')}/{row['name']}" for row in rows)
     if not found:
         raise FileNotFoundError(f"no input files for {patterns}")
     return roots[0] if single else os.path.commonprefix(roots), found

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from siglake.model import DATA_COLUMNS, ROW, SOURCE, nan_to_null
 from siglake.session import broadcast_if_small, remove, stored_bytes
-from siglake.sources.sqlite import FORMAT, RUN_PARAMETERS, SqliteResults
+from siglake.sources.sqlite import FORMAT, RUN_PARAMETERS, SqliteResults, unpacked, unpacked_rows
+from siglake.sources.store import split_by_reach
 
 # Column to order a written table by, so that a query by name reads few row groups.
 SORTED_BY = {
@@ -26,6 +27,8 @@ SORTED_BY = {
     "runs": [SOURCE, "runId"],
 }
 
+# Tables of a result file.
+TABLES = ("run", "runAttr", RUN_PARAMETERS, "vector", "vectorData", "scalar", "statistic")
 
 # Stored bytes of the staged table for each sorted partition.
 PARTITION_BYTES = 256 << 20
@@ -68,10 +71,16 @@ class Results:
 
 
 def read_sqlite(spark: SparkSession, paths: Sequence[str], table: str, **options) -> DataFrame:
-    """One table of all files, unreadable files included (see ``ingest_error``)."""
+    """One table of all files, unreadable files included (see ``ingest_error``).
+
+    The paths may lie in any store that Spark reads. ``options`` are those of the data
+    source for files that tasks can open.
+    """
+    local, stored = split_by_reach(spark, paths)
     spark.dataSource.register(SqliteResults)
-    reader = spark.read.format(FORMAT).options(table=table, paths=json.dumps(list(paths)))
-    return reader.options(**options).load()
+    reader = spark.read.format(FORMAT).options(table=table, paths=json.dumps(local))
+    rows = reader.options(**options).load()
+    return rows.unionByName(unpacked_rows(unpacked(spark, stored, [table]), table)) if stored else rows
 
 
 def join_signals(vector: DataFrame, vector_data: DataFrame) -> DataFrame:
@@ -109,12 +118,19 @@ def ingest(spark: SparkSession, paths: Sequence[str], target: str, **options) ->
     of a file that cannot be read is listed in ``ingest_errors`` and costs only itself:
     the file's other tables stay. Samples need the file's table of signal names too.
     """
-    paths = list(paths)
     staged = {}
     staging = f"{target}/_staging"
-    for table in ("run", "runAttr", RUN_PARAMETERS, "vector", "vectorData", "scalar", "statistic"):
+    local, stored = split_by_reach(spark, paths)
+    files = None
+    if stored:
+        unpacked(spark, stored, TABLES).write.mode("overwrite").parquet(f"{staging}/files")
+        files = spark.read.parquet(f"{staging}/files")
+    for table in TABLES:
         folder = f"{staging}/{table}"
-        read_sqlite(spark, paths, table, **options).write.mode("overwrite").parquet(folder)
+        rows = read_sqlite(spark, local, table, **options)
+        if files is not None:
+            rows = rows.unionByName(unpacked_rows(files, table))
+        rows.write.mode("overwrite").parquet(folder)
         staged[table] = spark.read.parquet(folder)
 
     errors = None

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from siglake.model import FRAME, SOURCE
+from siglake.model import FRAME, PART, ROW, SOURCE
 from siglake.operators.columns import convert_columns
 from siglake.session import remove
+from siglake.sources.arrow_files import FORMAT, ArrowFiles
 
-FORMATS = ("parquet", "json")
+FORMATS = ("parquet", "json", "arrow")
 
 
 def output_name(path: Column, root: str = "", aliases: Sequence[str] = ()) -> Column:
@@ -41,7 +42,8 @@ def save(
 ) -> bool:
     """Write a dataset, as a whole or one folder per frame; whether it had a row.
 
-    Of an empty dataset nothing is left. Rows are counted while they are written. For
+    ``arrow`` writes Feather files (Arrow, lz4), ``read_arrow_folder`` reads them back; with
+    ``separate``, a frame's rows lie in their order in its files. Of an empty dataset nothing is left. Rows are counted while they are written. For
     separate folders, rows are first gathered by frame, a large frame in several tasks.
     ``raw`` writes group results as they are, without converting columns.
     """
@@ -55,10 +57,18 @@ def save(
         df = df.withColumn("output", output_name(F.col(frame), common_root, aliases))
         df = df.hint("rebalance", "output")
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
-    if separate:
-        writer = writer.partitionBy("output")
-    writer.mode(mode).options(**writer_options).format(file_format).save(path)
+    if file_format == "arrow":
+        df.sparkSession.dataSource.register(ArrowFiles)
+        order = [c for c in (FRAME, PART, ROW) if c in df.columns]
+        by = {"by": "output"} if separate else {}
+        rows = df.sortWithinPartitions("output", *order) if separate else df
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        rows.write.format(FORMAT).mode(mode).options(path=path, **by).save()
+    else:
+        writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write
+        if separate:
+            writer = writer.partitionBy("output")
+        writer.mode(mode).options(**writer_options).format(file_format).save(path)
     if written.get["rows"]:
         return True
     remove(df.sparkSession, path)

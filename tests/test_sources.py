@@ -48,7 +48,7 @@ def folder(tmp_path_factory):
     return root
 
 
-def test_files_are_listed_by_pattern(folder):
+def test_files_are_listed_by_pattern(spark, folder):
     root, found = files.list_files(str(folder) + r"/runs/[ab]\.vec$")
     assert [p.rsplit("/", 1)[1] for p in found] == ["a.vec", "b.vec"]
     assert str(folder).startswith(root)
@@ -213,3 +213,84 @@ def test_saved_frames_of_unlike_width(spark, tmp_path):
     df = arrow_files.read_parquet_frames(spark, str(tmp_path / "a"), str(tmp_path / "b"), tolerant=True)
     assert df.count() == 5 and df.where("x IS NOT NULL").count() == 0
     assert df.where("_frame LIKE '%/b/%'").select("_frame").distinct().count() == 1
+
+
+@pytest.fixture(scope="module")
+def mounted(spark, folder):
+    """The folder as one that only Spark's readers can open."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.lab.link./in", f"file:{folder}")
+    return "viewfs://lab/in"
+
+
+def test_ingest_from_a_store_that_only_spark_opens(spark, folder, mounted, tmp_path):
+    wal = sqlite3.connect(folder / "runs" / "wal.vec")
+    wal.execute("PRAGMA journal_mode=wal")
+    wal.close()
+    write_result(folder / "runs" / "wal.vec", rows=4)
+    root, paths = files.list_files(mounted + r"/runs/.*vec$")
+    assert root == "viewfs://lab/in" and [p[len(root) :] for p in paths] == [
+        f"/runs/{n}.vec" for n in ("a", "b", "broken", "empty", "wal")
+    ]
+    near, far = str(tmp_path / "near"), str(tmp_path / "far")
+    results.ingest(spark, files.list_files(str(folder) + r"/runs/.*vec$")[1], near)
+    results.ingest(spark, [*paths, f"{mounted}/runs/gone.vec"], far)
+    name = F.substring_index("source_file", "/", -1)
+    for table in ("signals", "scalars", "statistics", "run_attrs", "run_params", "runs"):
+        a, b = (spark.read.parquet(f"{t}/{table}").withColumn("source_file", name) for t in (near, far))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty(), table
+    errors = spark.read.parquet(f"{far}/ingest_errors").withColumn("source_file", name)
+    assert {r.source_file for r in errors.collect()} == {"broken.vec", "empty.vec", "gone.vec"}
+    (folder / "runs" / "wal.vec").unlink()
+
+
+def test_files_too_large_for_memory_are_errors(spark, mounted):
+    from siglake.sources import store
+
+    found = {r.path[-5:]: (r.content, r.error) for r in store.contents(spark, [f"{mounted}/runs/a.vec"], 100).collect()}
+    assert found["a.vec"][0] is None and "in one piece" in found["a.vec"][1]
+
+
+def arrow_rows(df):
+    return sorted(map(tuple, df.select("_frame", "_row", "k", "x", "t").collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def saved(spark):
+    rows = spark.range(1000).selectExpr(
+        "concat('/d/run=', id % 3, '/a.vec') AS _frame", "id AS _row", "string(id % 7) AS k",
+        "if(id % 5 = 0, null, id / 8) AS x", "timestamp_seconds(id) AS t",
+    )
+    return rows.repartition(4, "_row")
+
+
+def test_arrow_files_come_back_as_they_were_saved(spark, saved, tmp_path, folder):
+    path = str(tmp_path / "whole")
+    assert sinks.save(saved, path, "arrow") and arrow_rows(arrow_files.read_arrow_folder(spark, path)) == arrow_rows(saved)
+    assert sinks.save(saved, path, "arrow", mode="append") and arrow_files.read_arrow_folder(spark, path).count() == 2000
+    assert sinks.save(saved.where("k = '3'"), path, "arrow")  # replaces
+    assert arrow_rows(arrow_files.read_arrow_folder(spark, path)) == arrow_rows(saved.where("k = '3'"))
+    assert not sinks.save(saved.where("false"), str(tmp_path / "none"), "arrow") and not (tmp_path / "none").exists()
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.saved.link./out", f"file:{path}")
+    assert arrow_rows(arrow_files.read_arrow_folder(spark, "viewfs://saved/out")) == arrow_rows(saved.where("k = '3'"))
+
+
+def test_arrow_files_of_each_frame_in_order(spark, saved, tmp_path):
+    path = tmp_path / "frames"
+    assert sinks.save(saved, str(path), "arrow", separate=True, common_root="/d")
+    folders = sorted(p.name for p in path.iterdir())
+    assert folders == [f"output=run%3D{i}%2Fa.vec" for i in range(3)]
+    for found in path.rglob("*.arrow"):
+        rows = pa.ipc.open_file(str(found)).read_all().column("_row").to_pylist()
+        assert rows == sorted(rows)
+    assert arrow_rows(arrow_files.read_arrow_folder(spark, str(path))) == arrow_rows(saved)
+
+
+def test_a_failed_task_leaves_no_arrow_file(spark, saved, tmp_path):
+    path = tmp_path / "kept"
+    assert sinks.save(saved, str(path), "arrow")
+    before = sorted(path.rglob("*"))
+    failing = saved.withColumn("x", F.when(F.col("_row") == 777, F.raise_error(F.lit("no"))).otherwise(F.col("x")))
+    with pytest.raises(Exception):
+        sinks.save(failing, str(path), "arrow")
+    assert sorted(path.rglob("*")) == before and arrow_rows(arrow_files.read_arrow_folder(spark, str(path))) == arrow_rows(saved)
