@@ -2,15 +2,19 @@
 
 Group functions come in two forms. Column functions (``F.avg``, or any
 expression over aggregates) are combined before the shuffle, whatever the size
-of a group. Pandas functions over a whole group need it in one task; for groups of
-any size there is ``fold_groups_pandas``, whose states are merged before they move.
+of a group. Pandas functions over a whole group hold it in one task. For groups of any size
+there are ``stream_*``, to which a group's rows come in batches and in order, and
+``fold_groups_pandas``, whose states are merged before they move.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import chain, groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -306,3 +310,119 @@ def fold_groups_pandas(
 
     states = rows.mapInPandas(partial, f"{key_schema}, _state {state_type}")
     return states.groupBy(*groups).applyInPandas(whole, f"{key_schema}, `{output_column}` {result_type}")
+
+
+Batches = Iterator[pd.DataFrame]
+Series = Iterator[pd.Series]
+
+
+def _schema_of(df: DataFrame, columns: Sequence[str]) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.select(*columns).dtypes)
+
+
+def stream_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    function: Callable[[Batches], Batches],
+    schema: str,
+    across_frames: bool = False,
+) -> DataFrame:
+    """Apply a function to the batches of each group; rows come in their order.
+
+    Rows are sorted by group and place, on disk if need be, and pass through the task
+    in batches, so a group can be larger than the memory of a worker. A group is in one
+    task, as the order of its rows asks for.
+    """
+    groups = group_keys(keys, across_frames)
+    order = [c for c in (FRAME, PART, ROW) if c in df.columns and c not in groups]
+    rows = with_keys_present(df, groups).repartition(*groups).sortWithinPartitions(*groups, *order)
+
+    def streamed(batches: Batches) -> Batches:
+        for _, group in groupby(_pieces(batches, groups), key=lambda piece: piece[0]):
+            yield from function(rows for _, rows in group)
+
+    return rows.mapInPandas(streamed, schema)
+
+
+def _pieces(batches: Batches, groups: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    """The batches cut where a group ends, each piece with its group."""
+    for batch in batches:
+        new = np.ones(len(batch), bool)
+        if len(batch) > 1:
+            new[1:] = np.any([batch[g].to_numpy()[1:] != batch[g].to_numpy()[:-1] for g in groups], axis=0)
+        starts = [*np.flatnonzero(new), len(batch)]
+        for start, end in zip(starts, starts[1:]):
+            rows = batch.iloc[start:end].reset_index(drop=True)
+            yield tuple(rows[g].iloc[0] for g in groups), rows
+
+
+def stream_aggregate(
+    df: DataFrame,
+    keys: Sequence[str],
+    input_column: str,
+    output_column: str,
+    function: Callable[[Series], object],
+    result_type: str = "double",
+    across_frames: bool = False,
+) -> DataFrame:
+    """``aggregate_groups`` for a function that takes a group's series piece by piece, in order."""
+    kept = [c for c in df.columns if c not in (input_column, output_column)]
+
+    def aggregate(batches: Batches) -> Batches:
+        first = next(batches)
+        result = function(chain([first[input_column]], (b[input_column] for b in batches)))
+        yield first[kept].head(1).assign(**{output_column: [result]})
+
+    schema = f"{_schema_of(df, kept)}, `{output_column}` {result_type}"
+    return stream_groups(df, keys, aggregate, schema, across_frames)
+
+
+def stream_assign(
+    df: DataFrame,
+    keys: Sequence[str],
+    input_column: str,
+    output_column: str,
+    function: Callable[[Series], Series],
+    result_type: str = "double",
+    across_frames: bool = False,
+) -> DataFrame:
+    """A column from a function that makes of each piece of a group's series one as long, in order.
+
+    The function may look ahead; batches wait until it has given their values.
+    """
+    kept = [c for c in df.columns if c != output_column]
+
+    def assign(batches: Batches) -> Batches:
+        waiting: deque[pd.DataFrame] = deque()
+
+        def pieces() -> Series:
+            for batch in batches:
+                waiting.append(batch)
+                yield batch[input_column]
+
+        for values in function(pieces()):
+            yield waiting.popleft()[kept].assign(**{output_column: values.to_numpy()})
+        if waiting:
+            raise ValueError("the function gave fewer series than it took")
+
+    schema = f"{_schema_of(df, kept)}, `{output_column}` {result_type}"
+    return stream_groups(df, keys, assign, schema, across_frames)
+
+
+def stream_raw(
+    df: DataFrame,
+    keys: Sequence[str],
+    output_column: str,
+    function: Callable[[Batches], dict],
+    result_type: str,
+    across_frames: bool = False,
+) -> DataFrame:
+    """The group's keys and the object that a function makes of the group's batches, as a struct."""
+    groups = group_keys(keys, across_frames)
+
+    def raw(batches: Batches) -> Batches:
+        first = next(batches)
+        result = function(chain([first], batches))
+        yield pd.DataFrame({k: [first[k].iloc[0]] for k in groups} | {output_column: [result]})
+
+    return stream_groups(df, keys, raw, f"{_schema_of(df, groups)}, `{output_column}` {result_type}", across_frames)

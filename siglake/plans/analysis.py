@@ -177,6 +177,82 @@ def group_pandas_fold(spark, d):
     return means.select(F.col(FRAME).alias("source_file"), "moduleName", F.round("mean_cbr", 8).alias("mean_cbr"))
 
 
+@register("""
+SELECT source_file, moduleName, min(_row) AS _row, round(max(top - cbr), 10) AS drawdown
+FROM (SELECT *, max(cbr) OVER (PARTITION BY source_file, moduleName ORDER BY _row) AS top FROM f_cbr)
+GROUP BY source_file, moduleName""")
+def group_stream_aggregate(spark, d):
+    """The deepest fall below the highest value so far, from series that come in pieces."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+
+    def drawdown(pieces) -> float:
+        top, deepest = float("-inf"), 0.0
+        for values in pieces:
+            tops = values.cummax().clip(lower=top)
+            top, deepest = tops.iloc[-1], max(deepest, (tops - values).max())
+        return deepest
+
+    found = frames.stream_aggregate(rows, ["moduleName"], "cbr", "drawdown", drawdown)
+    return rounded(found.drop(FRAME), "drawdown", digits=10)
+
+
+@register("""
+SELECT source_file, _row, moduleName, cbr,
+  round(cbr - lag(cbr) OVER (PARTITION BY source_file, moduleName ORDER BY _row), 10) AS step
+FROM f_cbr""")
+def group_stream_series(spark, d):
+    """Steps between values, also across the pieces of a group."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+
+    def steps(pieces):
+        last = None
+        for values in pieces:
+            yield values.diff().fillna(float("nan") if last is None else values.iloc[0] - last)
+            last = values.iloc[-1]
+
+    found = frames.stream_assign(rows, ["moduleName"], "cbr", "step", steps)
+    return rounded(nan_to_null(found.drop(FRAME)), "step", digits=10)
+
+
+@register("""
+SELECT source_file, moduleName, _row, cbr FROM (
+  SELECT *, max(cbr) OVER (PARTITION BY source_file, moduleName ORDER BY _row
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM f_cbr)
+WHERE top IS NULL OR cbr > top""")
+def group_stream_apply(spark, d):
+    """Rows whose value exceeds all before it in the group."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+
+    def records(batches):
+        top = float("-inf")
+        for batch in batches:
+            tops = batch.cbr.cummax().clip(lower=top)
+            yield batch.loc[batch.cbr > tops.shift(fill_value=top), ["source_file", "moduleName", "_row", "cbr"]]
+            top = tops.iloc[-1]
+
+    return frames.stream_groups(
+        rows, ["moduleName"], records, "source_file string, moduleName string, _row bigint, cbr double"
+    )
+
+
+@register("""
+SELECT source_file, moduleName, count(*) AS n, first(cbr ORDER BY _row) AS first_cbr, last(cbr ORDER BY _row) AS last_cbr
+FROM f_cbr GROUP BY source_file, moduleName""")
+def group_stream_raw(spark, d):
+    """Keys and an object made of a group's batches."""
+    rows = cbr(spark, d).select("_frame", "_row", "source_file", "moduleName", "cbr")
+
+    def ends(batches) -> dict:
+        n, first, last = 0, None, None
+        for batch in batches:
+            first = batch.cbr.iloc[0] if first is None else first
+            n, last = n + len(batch), batch.cbr.iloc[-1]
+        return {"n": n, "first_cbr": first, "last_cbr": last}
+
+    raw = frames.stream_raw(rows, ["moduleName"], "found", ends, "struct<n:bigint,first_cbr:double,last_cbr:double>")
+    return raw.select(F.col(FRAME).alias("source_file"), "moduleName", "found.*")
+
+
 @register("""
 SELECT source_file, moduleName, count(*) AS n, round(sum(cbr), 6) AS total,
   round(stddev_samp(cbr), 6) AS spread FROM f_cbr GROUP BY source_file, moduleName""")

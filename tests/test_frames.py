@@ -186,3 +186,34 @@ def test_more_groups_than_fit_in_memory_are_sorted(spark):
     spark.conf.set(name, usual)
     assert got[0] == got[1] and len(got[0]) == 700
     assert {(r.k, r.note) for r in got[0]} == {(i % 700, str(i)) for i in range(4300, 5000)}
+
+
+def test_groups_pass_through_in_batches_and_in_order(spark):
+    rows = spark.range(20_000).selectExpr("'f' AS _frame", "19999 - id AS _row", "id % 2 AS k", "double(id) AS x").repartition(7)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, "128")
+
+    def check(batches):
+        last, largest, n = -1, 0, 0
+        for batch in batches:
+            assert batch["_row"].is_monotonic_increasing and batch["_row"].iloc[0] > last
+            last, largest, n = batch["_row"].iloc[-1], max(largest, len(batch)), n + len(batch)
+        return {"n": n, "largest": largest}
+
+    try:
+        found = frames.stream_raw(rows, ["k"], "r", check, "struct<n:bigint,largest:bigint>").collect()
+        assert [(r.r.n, r.r.largest) for r in found] == [(10_000, 128)] * 2
+        series = frames.stream_assign(rows, ["k"], "x", "y", lambda pieces: (p * 2 for p in pieces))
+        assert series.where("y = 2 * x").count() == 20_000
+        plan = series._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Sort [") == 1
+        first = frames.stream_aggregate(rows, ["k"], "x", "n", lambda pieces: sum(map(len, pieces)), "long").collect()
+        assert sorted((r.k, r._row, r.n) for r in first) == [(0, 1, 10_000), (1, 0, 10_000)]
+    finally:
+        spark.conf.set(name, usual)
+
+
+def test_a_streamed_function_has_to_answer_each_batch(spark, df):
+    with pytest.raises(Exception, match="fewer series"):
+        frames.stream_assign(df, ["k"], "x", "y", lambda pieces: (p for p in list(pieces)[1:])).collect()
