@@ -120,8 +120,9 @@ def extract_with_position(
     area: tuple[float, float, float, float] | None = None,
     options: Options = DEFAULTS,
 ) -> DataFrame:
+    signals = results.signals if results.events is None else results.events
     rows = query.signals_with_position(
-        results.signals, x_signal, y_signal, signal, x_alias, y_alias, alias, area,
+        signals, x_signal, y_signal, signal, x_alias, y_alias, alias, area,
         **options.signal_flags(),
     )
     return finish(rows, results, options)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from siglake.functions.text import strip
 from siglake.operators import columns, extract, frames, joins, query, tags
 from siglake.plans import fixtures
 from siglake.plans.registry import register, rounded
-from siglake.sources import files
+from siglake.session import shared_folder
+from siglake.sources import files, layouts
 from siglake.sources.results import join_signals, sql_per_file, unify_parameters
 from siglake.sources.sinks import output_name
 
@@ -210,6 +212,25 @@ def position_join_area(spark, d):
     return _position_values(spark, d, AREA)
 
 
+@register(_POSITIONS.format(value=_CBR_VALUE, join=_CBR_JOIN, where=_CBR_WHERE))
+def position_join_events(spark, d):
+    """The same join on signals written in buckets of file and event: no row is moved for it."""
+    path = f"{shared_folder(spark).rstrip('/')}/events-{uuid.uuid4().hex}"
+    rows = query.signals_with_position(
+        layouts.write_events(fixtures.signals(spark, d), path), "posX:vector", "posY:vector", "cbr:vector",
+        value_label="cbr", eventNumber=True,
+    )
+    return rounded(rows, "posY")
+
+
+@register(_POSITIONS.format(value="", join="", where=_AREA_WHERE))
+def position_area_ordered(spark, d):
+    """Positions written along a Z-curve, of which an area reads a few stretches."""
+    path = f"{shared_folder(spark).rstrip('/')}/positions-{uuid.uuid4().hex}"
+    pairs = layouts.write_positions(fixtures.signals(spark, d), "posX:vector", "posY:vector", path)
+    return rounded(layouts.in_area(pairs, AREA), "posY")
+
+
 # Tags ------------------------------------------------------------------------------------
 
 _RAW_TAGS = """
@@ -592,11 +613,13 @@ def merge_by_file(spark, d):
 
 
 @register("""
-SELECT x.source_file, x.moduleName, y.source_file AS "source_file_r", x.eventNumber
+SELECT x.source_file, x.moduleName, y.source_file AS "source_file_r", count(*) AS n,
+  min(x.eventNumber) AS first_event, max(x.eventNumber) AS last_event
 FROM f_signal x JOIN f_signal y ON x.moduleName = y.moduleName AND x.eventNumber % 1000 = y.eventNumber % 1000
-WHERE x.vectorName = 'posX:vector' AND y.vectorName = 'posY:vector' AND x.eventNumber % 100 = 7""")
+WHERE x.vectorName = 'posX:vector' AND y.vectorName = 'posY:vector'
+GROUP BY x.source_file, x.moduleName, y.source_file""")
 def merge_concatenated(spark, d):
-    """Two concatenations of the same files; rows of different files meet."""
+    """Two concatenations of the same files; rows of different files meet, counted per pair of files."""
     sides = []
     for name in ("posX:vector", "posY:vector"):
         rows = fixtures.signals(spark, d).where(F.col("vectorName") == name).withColumn("_frame", F.col("source_file"))
@@ -605,7 +628,9 @@ def merge_concatenated(spark, d):
     left = sides[0]
     right = sides[1].drop("eventNumber")
     merged = joins.merge_by_files(left, right, ["moduleName", "slot"], ["moduleName", "slot"])
-    return merged.where("eventNumber % 100 = 7").select("source_file", "moduleName", "source_file_r", "eventNumber")
+    return merged.groupBy("source_file", "moduleName", "source_file_r").agg(
+        F.count(F.lit(1)).alias("n"), F.min("eventNumber").alias("first_event"), F.max("eventNumber").alias("last_event")
+    )
 
 
 @register("""

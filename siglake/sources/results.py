@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siglake.model import DATA_COLUMNS, ROW, SOURCE, nan_to_null
 from siglake.session import broadcast_if_small, remove, stored_bytes
+from siglake.sources.layouts import open_events, write_events
 from siglake.sources.sqlite import FORMAT, RUN_PARAMETERS, SqliteResults, unpacked, unpacked_rows
 from siglake.sources.store import split_by_reach
 
@@ -26,6 +27,12 @@ SORTED_BY = {
     "run_params": [SOURCE, ROW],
     "runs": [SOURCE, "runId"],
 }
+# Columns that are searched by value but do not lead the order: row groups without the value are skipped.
+BLOOM_FILTERS = {
+    "signals": {f"parquet.bloom.filter.enabled#{c}": "true" for c in ("moduleName", "eventNumber")},
+    "scalars": {"parquet.bloom.filter.enabled#moduleName": "true"},
+}
+EVENTS = "signal_events"
 
 # Tables of a result file.
 TABLES = ("run", "runAttr", RUN_PARAMETERS, "vector", "vectorData", "scalar", "statistic")
@@ -45,7 +52,8 @@ class Results:
     """The result tables of any number of files.
 
     ``signals`` has one row per sample with the names of its vector. Every table
-    carries ``source_file`` and a ``_row`` that orders the rows of a file.
+    carries ``source_file`` and a ``_row`` that orders the rows of a file. ``events`` are
+    the signals in buckets of file and event, if they were written so.
     """
 
     signals: DataFrame | None = None
@@ -54,6 +62,7 @@ class Results:
     run_attrs: DataFrame | None = None
     run_params: DataFrame | None = None
     runs: DataFrame | None = None
+    events: DataFrame | None = None
 
     @cached_property
     def metadata(self) -> Metadata:
@@ -111,9 +120,11 @@ def unify_parameters(run_param: DataFrame | None, run_config: DataFrame | None)
     return unified[0] if len(unified) == 1 else unified[0].unionByName(unified[1])
 
 
-def ingest(spark: SparkSession, paths: Sequence[str], target: str, **options) -> None:
+def ingest(spark: SparkSession, paths: Sequence[str], target: str, by_event: bool = False, **options) -> None:
     """Write the tables of all files below ``target``.
 
+    ``by_event`` writes the signals a second time, in buckets of file and event, from
+    which positions are joined without moving a row.
     Each file is read once, into staging tables, which are removed at the end. A table
     of a file that cannot be read is listed in ``ingest_errors`` and costs only itself:
     the file's other tables stay. Samples need the file's table of signal names too.
@@ -161,14 +172,18 @@ def ingest(spark: SparkSession, paths: Sequence[str], target: str, **options) ->
     for name, (df, source) in tables.items():
         order = SORTED_BY[name]
         parts = max(1, math.ceil(stored_bytes(spark, f"{staging}/{source}") / PARTITION_BYTES))
-        nan_to_null(df).repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode(
-            "overwrite"
-        ).parquet(f"{target}/{name}")
+        ordered = nan_to_null(df).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        ordered.write.mode("overwrite").options(**BLOOM_FILTERS.get(name, {})).parquet(f"{target}/{name}")
     remove(spark, staging)
+    remove(spark, f"{target}/{EVENTS}")
+    if by_event:
+        signals = spark.read.parquet(f"{target}/signals")
+        write_events(signals, f"{target}/{EVENTS}", stored=stored_bytes(spark, f"{target}/signals"))
 
 
 def load(spark: SparkSession, target: str) -> Results:
-    return Results(**{name: spark.read.parquet(f"{target}/{name}") for name in SORTED_BY})
+    tables = {name: spark.read.parquet(f"{target}/{name}") for name in SORTED_BY}
+    return Results(**tables, events=open_events(spark, f"{target}/{EVENTS}"))
 
 
 def sql_per_file(
