@@ -9,8 +9,10 @@ may pass is confirmed on the full sets.
 Documents with one set are one class, and only classes are compared. In a band's group
 each class is first compared with one member (the hub) only, a different one in each
 band. Then only groups that still hold several components are looked at: their pairs
-across components are all compared. For groups too large for that, members are joined
-on the rarest items of their sets, which finds every similar pair among them exactly.
+across components are all compared. Groups too large for that form families, whose
+members are described by their difference to what most of the family has in common.
+Two members are as far apart as their differences are, so similar ones share rare items
+of these, which finds every similar pair exactly (``sharing_differences``).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siglake.llm.common import unused, with_once
-from siglake.session import checkpointed, written
+from siglake.session import Steps
 
 REGISTERS = 256
 MANTISSA = 10
@@ -38,9 +40,8 @@ class Settings:
     """shingle: words per shingle. percent: similarity from which two are linked.
     bands, rows: bands of so many registers each; two sets of just that similarity share
     no band in 4 of 100,000 cases (2 of 10,000 for CORPUS), more alike ones far less often. pair_factor: a group's remaining
-    pairs are compared if they are at most so many times its members. hub_rounds: how
-    often large groups are compared with a further hub before their sets are. slack:
-    how far below the threshold an estimate may be for the pair to be confirmed, in
+    pairs are compared if they are at most so many times its members. class_ratio: differences
+    within this ratio of sizes are one size class. slack: how far below the threshold an estimate may be for the pair to be confirmed, in
     standard deviations of the estimate."""
 
     shingle: int = 3
@@ -48,7 +49,7 @@ class Settings:
     bands: int = 32
     rows: int = 8
     pair_factor: int = 8
-    hub_rounds: int = 2
+    class_ratio: float = 1.25
     slack: float = 6.0
 
 
@@ -223,101 +224,133 @@ def confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
     return both.where(alike).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, steps: Steps, name: str) -> DataFrame:
     """(node, component) of all nodes of ``links`` (a, b); the component is its smallest node.
 
     Every node takes the smallest label next to it and then that label's label, until
     nothing changes, which takes about as many rounds as the logarithm of the longest path.
     """
-    edges = checkpointed(
-        links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = steps.write(links.select(F.explode(both).alias("e")).select("e.*"), f"{name}-edges")
+    labels = steps.write(
+        edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")),
+        f"{name}-0",
     )
-    labels = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")).select("node", F.least("node", "near").alias("label")))
+    turn = 0
     while True:
         near = edges.join(labels, edges.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         lower = labels.join(near, labels.node == near.a).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        lower = checkpointed(lower)
+        lower = steps.write(lower, f"{name}-{turn}-lower")
         target = lower.select(F.col("node").alias("via"), F.col("label").alias("far"))
         jumped = lower.join(target, lower.label == target.via).select("node", F.least("label", "far").alias("label"), "was")
-        jumped = checkpointed(jumped)
+        jumped = steps.write(jumped, f"{name}-{turn + 1}")
         labels = jumped.select("node", "label")
+        steps.remove(f"{name}-{turn}", f"{name}-{turn}-lower")
+        turn += 1
         if jumped.where(F.col("label") != F.col("was")).isEmpty():
+            steps.remove(f"{name}-edges")
             return labels.withColumnRenamed("label", "component")
 
 
-def _relabelled(live: DataFrame, found: DataFrame) -> DataFrame:
-    """``live`` (g, node) with the component of each node."""
-    return live.join(found, "node", "left").select("g", "node", F.coalesce("component", "node").alias("component"))
+def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``members`` (g, node) with the component of each node."""
+    if found is None:
+        return members.withColumn("component", F.col("node"))
+    return members.join(found, "node", "left").select("g", "node", F.coalesce("component", "node").alias("component"))
 
 
-def sharing_rare_items(nodes: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` among which are all similar enough ones, without hashing into bands.
+def differences(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``nodes`` (node, family, ...) with the size ``n`` of their sets and ``away``, their difference to the family.
 
-    Two such sets share an item even among the first few of each, whatever the order
-    of all items; with the rarest first, these few meet rarely. So unlike sets that
-    agree in many common items, as copies each edited in its own way, make no pairs.
+    A family is described by the items that more than half of its members have; ``away``
+    holds what a member has beside these, and what it lacks of them.
     """
-    own = sets.join(nodes, "node", "left_semi").select("node", "n", F.explode("items").alias("item"))
-    often = own.groupBy("item").agg(F.count(F.lit(1)).alias("f"))
-    ranked = own.join(often, "item").groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct("f", "item"))).alias("items")
+    rows = sets.select("node", "n", "items").join(nodes, "node")
+    counts = rows.select("family", F.explode("items").alias("item")).groupBy("family", "item").agg(F.count("*").alias("f"))
+    sizes = nodes.groupBy("family").agg(F.count("*").alias("m"))
+    common = counts.join(sizes, "family").where("2 * f > m").groupBy("family").agg(F.collect_list("item").alias("common"))
+    none = F.array().cast("array<long>")
+    told = rows.join(common, "family", "left").withColumn("common", F.coalesce("common", none))
+    away = F.concat(F.array_except("items", "common"), F.array_except("common", "items"))
+    return told.withColumn("away", away).drop("items", "common")
+
+
+def sharing_differences(nodes: DataFrame, sets: DataFrame, settings: Settings, steps: Steps) -> DataFrame:
+    """Pairs (a, b) of one family and of different components, all linked ones among them.
+
+    ``nodes`` has node, component and family. Sets A and B may differ in t items, and they
+    differ in as many as their differences dA and dB to the family do. So
+
+    * if |dA| + |dB| is at most t they are linked for certain. It is enough to pair every
+      member for which that holds with the family's most central one.
+    * else dA and dB share at least (|dA| + |dB| - t) / 2 items, hence one of the first few
+      of each, whatever the order of items. With the rarest first, these are a member's
+      own edits, which few others share. How few is enough depends on both sizes, so
+      items are joined per pair of size classes.
+    """
+    p = settings.percent
+    rows = differences(nodes, sets).withColumn("k", F.size("away"))
+    rows = steps.write(rows.withColumn("far", F.col("k") * (100 + p) - F.col("n") * (100 - p)), "differences")
+    centres = rows.groupBy("family").agg(F.min(F.struct("far", "node", "component")).alias("centre"))
+    certain = rows.join(centres, "family").where((F.col("far") + F.col("centre.far") <= 0) & (F.col("component") != F.col("centre.component")))
+    certain = certain.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
+
+    items = rows.select("family", "node", F.explode("away").alias("item"))
+    often = items.groupBy("family", "item").agg(F.count("*").alias("f"))
+    ranked = items.join(often, ["family", "item"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "item"))).alias("items"))
+    most = F.col("n") * (100 - p) / p  # items by which a linked set can differ, at most
+    ratio = settings.class_ratio
+    # The class of a size, and the smallest size of a class; rounding errors only widen a class's range.
+    class_of = lambda k: F.floor(F.log(k.cast("double")) / F.log(F.lit(ratio)) + 1e-9).cast("int")
+    least_of = lambda c: F.floor(F.pow(F.lit(ratio), c) - 1e-6)
+    partners = F.explode(F.sequence(class_of(F.greatest(F.col("k") - most, F.lit(1.0))) - 1, class_of(F.col("k") + most) + 1))
+    own = rows.drop("away", "far").where("k > 0").join(ranked, "node").withColumn("own", class_of(F.col("k")))
+    own = own.select("*", partners.alias("other"))
+    smallest = F.greatest(least_of(F.col("other")), F.col("k") - most)
+    shared = F.greatest(F.ceil((F.col("k") + smallest - most) / 2 - 1e-6), F.lit(1))
+    first = F.filter(F.slice("items", 1, F.greatest(F.col("k") - shared + 1, F.lit(0)).cast("int")), lambda e: e["f"] > 1)
+    seeds = own.select(
+        "family", "node", "component", "n", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", F.explode(first).alias("e")
+    )
+    seeds = steps.write(seeds.select("*", F.col("e.item").alias("item")).drop("e"), "seeds")
+    left = seeds.where("own = low")
+    right = seeds.where("own = high").select(
+        "family", "item", "low", "high", F.col("node").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b")
     )
-    # A set of n items and one similar enough share at least this many of them.
-    shared = F.ceil(F.col("n") * settings.percent / 100)
-    first = ranked.select(
-        "node", "n", F.explode(F.slice("items", F.lit(1), (F.col("n") - shared + 1).cast("int"))).alias("e")
-    ).select("node", "n", "e.item", "e.f")
-    first = checkpointed(first.where("f > 1").drop("f"))
-    other = first.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "item")
-    close = 100 * F.least("n", "n_b") >= settings.percent * F.greatest("n", "n_b")
-    return first.join(other, "item").where((F.col("node") < F.col("b")) & close).select(F.col("node").alias("a"), "b").distinct()
-
-
-def links_of(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame | None:
+    close = 100 * F.least("n", "n_b") >= p * F.greatest("n", "n_b")
+    apart = (F.col("component") != F.col("component_b")) & ((F.col("low") < F.col("high")) | (F.col("node") < F.col("b")))
+    near = left.join(right, ["family", "item", "low", "high"]).where(apart & close)
+    return certain.unionByName(near.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
+
+
+def links_of(members: DataFrame, sets: DataFrame, settings: Settings, steps: Steps) -> DataFrame | None:
     """(node, component) from ``members`` (g, node) of the bands' groups; None without a link."""
     groups = members.groupBy("g").agg(F.min("node").alias("hub"))
-    pairs = members.join(groups, "g").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    links = checkpointed(confirmed(pairs.distinct(), sets, settings))
-    found = None if links.isEmpty() else components(links)
-    turn = 0
-    while True:
-        labelled = members.withColumn("component", F.col("node")) if found is None else _relabelled(members, found)
-        parts = labelled.groupBy("g", "component").agg(F.count("*").alias("m"))
-        sizes = parts.groupBy("g").agg(
-            F.sum("m").alias("m"), F.count("*").alias("parts"), F.max_by("component", "m").alias("main"), F.max("m").alias("main_m")
-        ).where("parts > 1")
-        large = (F.col("m") > settings.pair_factor) & (F.col("m") - F.col("main_m") > settings.pair_factor)
-        members = checkpointed(labelled.join(sizes.select("g", "main", large.alias("large")), "g"))
-        counts = {r["large"]: r["n"] for r in members.groupBy("large").agg(F.count("*").alias("n")).collect()}
-        if not counts:
-            return found
-        hubs_first = bool(counts.get(True)) and turn < settings.hub_rounds
-        if hubs_first:
-            # Another hub for each large group, so that most of its members come into one component.
-            order = F.xxhash64("node", F.lit(turn))
-            hubs = members.where("large").groupBy("g").agg(F.min_by(F.struct("node", "component"), order).alias("hub"))
-            chosen = members.where("large").join(hubs, "g").where("component <> hub.component").select("node", F.col("hub.node").alias("other"))
-        else:
-            small = members.where("not large")
-            rest = small.where("component <> main").select("g", F.col("node").alias("other"), F.col("component").alias("theirs"))
-            chosen = small.join(rest, "g").where("component <> theirs").select("node", "other")
-        pairs = chosen.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        if not hubs_first and counts.get(True):
-            apart = members.where("large").select("node", "component").distinct()
-            rare = sharing_rare_items(apart.select("node"), sets, settings)
-            side = lambda x: apart.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
-            rare = rare.join(side("a"), "a").join(side("b"), "b").where("c_a <> c_b").select("a", "b")
-            pairs = pairs.unionByName(rare)
-        fresh = checkpointed(confirmed(pairs.distinct(), sets, settings))
-        if not fresh.isEmpty():
-            links = checkpointed(links.unionByName(fresh))
-            found = components(links)
-        elif hubs_first:
-            turn = settings.hub_rounds
-        if not hubs_first:
-            return found
-        members = members.select("g", "node")
-        turn += 1
+    stars = members.join(groups, "g").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    links = steps.write(confirmed(stars.distinct(), sets, settings), "links")
+    found = None if links.isEmpty() else components(links, steps, "first")
+    labelled = _labelled(members, found)
+    parts = labelled.groupBy("g", "component").agg(F.count("*").alias("m"))
+    sizes = parts.groupBy("g").agg(
+        F.sum("m").alias("m"), F.count("*").alias("parts"), F.max_by("component", "m").alias("main"), F.max("m").alias("main_m")
+    ).where("parts > 1")
+    large = (F.col("m") > settings.pair_factor) & (F.col("m") - F.col("main_m") > settings.pair_factor)
+    members = steps.write(labelled.join(sizes.select("g", "main", large.alias("large")), "g"), "members-apart")
+    small = members.where("not large")
+    rest = small.where("component <> main").select("g", F.col("node").alias("other"), F.col("component").alias("theirs"))
+    chosen = small.join(rest, "g").where("component <> theirs").select("node", "other")
+    pairs = chosen.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    crowded = members.where("large")
+    if not crowded.isEmpty():
+        heads = crowded.groupBy("g").agg(F.min("node").alias("head"))
+        ties = crowded.join(heads, "g").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+        families = components(ties, steps, "families").withColumnRenamed("component", "family")
+        nodes = steps.write(crowded.select("node", "component").distinct().join(families, "node"), "families")
+        pairs = pairs.unionByName(sharing_differences(nodes, sets, settings, steps))
+    fresh = steps.write(confirmed(pairs.distinct(), sets, settings), "links-apart")
+    if fresh.isEmpty():
+        return found
+    return components(links.unionByName(fresh), steps, "second")
 
 
 def near_duplicates(
@@ -333,18 +366,20 @@ def near_duplicates(
     Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketched = checkpointed(sketches(rows, settings))
-    classes = checkpointed(
-        sketched.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
-    )
+    steps = Steps(docs.sparkSession, "near-duplicates")
+    sketched = steps.write(sketches(rows, settings), "sketches")
+    classes = sketched.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
+    classes = steps.write(classes, "classes")
     keys = classes.select("node", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    members = checkpointed(keys.join(shared, "key").select(F.col("key").alias("g"), "node"))
+    members = steps.write(keys.join(shared, "key").select(F.col("key").alias("g"), "node"), "members")
     nodes = members.select("node").distinct()
-    ids = written(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("_id")).distinct())
+    ids = steps.write(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("_id")).distinct(), "ids")
     texts = rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = checkpointed(full_sets(texts, settings).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
-    found = links_of(members, sets, settings)
+    sets = full_sets(texts, settings).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    sets = steps.write(sets, "sets")
+    found = links_of(members, sets, settings, steps)
+    steps.remove("sets", "members", "members-apart", "ids", "differences", "seeds", "families")
     named = classes.select("node", "id")
     if found is None:
         labelled = named.select("node", F.col("id").alias("component_id"))
