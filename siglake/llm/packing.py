@@ -5,12 +5,14 @@ piece for each binary digit of the rest, longest first. Pieces of one length for
 bucket, from which batches of that length are drawn; so no sequence crosses
 documents and none is padded.
 
-Words are encoded once per task and kept in a bounded table: white space ends every
-token of the tokenizer, so a text's ids are those of its words in order.
+Words are encoded once per worker process and kept in a bounded table: white space ends
+every token of the tokenizer, so a text's ids are those of its words in order. Texts of
+tokenizers of another kind are encoded as a whole.
 """
 
 from __future__ import annotations
 
+import json
 from array import array
 from collections.abc import Iterator
 
@@ -25,7 +27,7 @@ from tokenizers import Tokenizer
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 MAX_LENGTH = 4096
-# Words kept by a task, about 150 bytes each. A full table starts anew.
+# Words kept by a worker process, about 150 bytes each. A full table starts anew.
 KEPT_WORDS = 1_000_000
 # Bytes of ids after which a task hands on what it has.
 BLOCK_BYTES = 4 << 20
@@ -33,6 +35,23 @@ BLOCK_BYTES = 4 << 20
 _TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~|"
 
 
+# The steps before the model of tokenizers whose words can be encoded one by one.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+
+
+def takes_words(tokenizer: Tokenizer) -> bool:
+    """Whether the ids of a text are those of its words, and those of a word as ``WordIds`` finds them."""
+    told = json.loads(tokenizer.to_str())
+    normalizer, split = told["normalizer"] or {}, told["pre_tokenizer"] or {}
+    first = (split.get("pretokenizers") or [{}])[0]
+    return (
+        normalizer.get("normalizers") == _NORMALIZER
+        and (first.get("pattern"), first.get("invert")) == (_SPLIT, True)
+        and told["model"].get("end_of_word_suffix") is not None
+    )
+
+
 class WordIds(dict):
     """Ids of words as little-endian bytes of 32-bit numbers, encoded on first use."""
 
@@ -41,6 +60,8 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kept = kept
+        if not takes_words(self.tokenizer):
+            self.of_text = lambda text: _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.kept:
@@ -72,6 +93,17 @@ def _packed(ids) -> bytes:
     return packed.tobytes()
 
 
+_TABLES: dict[tuple[str, int], WordIds] = {}
+
+
+def word_ids(path: str, kept: int = KEPT_WORDS) -> WordIds:
+    """The table of a tokenizer, which all tasks of a worker process share."""
+    if (path, kept) not in _TABLES:
+        _TABLES.clear()
+        _TABLES[path, kept] = WordIds(path, kept)
+    return _TABLES[path, kept]
+
+
 def binary_lengths(n: int, max_length: int) -> Iterator[int]:
     """Powers of two that sum to n, none over max_length, longest first."""
     for _ in range(n // max_length):
@@ -111,7 +143,7 @@ def pack(
     end = _packed([end_id])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path, kept_words)
+        words = word_ids(path, kept_words)
         for batch in batches:
             rows, columns, size = [], [[], [], [], []], 0
             for row, text in enumerate(batch.column(1)):

@@ -4,6 +4,7 @@ import array
 import math
 import os
 import re
+import zlib
 from collections import defaultdict
 
 import public_tokenizers
@@ -183,3 +184,37 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).columns == docs.columns
     assert secret_scan.redacted(docs).count() == docs.count()
+
+
+def test_packing_query(spark, docs):
+    """Ids of the tokenizer itself; pieces of binary length, one to a sequence."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    pieces = defaultdict(dict)
+    rows = queries.QUERIES["op4_packing"](spark, SF_DIR).collect()
+    for r in rows:
+        pieces[r["doc_id"]][r["start"]] = r
+        assert r["offset"] == 0 and r["length"] <= 4096 and r["length"] & (r["length"] - 1) == 0
+    assert len({r["sequence_id"] for r in rows}) == len(rows)
+    for d in docs:
+        ids = [*tokenizer.encode(d["text"] or "", add_special_tokens=False).ids, 2]
+        at = 0
+        for start, r in sorted(pieces[d["doc_id"]].items()):
+            assert start == at and r["doc_tokens"] == len(ids)
+            assert r["ids_crc32"] == zlib.crc32(array.array("I", ids[at : at + r["length"]]).tobytes())
+            at += r["length"]
+        assert at == len(ids)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_packing_with_other_tokenizers(spark, name):
+    from siglake.llm import packing
+
+    texts = ["It's  <b>\n\n 12 words, ÄÖ don't'll x'S", "", "a <|endoftext|> b", "tabs\t\tand   blanks  "]
+    path = public_tokenizers.path(name)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = defaultdict(bytes)
+    for r in packing.pack(docs, tokenizer_path=path).orderBy("doc_id", "start").collect():
+        got[r["doc_id"]] += bytes(r["ids"])
+    tokenizer = Tokenizer.from_file(path)
+    for i, text in enumerate(texts):
+        assert got[i] == array.array("I", [*tokenizer.encode(text, add_special_tokens=False).ids, 2]).tobytes(), text
