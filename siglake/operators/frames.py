@@ -95,10 +95,11 @@ def aggregate_groups(
 def _quantile_of_groups(df, keys, input_column, output_column, probability, across_frames):
     groups = group_keys(keys, across_frames)
     present = with_keys_present(df, groups)
-    if not slice_cuts(present, input_column):
+    cuts = slice_cuts(present, input_column)
+    if not cuts:
         exact = lambda: F.percentile(numbers(input_column), probability)
         return apply_groups(df, keys, input_column, output_column, exact, across_frames)
-    quantile = group_quantiles(present, groups, input_column, [probability])
+    quantile = group_quantiles(present, groups, input_column, [probability], cuts=cuts)
     none = lambda: F.lit(None)
     first = apply_groups(df, keys, input_column, "_none", none, across_frames).drop("_none")
     first = first.drop(output_column)

@@ -109,3 +109,28 @@ def test_missing_and_infinite_values(spark, size):
     assert sorted(r.nth for r in rows) == list(range(len(values)))
     rank = lambda v: (0, 0.0) if v is None else (2, 0.0) if v != v else (1, v)
     assert [rank(r.x) for r in sorted(rows, key=lambda r: r.nth)] == sorted(map(rank, values))
+
+
+def test_one_pass_of_statistics(spark):
+    from siglake.operators import ranking
+
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.range(20_000).selectExpr("double(hash(id)) AS x").mapInPandas(counted, "x double")
+    assert len(ranking.slice_cuts(df, "x", 1_000)) == 19
+    assert read.value == 20_000
+
+
+def test_cuts_are_near_the_quantiles(spark):
+    from siglake.operators import ranking
+
+    df = spark.range(200_000).selectExpr("if(id % 10 = 0, double('infinity'), pow(id, 2)) AS x").repartition(9)
+    cuts = ranking.slice_cuts(df, "x", 10_000)
+    assert len(cuts) == 19 and all(abs(c**0.5 - 10_000 * (i + 1)) < 1000 for i, c in enumerate(cuts))
+    assert ranking.slice_cuts(df.where("x > 1e308"), "x", 100) == []
+    assert ranking.slice_cuts(df.where("x < 0"), "x", 100) == []
