@@ -11,21 +11,21 @@ them names it; taking it out of its other cells frees more. If paragraphs remain
 cells that no longer free any, the pair is tried again with larger tables.
 
 All steps for a document happen where its row is: once documents are dealt out by
-their place in the order, nothing is moved. Tables are peeled one after the other, as
+their place in the order, their hashes are written in buckets, and nothing is moved. Tables are peeled one after the other, as
 within one table a paragraph has one cell only and is therefore never taken out twice.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siglake.llm.common import filled, let, with_once
-from siglake.session import checkpointed, written
+from siglake.session import Steps, written
 
 # Cells in each of the three tables of the fingerprint itself, and growth per retry.
 CELLS = 16
@@ -147,11 +147,36 @@ def _in_cells(entries: DataFrame, cells: int, *keys: str) -> DataFrame:
     return _merged(spread.withColumn("h", _check(F.col("k"))), *keys)
 
 
-def sketch(keys: DataFrame, column: str, cells: int, name: str) -> DataFrame:
-    """(bucket, row, ``name``): the cells of the paragraphs in an array column, in order."""
-    entries = keys.select("bucket", "row", F.explode(column).alias("k"), F.lit(1).cast("long").alias("c"))
-    placed = _in_cells(entries, cells, "bucket", "row").where("c <> 0")
-    return placed.groupBy("bucket", "row").agg(F.sort_array(F.collect_list(F.struct("cell", "c", "k", "h"))).alias(name))
+# Of each document: its own paragraphs, those of the edited text and of the next document.
+SIDES = ("own", "other", "next")
+# What is compared: the document's own sketch less that of another side.
+PAIRS = {"edited": "other", "next": "next"}
+PLACE = ("bucket", "row")
+
+
+def sketched(keys: DataFrame, cells: int, sides: Sequence[str] = SIDES) -> DataFrame:
+    """(bucket, row, side, cell, c, k, h): the sketch of each side's paragraphs, an array column."""
+    tagged = lambda side: F.transform(F.col(side), lambda k: F.struct(F.lit(side).alias("side"), k.alias("k")))
+    entries = keys.select(*PLACE, F.explode(F.concat(*map(tagged, sides))).alias("e")).select(*PLACE, "e.*", F.lit(1).cast("long").alias("c"))
+    return _in_cells(entries, cells, *PLACE, "side")
+
+
+def subtracted(cells: DataFrame, keys: DataFrame, pairs: Column) -> DataFrame:
+    """(bucket, row, pair, cell, c, k, h): the own sketch less the other one, for the ``pairs`` of each row.
+
+    Cells that are empty fall away. A tally, which counts what is peeled off, says that there is the pair.
+    """
+    signed = F.when(F.col("side") == "own", F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(1).cast("long").alias("sign")) for p in PAIRS]))
+    for pair, side in PAIRS.items():
+        signed = signed.when(F.col("side") == side, F.array(F.struct(F.lit(pair).alias("pair"), F.lit(-1).cast("long").alias("sign"))))
+    both = cells.select(*PLACE, "cell", "c", "k", "h", F.explode(signed).alias("s"))
+    rows = both.select(*PLACE, "s.pair", "cell", (F.col("c") * F.col("s.sign")).alias("c"), "k", "h")
+    zero = F.lit(0).cast("long")
+    tally = keys.select(*PLACE, F.explode(pairs).alias("pair")).select(
+        *PLACE, "pair", F.lit(_TALLY).alias("cell"), zero.alias("c"), zero.alias("k"), zero.alias("h")
+    )
+    left = _merged(rows, *PLACE, "pair").where((F.col("c") != 0) | (F.col("k") != 0) | (F.col("h") != 0))
+    return left.unionByName(tally)
 
 
 def _peeled(cells: DataFrame, size: int, *keys: str) -> DataFrame:
@@ -176,41 +201,33 @@ def _peeled(cells: DataFrame, size: int, *keys: str) -> DataFrame:
     return cells
 
 
-def differences(keys: DataFrame, pairs: dict[str, tuple[str, str]], cells: int = CELLS) -> DataFrame:
-    """(bucket, row, pair, ``n``): in how many paragraphs the two array columns of a pair differ.
+def differences(keys: DataFrame, steps: Steps, cells: int = CELLS) -> DataFrame:
+    """(bucket, row, pair, ``n``): in how many paragraphs the sides of a pair differ.
 
-    Pairs whose cells cannot be emptied are tried again with tables four times as large.
+    The sketches of both are subtracted and peeled. Pairs whose cells cannot be emptied
+    are tried again with sketches four times as large. No step moves a row.
     """
-    by = ("bucket", "row", "pair")
-    done, open_pairs = [], None
+    by = (*PLACE, "pair")
+    done, wanted, pairs = [], keys, F.array(*map(F.lit, PAIRS))
+    none = F.array().cast("array<bigint>")
     while True:
-        wanted = keys if open_pairs is None else keys.join(open_pairs, ["bucket", "row"])
-        entries = []
-        for name, (a, b) in pairs.items():
-            none = F.array().cast("array<struct<pair:string,k:bigint,c:bigint>>")
-            side = lambda column, sign: F.transform(
-                F.col(column), lambda k: F.struct(F.lit(name).alias("pair"), k.alias("k"), F.lit(sign).cast("long").alias("c"))
-            )
-            both = F.concat(F.array(F.struct(F.lit(name).alias("pair"), F.lit(None).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))), side(a, 1), side(b, -1))
-            entries.append(both if open_pairs is None else F.when(F.array_contains("open", name), both).otherwise(none))
-        flat = wanted.select("bucket", "row", F.explode(F.concat(*entries)).alias("e")).select("bucket", "row", "e.*")
-        places = F.when(F.col("k").isNull(), F.array(F.lit(_TALLY))).otherwise(
-            F.array(*[_cell(F.col("k"), t, cells) for t in range(3)])
-        )
-        spread = flat.select(*by, F.coalesce("k", F.lit(0).cast("long")).alias("k"), "c", F.explode(places).alias("cell"))
-        spread = spread.withColumn("h", F.when(F.col("cell") == _TALLY, F.lit(0).cast("long")).otherwise(_check(F.col("k"))))
-        start = _merged(spread, *by).where((F.col("cell") == _TALLY) | (F.col("c") != 0) | (F.col("k") != 0) | (F.col("h") != 0))
+        start = subtracted(sketched(wanted, cells), wanted, pairs)
         tally = F.col("cell") == _TALLY
         result = _peeled(start, cells, *by).groupBy(*by).agg(
             F.sum(F.when(tally, F.col("c")).otherwise(F.lit(0).cast("long"))).alias("n"), F.sum(F.when(tally, F.lit(0)).otherwise(F.lit(1))).alias("left")
         )
-        result = checkpointed(result)
+        # Cells of an own sketch that only the other pair is still open for come without a tally.
+        result = result.join(wanted.select(*PLACE, F.explode(pairs).alias("pair")), list(by)) if done else result
+        result = steps.write_buckets(result, f"peeled-{cells}", "bucket")
         done.append(result.where("left = 0").select(*by, "n"))
-        failed = result.where("left > 0").groupBy("bucket", "row").agg(F.collect_list("pair").alias("open"))
-        failed = checkpointed(failed)
+        failed = result.where("left > 0")
         if failed.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        open_pairs, cells = failed, cells * GROWTH
+        failed = failed.groupBy(*PLACE).agg(F.collect_list("pair").alias("open"))
+        again = keys.join(failed, list(PLACE))
+        kept = {side: F.when(F.array_contains("open", pair), F.col(side)).otherwise(none) for pair, side in PAIRS.items()}
+        wanted = again.withColumns(kept)
+        pairs, cells = F.col("open"), cells * GROWTH
 
 
 def likeness(n_a: Column, n_b: Column, differing: Column) -> Column:
@@ -246,13 +263,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         paragraphs(F.col("edited")).alias("other"),
         paragraphs(F.col("following")).alias("next"),
     )
-    keys = checkpointed(keys)
-    found = differences(keys, {"edited": ("own", "other"), "next": ("own", "next")})
+    steps = Steps(docs.sparkSession, "fingerprints")
+    keys = steps.write_buckets(keys, "keys", "bucket")
+    found = differences(keys, steps)
     value = lambda pair: F.max(F.when(F.col("pair") == pair, F.col("n"))).alias(f"d_{pair}")
-    counts = found.groupBy("bucket", "row").agg(value("edited"), value("next"))
-    out = keys.join(counts, ["bucket", "row"], "left")
-    for column, name in (("own", "cells"), ("other", "edited_cells")):
-        out = out.join(sketch(keys, column, CELLS, name), ["bucket", "row"], "left")
+    counts = found.groupBy(*PLACE).agg(*map(value, PAIRS))
+    cell = F.struct("cell", "c", "k", "h")
+    listed = lambda side, name: F.sort_array(F.collect_list(F.when(F.col("side") == side, cell))).alias(name)
+    sketches = sketched(keys, CELLS, ("own", "other")).groupBy(*PLACE).agg(listed("own", "cells"), listed("other", "edited_cells"))
+    out = keys.join(counts, list(PLACE), "left").join(sketches, list(PLACE), "left")
     n = F.size
     return out.select(
         F.col("id").alias(id_col),
@@ -265,10 +284,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def digest(cells: Column) -> Column:
-    """A short name of a sketch; equal sketches have equal names."""
+def spelled(cells: Column) -> Column:
+    """A sketch as text: place, count, hash and check of each cell that is not empty."""
     text = F.transform(
         F.coalesce(cells, F.array().cast("array<struct<cell:int,c:bigint,k:bigint,h:bigint>>")),
         lambda x: F.concat_ws(":", x["cell"], x["c"], x["k"], x["h"]),
     )
-    return F.sha2(F.array_join(text, ","), 256)
+    return F.array_join(text, ",")

@@ -141,8 +141,8 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_chars",
         "edited_sha256",
-        fingerprint.digest(F.col("cells")).alias("fingerprint"),
-        fingerprint.digest(F.col("edited_cells")).alias("edited_fingerprint"),
+        fingerprint.spelled(F.col("cells")).alias("fingerprint"),
+        fingerprint.spelled(F.col("edited_cells")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
     )
