@@ -72,14 +72,14 @@ class Steps:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
-    def write_buckets(self, df: DataFrame, name: str, key: str) -> DataFrame:
+    def write_buckets(self, df: DataFrame, name: str, key: str, times: int = 1) -> DataFrame:
         """Write ``df`` in buckets of a column, so that grouping and joining by it moves no row.
 
-        There is a bucket for each shuffle partition: rows that come from a shuffle by the
-        column lie in one file per bucket.
+        There are ``times`` as many buckets as shuffle partitions: rows that come from a
+        shuffle by the column lie in one file per bucket.
         """
         table = f"steps_{uuid.uuid4().hex}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = times * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         df.write.bucketBy(buckets, key).option("path", f"{self.folder}/{name}").saveAsTable(table)
         return self.spark.table(table)
 
