@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Joins on several columns of tables that are in buckets of one move rows, unless an operator says otherwise.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # Groups with texts or lists that a task aggregates in memory before it sorts them.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
@@ -72,15 +74,18 @@ class Steps:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def buckets(self, times: int) -> int:
+        """``times`` as many as shuffle partitions."""
+        return times * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def write_buckets(self, df: DataFrame, name: str, key: str, times: int = 1) -> DataFrame:
         """Write ``df`` in buckets of a column, so that grouping and joining by it moves no row.
 
-        There are ``times`` as many buckets as shuffle partitions: rows that come from a
-        shuffle by the column lie in one file per bucket.
+        Rows do not move for this either: they have to come from such buckets, or from
+        ``repartition(self.buckets(times), key)``.
         """
         table = f"steps_{uuid.uuid4().hex}"
-        buckets = times * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        df.write.bucketBy(buckets, key).option("path", f"{self.folder}/{name}").saveAsTable(table)
+        df.write.bucketBy(self.buckets(times), key).option("path", f"{self.folder}/{name}").saveAsTable(table)
         return self.spark.table(table)
 
     def remove(self, *names: str) -> None:
