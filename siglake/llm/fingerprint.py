@@ -30,17 +30,20 @@ from siglake.session import Steps, written
 # Cells in each of the three tables of the fingerprint itself, and growth per retry.
 CELLS = 16
 GROWTH = 4
-SWEEPS = 6
+SWEEPS = 4
 _SEGMENTS = 64
 # Lines and words of more characters are cut; one cut in so many words, or characters of such words.
 _LONG = 64
 _ONE_IN = 8
 _SENTENCE_END = r"[.!?\x{3002}\x{FF01}\x{FF1F}][\x22'\x29\x5D\x{201D}\x{2019}\x{00BB}]*\x20*$"
 _TALLY = -1
+# Buckets for each shuffle partition: a task groups the cells of its bucket in memory.
+BUCKETS = 4
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
-    """(``bucket``, ``row``, id, ``text``, ``name``): each text and that of the next document by id.
+def with_next(docs: DataFrame, id_col: str, text_col: str, name: str, parts: int) -> DataFrame:
+    """(``bucket``, ``row``, id, ``text``, ``own``, ``name``, ``next``): each text and that of the next
+    document by id, and the paragraphs of both, which are found once per text.
 
     After the last comes the first; repeated ids follow each other by their text's hash,
     missing ids come first. Ids are dealt into about sqrt(n) buckets of about sqrt(n)
@@ -77,10 +80,12 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, name: str) -> DataFra
     ghosts = borders.groupBy("to").agg(F.min(order).alias("o")).select(
         F.col("to").alias("bucket"), F.lit(None).cast(rows.schema["id"].dataType).alias("id"), F.col("o.text").alias("text"), F.lit(1).alias("ghost")
     )
-    both = rows.withColumn("ghost", F.lit(0)).unionByName(ghosts)
+    both = rows.withColumn("ghost", F.lit(0)).unionByName(ghosts).repartition(parts, "bucket")
+    both = with_once(both, "own", paragraphs(F.col("text")))
     window = Window.partitionBy("bucket").orderBy("ghost", F.col("id").asc_nulls_first(), F.xxhash64("text"), "text")
     following = both.select(
-        "bucket", F.row_number().over(window).alias("row"), "id", "text", "ghost", F.lead("text").over(window).alias(name)
+        "bucket", F.row_number().over(window).alias("row"), "id", "text", "own", "ghost",
+        F.lead("text").over(window).alias(name), F.lead("own").over(window).alias("next"),
     )
     return following.where("ghost = 0").drop("ghost") if lowest is not None else following.drop("ghost")
 
@@ -126,64 +131,76 @@ def paragraphs(text: Column) -> Column:
     return F.array_distinct(F.transform(units, lambda x: F.xxhash64(x)))
 
 
-def _cell(key: Column, table: int, cells: int) -> Column:
-    return (F.lit(table * cells) + F.pmod(F.xxhash64(key, F.lit(table)), F.lit(cells))).cast("int")
+def _cell(key: Column, table: int, cells: Column) -> Column:
+    return (table * cells + F.pmod(F.xxhash64(key, F.lit(table)), cells)).cast("int")
 
 
 def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit("check"))
 
 
-_SUM = ("c", "k", "h")
+# Documents are told apart by bucket and row; all their rows lie in the bucket.
+PLACE = ("bucket", "row")
+# What is compared: the document's own paragraphs and those of another side.
+PAIRS = {"edited": "other", "next": "next"}
 
 
 def _merged(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys, "cell").agg(F.sum("c").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("h").alias("h"))
 
 
-def _in_cells(entries: DataFrame, cells: int, *keys: str) -> DataFrame:
-    """Cells of ``entries`` (keys, ``k``, ``c``: how often the paragraph counts)."""
-    spread = entries.select(*keys, "k", "c", F.explode(F.array(*[_cell(F.col("k"), t, cells) for t in range(3)])).alias("cell"))
-    return _merged(spread.withColumn("h", _check(F.col("k"))), *keys)
+def with_sketches(keys: DataFrame, columns: dict[str, str], carried: Sequence[str], cells: int = CELLS) -> DataFrame:
+    """(carried, sketches): a sketch of the paragraphs in each array column, named as in ``columns``.
 
+    A sketch is an array of its cells in order. The carried columns travel in one entry of
+    their own, so that no join brings them back.
+    """
+    kept = F.struct(*carried)
+    entry = lambda side, k, kept: F.struct(F.lit(side).cast("string").alias("side"), k.cast("long").alias("k"), kept.alias("kept"))
+    nothing = F.when(F.lit(False), kept)
+    sides = [F.transform(F.col(c), lambda k, c=c: entry(c, k, nothing)) for c in columns]
+    entries = keys.select(*PLACE, F.explode(F.concat(F.array(entry(None, F.lit(None), kept)), *sides)).alias("e")).select(*PLACE, "e.*")
+    places = F.when(F.col("k").isNull(), F.array(F.lit(_TALLY))).otherwise(F.array(*[_cell(F.col("k"), t, F.lit(cells)) for t in range(3)]))
+    spread = entries.select(*PLACE, "side", "kept", "k", F.explode(places).alias("cell"))
+    one = F.lit(1).cast("long").alias("c")
+    placed = _merged(spread.select(*PLACE, "side", "kept", "cell", one, "k", _check(F.col("k")).alias("h")), *PLACE, "side", "kept")
+    cell = F.struct("cell", "c", "k", "h")
+    listed = [F.sort_array(F.collect_list(F.when(F.col("side") == c, cell))).alias(name) for c, name in columns.items()]
+    return placed.groupBy(*PLACE).agg(F.max("kept").alias("kept"), *listed).select("kept.*", *columns.values())
 
-# Of each document: its own paragraphs, those of the edited text and of the next document.
-SIDES = ("own", "other", "next")
-# What is compared: the document's own sketch less that of another side.
-PAIRS = {"edited": "other", "next": "next"}
-PLACE = ("bucket", "row")
 
+def subtracted(pairs: DataFrame) -> DataFrame:
+    """(bucket, row, pair, size, cell, c, k, h): the own sketch less the other one; empty cells fall away.
 
-def sketched(keys: DataFrame, cells: int, sides: Sequence[str] = SIDES) -> DataFrame:
-    """(bucket, row, side, cell, c, k, h): the sketch of each side's paragraphs, an array column."""
-    tagged = lambda side: F.transform(F.col(side), lambda k: F.struct(F.lit(side).alias("side"), k.alias("k")))
-    entries = keys.select(*PLACE, F.explode(F.concat(*map(tagged, sides))).alias("e")).select(*PLACE, "e.*", F.lit(1).cast("long").alias("c"))
-    return _in_cells(entries, cells, *PLACE, "side")
+    ``pairs`` has the paragraphs of both sides as ``a`` and ``b`` and the ``size`` of a table.
+    A tally, which counts what is peeled off, says that there is the pair.
+    """
+    some = lambda side, sign: F.transform(
+        F.col(side), lambda k: F.struct(k.alias("k"), F.lit(sign).cast("long").alias("c"))
+    )
+    tally = F.array(F.struct(F.lit(None).cast("long").alias("k"), F.lit(0).cast("long").alias("c")))
+    keys = pairs.select(*PAIR, F.explode(F.concat(tally, some("a", 1), some("b", -1))).alias("e")).select(*PAIR, "e.*")
+    places = F.array(*[_cell(F.col("k"), t, F.col("size")) for t in range(3)])
+    cells = keys.select(*PAIR, "k", "c", F.explode(F.when(F.col("k").isNull(), F.array(F.lit(_TALLY))).otherwise(places)).alias("cell"))
+    zero = F.lit(0).cast("long")
+    named = F.col("k").isNotNull()
+    rows = cells.select(*PAIR, "cell", "c", F.when(named, _check(F.col("k"))).otherwise(zero).alias("h"), F.coalesce("k", zero).alias("k"))
+    return _filled(_merged(rows, *PAIR))
 
 
-def subtracted(cells: DataFrame, keys: DataFrame, pairs: Column) -> DataFrame:
-    """(bucket, row, pair, cell, c, k, h): the own sketch less the other one, for the ``pairs`` of each row.
+def _filled(cells: DataFrame) -> DataFrame:
+    return cells.where((F.col("cell") == _TALLY) | (F.col("c") != 0) | (F.col("k") != 0) | (F.col("h") != 0))
 
-    Cells that are empty fall away. A tally, which counts what is peeled off, says that there is the pair.
-    """
-    signed = F.when(F.col("side") == "own", F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(1).cast("long").alias("sign")) for p in PAIRS]))
-    for pair, side in PAIRS.items():
-        signed = signed.when(F.col("side") == side, F.array(F.struct(F.lit(pair).alias("pair"), F.lit(-1).cast("long").alias("sign"))))
-    both = cells.select(*PLACE, "cell", "c", "k", "h", F.explode(signed).alias("s"))
-    rows = both.select(*PLACE, "s.pair", "cell", (F.col("c") * F.col("s.sign")).alias("c"), "k", "h")
-    zero = F.lit(0).cast("long")
-    tally = keys.select(*PLACE, F.explode(pairs).alias("pair")).select(
-        *PLACE, "pair", F.lit(_TALLY).alias("cell"), zero.alias("c"), zero.alias("k"), zero.alias("h")
-    )
-    left = _merged(rows, *PLACE, "pair").where((F.col("c") != 0) | (F.col("k") != 0) | (F.col("h") != 0))
-    return left.unionByName(tally)
+
+PAIR = (*PLACE, "pair", "size")
 
 
-def _peeled(cells: DataFrame, size: int, *keys: str) -> DataFrame:
+def _peeled(cells: DataFrame) -> DataFrame:
     """Take out what a cell of one paragraph names, table after table; a tally counts it."""
+    size = F.col("size")
     for sweep in range(3 * SWEEPS):
         table = sweep % 3
-        c, k, h = (F.col(x) for x in _SUM)
+        c, k, h = (F.col(x) for x in ("c", "k", "h"))
         single = (
             F.col("cell").between(table * size, (table + 1) * size - 1)
             & (F.abs(c) == 1)
@@ -196,38 +213,38 @@ def _peeled(cells: DataFrame, size: int, *keys: str) -> DataFrame:
             row(F.lit(_TALLY), one, zero, zero), *[row(_cell(k, t, size), -c, k, h) for t in range(3) if t != table]
         )
         out = F.explode(F.when(single, taken).otherwise(F.array(row(F.col("cell"), c, k, h)))).alias("x")
-        cells = _merged(cells.select(*keys, out).select(*keys, "x.*"), *keys)
-        cells = cells.where((F.col("cell") == _TALLY) | (F.col("c") != 0) | (F.col("k") != 0) | (F.col("h") != 0))
+        cells = _filled(_merged(cells.select(*PAIR, out).select(*PAIR, "x.*"), *PAIR))
     return cells
 
 
-def differences(keys: DataFrame, steps: Steps, cells: int = CELLS) -> DataFrame:
+def differences(keys: DataFrame, steps: Steps) -> DataFrame:
     """(bucket, row, pair, ``n``): in how many paragraphs the sides of a pair differ.
 
-    The sketches of both are subtracted and peeled. Pairs whose cells cannot be emptied
-    are tried again with sketches four times as large. No step moves a row.
+    The fingerprints of both sides are subtracted and peeled. They hold up to about forty
+    paragraphs that differ: pairs with more than ``4 * CELLS`` in both texts, and those
+    whose cells cannot be emptied, are tried with larger sketches, each time four times as
+    large. No step moves a row.
     """
-    by = (*PLACE, "pair")
-    done, wanted, pairs = [], keys, F.array(*map(F.lit, PAIRS))
-    none = F.array().cast("array<bigint>")
+    sides = F.array(*[F.struct(F.lit(p).alias("pair"), F.col("own").alias("a"), F.col(side).alias("b")) for p, side in PAIRS.items()])
+    pairs = keys.select(*PLACE, F.explode(sides).alias("p")).select(*PLACE, "p.*")
+    both = F.size("a") + F.size("b")
+    size = F.when(both <= 4 * CELLS, F.lit(CELLS)).otherwise(F.pow(F.lit(2), F.ceil(F.log2(both / 2))).cast("int"))
+    pairs = pairs.select("*", size.alias("size"))
+    done, wanted, turn = [], pairs, 0
+    tally = F.col("cell") == _TALLY
     while True:
-        start = subtracted(sketched(wanted, cells), wanted, pairs)
-        tally = F.col("cell") == _TALLY
-        result = _peeled(start, cells, *by).groupBy(*by).agg(
+        result = _peeled(subtracted(wanted)).groupBy(*PAIR).agg(
             F.sum(F.when(tally, F.col("c")).otherwise(F.lit(0).cast("long"))).alias("n"), F.sum(F.when(tally, F.lit(0)).otherwise(F.lit(1))).alias("left")
         )
-        # Cells of an own sketch that only the other pair is still open for come without a tally.
-        result = result.join(wanted.select(*PLACE, F.explode(pairs).alias("pair")), list(by)) if done else result
-        result = steps.write_buckets(result, f"peeled-{cells}", "bucket")
-        done.append(result.where("left = 0").select(*by, "n"))
+        result = steps.write_buckets(result, f"peeled-{turn}", "bucket", BUCKETS)
+        done.append(result.where("left = 0").select(*PLACE, "pair", "n"))
         failed = result.where("left > 0")
         if failed.isEmpty():
             return reduce(DataFrame.unionByName, done)
-        failed = failed.groupBy(*PLACE).agg(F.collect_list("pair").alias("open"))
-        again = keys.join(failed, list(PLACE))
-        kept = {side: F.when(F.array_contains("open", pair), F.col(side)).otherwise(none) for pair, side in PAIRS.items()}
-        wanted = again.withColumns(kept)
-        pairs, cells = F.col("open"), cells * GROWTH
+        larger = F.struct(F.col("pair").alias("open"), (F.col("size") * GROWTH).alias("size"))
+        failed = failed.groupBy(*PLACE).agg(F.collect_list(larger).alias("again"))
+        again = pairs.drop("size").join(failed, list(PLACE)).select(*PLACE, "pair", "a", "b", F.explode("again").alias("t"))
+        wanted, turn = again.where("pair = t.open").select(*PLACE, "pair", "a", "b", "t.size"), turn + 1
 
 
 def likeness(n_a: Column, n_b: Column, differing: Column) -> Column:
@@ -251,37 +268,35 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     is its own next. Paragraphs that are only reordered or repeated make no difference.
     Other columns are not read.
     """
-    rows = with_next(docs, id_col, text_col, "following")
+    steps = Steps(docs.sparkSession, "fingerprints")
+    # Tables in equal buckets are joined by document where they are.
+    docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    rows = with_next(docs, id_col, text_col, "following", steps.buckets(BUCKETS))
     rows = with_once(rows, "edited", edited(F.col("text"), F.col("following")))
     keys = rows.select(
-        "bucket",
-        "row",
+        *PLACE,
         "id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        paragraphs(F.col("text")).alias("own"),
+        "own",
         paragraphs(F.col("edited")).alias("other"),
-        paragraphs(F.col("following")).alias("next"),
+        "next",
     )
-    steps = Steps(docs.sparkSession, "fingerprints")
-    keys = steps.write_buckets(keys, "keys", "bucket")
+    keys = steps.write_buckets(keys, "keys", "bucket", BUCKETS)
     found = differences(keys, steps)
     value = lambda pair: F.max(F.when(F.col("pair") == pair, F.col("n"))).alias(f"d_{pair}")
-    counts = found.groupBy(*PLACE).agg(*map(value, PAIRS))
-    cell = F.struct("cell", "c", "k", "h")
-    listed = lambda side, name: F.sort_array(F.collect_list(F.when(F.col("side") == side, cell))).alias(name)
-    sketches = sketched(keys, CELLS, ("own", "other")).groupBy(*PLACE).agg(listed("own", "cells"), listed("other", "edited_cells"))
-    out = keys.join(counts, list(PLACE), "left").join(sketches, list(PLACE), "left")
+    counts = found.groupBy(*PLACE).agg(*map(value, PAIRS)).repartition(steps.buckets(BUCKETS), "bucket")
+    counts = steps.write_buckets(counts, "counts", "bucket", BUCKETS)
     n = F.size
-    return out.select(
-        F.col("id").alias(id_col),
-        "n_chars",
-        "edited_sha256",
-        "cells",
-        "edited_cells",
-        likeness(n("own"), n("other"), F.col("d_edited")).alias("near_edited"),
-        likeness(n("own"), n("next"), F.col("d_next")).alias("near_next"),
+    told = keys.join(counts, list(PLACE), "left").withColumns(
+        {
+            "near_edited": likeness(n("own"), n("other"), F.col("d_edited")),
+            "near_next": likeness(n("own"), n("next"), F.col("d_next")),
+        }
     )
+    carried = ["id", "n_chars", "edited_sha256", "near_edited", "near_next"]
+    out = with_sketches(told, {"own": "cells", "other": "edited_cells"}, carried)
+    return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", "cells", "edited_cells", "near_edited", "near_next")
 
 
 def spelled(cells: Column) -> Column:
