@@ -31,6 +31,8 @@ from siglake.session import Steps
 
 REGISTERS = 256
 MANTISSA = 10
+# Members whose sets say what a family has in common.
+TELLERS = 64
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -262,17 +264,22 @@ def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
 def differences(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """``nodes`` (node, family, ...) with the size ``n`` of their sets and ``away``, their difference to the family.
 
-    A family is described by the items that more than half of its members have; ``away``
-    holds what a member has beside these, and what it lacks of them.
+    A family is described by the items that more than half of some members have, about
+    ``TELLERS`` of them chosen by hash; ``away`` holds what a member has beside these, and
+    what it lacks of them. Any description serves: it decides how many pairs are compared,
+    not which links are found.
     """
     rows = sets.select("node", "n", "items").join(nodes, "node")
-    counts = rows.select("family", F.explode("items").alias("item")).groupBy("family", "item").agg(F.count("*").alias("f"))
-    sizes = nodes.groupBy("family").agg(F.count("*").alias("m"))
-    common = counts.join(sizes, "family").where("2 * f > m").groupBy("family").agg(F.collect_list("item").alias("common"))
+    sizes = nodes.groupBy("family").agg(F.count("*").alias("all"))
+    told = F.pmod(F.xxhash64("node"), F.col("all")) < TELLERS
+    some = rows.join(sizes, "family").where(told).select("family", "node", "items")
+    counts = some.select("family", F.explode("items").alias("item")).groupBy("family", "item").agg(F.count("*").alias("f"))
+    tellers = some.groupBy("family").agg(F.count("*").alias("m"))
+    common = counts.join(tellers, "family").where("2 * f > m").groupBy("family").agg(F.collect_list("item").alias("common"))
     none = F.array().cast("array<long>")
-    told = rows.join(common, "family", "left").withColumn("common", F.coalesce("common", none))
+    both = rows.join(common, "family", "left").withColumn("common", F.coalesce("common", none))
     away = F.concat(F.array_except("items", "common"), F.array_except("common", "items"))
-    return told.withColumn("away", away).drop("items", "common")
+    return both.withColumn("away", away).drop("items", "common")
 
 
 def sharing_differences(nodes: DataFrame, sets: DataFrame, settings: Settings, steps: Steps) -> DataFrame:
