@@ -158,7 +158,8 @@ def with_sketches(keys: DataFrame, columns: dict[str, str], carried: Sequence[st
     kept = F.struct(*carried)
     entry = lambda side, k, kept: F.struct(F.lit(side).cast("string").alias("side"), k.cast("long").alias("k"), kept.alias("kept"))
     nothing = F.when(F.lit(False), kept)
-    sides = [F.transform(F.col(c), lambda k, c=c: entry(c, k, nothing)) for c in columns]
+    tagged = lambda c: F.transform(F.col(c), lambda k: entry(c, k, nothing))
+    sides = [tagged(c) for c in columns]
     entries = keys.select(*PLACE, F.explode(F.concat(F.array(entry(None, F.lit(None), kept)), *sides)).alias("e")).select(*PLACE, "e.*")
     places = F.when(F.col("k").isNull(), F.array(F.lit(_TALLY))).otherwise(F.array(*[_cell(F.col("k"), t, F.lit(cells)) for t in range(3)]))
     spread = entries.select(*PLACE, "side", "kept", "k", F.explode(places).alias("cell"))
