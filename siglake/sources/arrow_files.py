@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -184,8 +185,8 @@ class ArrowWriter(DataSourceArrowWriter):
     """Tasks write files into a staging folder; the driver moves those of finished tasks.
 
     Until all tasks have ended, nothing can be seen under the target. What failed or
-    repeated attempts leave is deleted with the staging folder. The folder must be
-    one that tasks and driver reach through ``pyarrow.fs``: a mounted one, or HDFS, S3, GCS.
+    repeated attempts leave is deleted with the staging folder, which the driver makes and
+    tasks do not. The folder must be one that tasks and driver reach through ``pyarrow.fs``: a mounted one, or HDFS, S3, GCS.
     """
 
     def __init__(self, path: str, overwrite: bool, by: str | None):
@@ -198,6 +199,11 @@ class ArrowWriter(DataSourceArrowWriter):
         store, folder = pafs.FileSystem.from_uri(local)
         return store, folder.rstrip("/")
 
+    def prepare(self) -> "ArrowWriter":
+        store, folder = self._store()
+        store.create_dir(f"{folder}/{self.staging}", recursive=True)
+        return self
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         store, folder = self._store()
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
@@ -211,8 +217,8 @@ class ArrowWriter(DataSourceArrowWriter):
                             sink.close()
                         inside = "" if self.by is None else f"{self.by}={value}/"
                         name = f"{inside}part-{part:05d}-{len(files):03d}-{self.run}.arrow"
-                        staged = f"{folder}/{self.staging}/{attempt}/{name}"
-                        store.create_dir(staged.rsplit("/", 1)[0], recursive=True)
+                        # Opening fails once the folder is deleted, so a task that goes on after that leaves nothing.
+                        staged = f"{folder}/{self.staging}/{attempt}-{len(files):03d}"
                         sink = store.open_output_stream(staged)
                         writer = pa.ipc.new_file(sink, rows.schema, options=LZ4)
                         files.append((staged, f"{folder}/{name}"))
@@ -252,8 +258,15 @@ class ArrowWriter(DataSourceArrowWriter):
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         store, folder = self._store()
         staging = f"{folder}/{self.staging}"
-        if store.get_file_info(staging).type == pafs.FileType.Directory:
-            store.delete_dir(staging)
+        for last in (False, False, False, False, True):
+            try:
+                if store.get_file_info(staging).type == pafs.FileType.Directory:
+                    store.delete_dir(staging)
+                return
+            except OSError:  # a task that has not ended yet opened a file in it
+                if last:
+                    raise
+                time.sleep(0.2)
 
 
 @dataclass
@@ -280,7 +293,7 @@ class ArrowFiles(DataSource):
         return frame_schema(json.loads(self.options["columns"]))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return ArrowWriter(self.options["path"], overwrite, self.options.get("by"))
+        return ArrowWriter(self.options["path"], overwrite, self.options.get("by")).prepare()
 
     def reader(self, schema: StructType) -> DataSourceReader:
         batches = int(self.options.get("batchesPerPartition", 16))
