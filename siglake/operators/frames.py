@@ -101,8 +101,7 @@ def _quantile_of_groups(df, keys, input_column, output_column, probability, acro
         return apply_groups(df, keys, input_column, output_column, exact, across_frames)
     quantile = group_quantiles(present, groups, input_column, [probability], cuts=cuts)
     none = lambda: F.lit(None)
-    first = apply_groups(df, keys, input_column, "_none", none, across_frames).drop("_none")
-    first = first.drop(output_column)
+    first = apply_groups(df, keys, input_column, output_column, none, across_frames).drop(output_column)
     result = quantile.select(*groups, F.col("q")[0].alias(output_column))
     return first.join(result, groups, "left").select(*first.columns, output_column)
 

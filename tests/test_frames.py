@@ -2,7 +2,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from siglake.operators import columns, compare, frames, joins
+from siglake.operators import columns, compare, frames, joins, ranking
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,14 @@ def test_named_aggregates(df, name, expected):
     assert got.where("k = 'k1'").first().r == pytest.approx(expected)
 
 
+def test_median_of_input_that_needs_several_slices(df, monkeypatch):
+    whole = frames.aggregate_groups(df, ["k"], "x", "r", "median")
+    monkeypatch.setattr(frames, "slice_cuts", lambda df, x: ranking.slice_cuts(df, x, 2))
+    got = frames.aggregate_groups(df, ["k"], "x", "r", "median")
+    assert got.columns == whole.columns == ["_frame", "_row", "k", "note", "r"]
+    assert rows(got, *got.columns) == rows(whole, *got.columns) and got.count() == 3
+
+
 def test_raw_groups(df):
     got = frames.aggregate_groups_raw(df, ["k"], "r", {"lo": F.min("x"), "hi": F.max("x")})
     assert rows(got, "_frame", "k", "r.lo", "r.hi") == [
