@@ -48,6 +48,14 @@ def test_median_of_input_that_needs_several_slices(df, monkeypatch):
     assert rows(got, *got.columns) == rows(whole, *got.columns) and got.count() == 3
 
 
+def test_median_of_missing_values_in_several_slices(spark, monkeypatch):
+    monkeypatch.setattr(frames, "slice_cuts", lambda df, x: ranking.slice_cuts(df, x, 2))
+    values = [("k1", 1.0), ("k1", None), ("k1", float("nan")), ("k1", 4.0), ("k2", float("nan")), ("k2", None), ("k3", 6.0), (None, 8.0)]
+    data = spark.createDataFrame([("a", i, k, x) for i, (k, x) in enumerate(values)], "_frame string, _row long, k string, x double")
+    got = frames.aggregate_groups(data, ["k"], "x", "r", "median")
+    assert rows(got, "_row", "k", "r") == [(0, "k1", 2.5), (4, "k2", None), (6, "k3", 6.0)]
+
+
 def test_raw_groups(df):
     got = frames.aggregate_groups_raw(df, ["k"], "r", {"lo": F.min("x"), "hi": F.max("x")})
     assert rows(got, "_frame", "k", "r.lo", "r.hi") == [
