@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siglake.model import DATA_COLUMNS, ROW, SOURCE, nan_to_null
-from siglake.session import broadcast_if_small, remove, stored_bytes
+from siglake.session import broadcast_if_small, not_broadcast_if_large, remove, stored_bytes
 from siglake.sources.layouts import open_events, write_events
 from siglake.sources.sqlite import FORMAT, RUN_PARAMETERS, SqliteResults, unpacked, unpacked_rows
 from siglake.sources.store import split_by_reach
@@ -93,8 +93,11 @@ def read_sqlite(spark: SparkSession, paths: Sequence[str], table: str, **options
 
 
 def join_signals(vector: DataFrame, vector_data: DataFrame) -> DataFrame:
-    """Samples with module and signal name: vector joined to its data, file by file."""
-    names = vector.select(SOURCE, "vectorId", "moduleName", "vectorName")
+    """Samples with module and signal name: vector joined to its data, file by file.
+
+    A file can have millions of vectors, so both sides are shuffled unless the vectors are few.
+    """
+    names = not_broadcast_if_large(vector.select(SOURCE, "vectorId", "moduleName", "vectorName"))
     return vector_data.join(names, [SOURCE, "vectorId"])
 
 

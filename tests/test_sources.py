@@ -103,6 +103,18 @@ def test_written_signals_are_read_by_name(spark, folder, tmp_path):
     assert "EqualTo(vectorName,cbr:vector)" in plan and "ReadSchema: struct<value:double,vectorName:string>" in plan
 
 
+@pytest.mark.parametrize(("modules", "join"), [(40_000, "SortMergeJoin"), (10, "BroadcastHashJoin")])
+def test_many_vectors_of_few_rows_are_not_broadcast(spark, modules, join):
+    """The optimizer takes rows made by inline for as few as they were made from."""
+    made = "inline(transform(sequence(0, 12), i -> named_struct('vectorId', id * 16 + i, 'vectorName', concat('name_', i, ':vector'))))"
+    vector = spark.range(modules).selectExpr("'f' AS source_file", "concat('World.node[', id, ']') AS moduleName", made)
+    data = spark.range(2_000_000).selectExpr("'f' AS source_file", "id AS _row", f"id % {modules * 16} AS vectorId", "1D AS value")
+    joined = results.join_signals(vector, data)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert join in plan
+    assert joined.count() == sum(i % (modules * 16) % 16 < 13 for i in range(2_000_000))
+
+
 def test_sql_per_file(spark):
     flows = spark.createDataFrame([("f", 1, 0.5), ("g", 2, 0.7)], "source_file string, rowId long, loss double")
     config = spark.createDataFrame([("f", 100), ("g", 200)], "source_file string, payload int")
