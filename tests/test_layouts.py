@@ -80,6 +80,14 @@ def test_an_area_reads_its_share_of_the_positions(spark, signals, tmp_path, plai
         assert found.count() == layouts.in_area(expected, area).count()
 
 
+def test_tasks_order_a_bounded_number_of_positions(spark, signals, tmp_path, monkeypatch):
+    """Few stored bytes can be many rows."""
+    monkeypatch.setattr(layouts, "ROWS_PER_PART", 2_000)
+    pairs = layouts.write_positions(signals, "posX:vector", "posY:vector", str(tmp_path / "p"))
+    sizes = [r["count"] for r in pairs.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 4_000
+
+
 def test_positions_without_a_number_and_without_rows(spark, tmp_path):
     schema = "source_file string, _row long, moduleName string, vectorName string, eventNumber long, simtimeRaw long, value double"
     rows = [("f", 1, "m", "x", 1, 1, float("nan")), ("f", 2, "m", "y", 1, 1, 2.0), ("f", 3, "m", "x", 2, 1, None), ("f", 4, "m", "y", 2, 1, 5.0)]
