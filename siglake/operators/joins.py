@@ -74,10 +74,12 @@ def merge_by_files(
     frame on either side. Frames are told apart by a hash of their set of files.
     """
     sets = [
-        df.select(FRAME, SOURCE)
-        .distinct()
-        .groupBy(FRAME)
-        .agg(F.bit_xor(F.xxhash64(SOURCE)).alias("files"), F.count(F.lit(1)).alias("n"))
+        broadcast_if_small(
+            df.select(FRAME, SOURCE)
+            .distinct()
+            .groupBy(FRAME)
+            .agg(F.bit_xor(F.xxhash64(SOURCE)).alias("files"), F.count(F.lit(1)).alias("n"))
+        )
         for df in (left, right)
     ]
     for side in sets:

@@ -13,7 +13,7 @@ from siglake.functions.text import strip
 from siglake.operators import columns, extract, frames, joins, query, tags
 from siglake.plans import fixtures
 from siglake.plans.registry import register, rounded
-from siglake.session import shared_folder
+from siglake.session import not_broadcast_if_large, shared_folder, written
 from siglake.sources import files, layouts
 from siglake.sources.results import join_signals, sql_per_file, unify_parameters
 from siglake.sources.sinks import output_name
@@ -619,17 +619,24 @@ FROM f_signal x JOIN f_signal y ON x.moduleName = y.moduleName AND x.eventNumber
 WHERE x.vectorName = 'posX:vector' AND y.vectorName = 'posY:vector'
 GROUP BY x.source_file, x.moduleName, y.source_file""")
 def merge_concatenated(spark, d):
-    """Two concatenations of the same files; rows of different files meet, counted per pair of files."""
+    """Two concatenations of the same files; rows of different files meet, counted per pair of files.
+
+    Rows of one file with equal keys meet the same rows. They are merged as one, with their
+    number: all pairs of rows would be as many as the square of the rows per key.
+    """
     sides = []
     for name in ("posX:vector", "posY:vector"):
         rows = fixtures.signals(spark, d).where(F.col("vectorName") == name).withColumn("_frame", F.col("source_file"))
         rows = rows.select("_frame", "_row", "source_file", "moduleName", "eventNumber")
         sides.append(frames.concat([rows.withColumn("slot", F.col("eventNumber") % 1000)], "all"))
-    left = sides[0]
-    right = sides[1].drop("eventNumber")
-    merged = joins.merge_by_files(left, right, ["moduleName", "slot"], ["moduleName", "slot"])
+    keys = ["moduleName", "slot"]
+    left, right = [side.groupBy("_frame", "source_file", *keys) for side in sides]
+    n = F.count(F.lit(1)).alias("n")
+    left = written(left.agg(n, F.min("eventNumber").alias("first_event"), F.max("eventNumber").alias("last_event")))
+    right = not_broadcast_if_large(written(right.agg(n)))
+    merged = joins.merge_by_files(left, right, keys, keys)
     return merged.groupBy("source_file", "moduleName", "source_file_r").agg(
-        F.count(F.lit(1)).alias("n"), F.min("eventNumber").alias("first_event"), F.max("eventNumber").alias("last_event")
+        F.sum(F.col("n") * F.col("n_r")).alias("n"), F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event")
     )
 
 

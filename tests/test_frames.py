@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siglake.operators import columns, compare, frames, joins, ranking
+from siglake.plans import selection
 
 
 @pytest.fixture(scope="module")
@@ -157,6 +158,31 @@ def test_join_per_file(spark, sides):
     assert rows(joins.join_per_file(sides[0], config), "v", "payload") == [(1, 5), (1, 6), (2, 5), (2, 6), (3, 7)]
 
 
+def test_concatenated_files_are_merged_without_all_pairs_of_rows(spark, tmp_path):
+    """Two files with 300 and 200 events of one module and slot."""
+    orders = [(7 + 1000 * i, 20 if i % 5 < 3 else 40, 100.0 * i) for i in range(500)]
+    tables = {
+        "customer": spark.createDataFrame([(20, "c", 1, 5.0, "m"), (40, "d", 2, 6.0, "m")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").selectExpr("*", "timestamp_ntz'1995-01-01' AS o_orderdate"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = selection.merge_concatenated(spark, str(tmp_path))
+    found = {(r["source_file"], r["source_file_r"]): (r["n"], r["first_event"], r["last_event"]) for r in got.collect()}
+    one, two = (300, 7, 497_007), (200, 3_007, 499_007)
+    assert found == {(f"run_{a}.vec", f"run_{b}.vec"): (x[0] * y[0], *x[1:]) for a, x in ((1, one), (2, two)) for b, y in ((1, one), (2, two))}
+    plan = got._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+
+    def joined(node):
+        if "Join" in node.nodeName():
+            yield node.metrics().apply("numOutputRows").value()
+        inner = node.plan() if "QueryStage" in node.nodeName() else node
+        for i in range(inner.children().size()):
+            yield from joined(inner.children().apply(i))
+
+    assert max(joined(plan)) == 4
+
+
 # Comparison ------------------------------------------------------------------------------
 
 
