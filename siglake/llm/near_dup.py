@@ -294,6 +294,10 @@ def sharing_differences(nodes: DataFrame, sets: DataFrame, settings: Settings, s
       of each, whatever the order of items. With the rarest first, these are a member's
       own edits, which few others share. How few is enough depends on both sizes, so
       items are joined per pair of size classes.
+
+    Common items that are not among the first few of both come after the last of these of one
+    of the two, so that they are fewer than that one's ``shared``. Pairs whose common first
+    items and these together are too few for a link are not handed on.
     """
     p = settings.percent
     rows = differences(nodes, sets).withColumn("k", F.size("away"))
@@ -317,17 +321,23 @@ def sharing_differences(nodes: DataFrame, sets: DataFrame, settings: Settings, s
     shared = F.greatest(F.ceil((F.col("k") + smallest - most) / 2 - 1e-6), F.lit(1))
     first = F.filter(F.slice("items", 1, F.greatest(F.col("k") - shared + 1, F.lit(0)).cast("int")), lambda e: e["f"] > 1)
     seeds = own.select(
-        "family", "node", "component", "n", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", F.explode(first).alias("e")
+        "family", "node", "component", "n", "k", shared.alias("shared"), F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", F.explode(first).alias("e")
     )
     seeds = steps.write(seeds.select("*", F.col("e.item").alias("item")).drop("e"), "seeds")
     left = seeds.where("own = low")
     right = seeds.where("own = high").select(
-        "family", "item", "low", "high", F.col("node").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b")
+        "family", "item", "low", "high", F.col("node").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"),
+        F.col("k").alias("k_b"), F.col("shared").alias("shared_b"),
     )
     close = 100 * F.least("n", "n_b") >= p * F.greatest("n", "n_b")
     apart = (F.col("component") != F.col("component_b")) & ((F.col("low") < F.col("high")) | (F.col("node") < F.col("b")))
     near = left.join(right, ["family", "item", "low", "high"]).where(apart & close)
-    return certain.unionByName(near.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
+    met = near.groupBy(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).agg(
+        F.count("*").alias("met"), F.first(F.greatest("shared", "shared_b")).alias("shared"),
+        F.first(F.col("k") + F.col("k_b")).alias("k"), F.first(F.col("n") + F.col("n_b")).alias("n"),
+    )
+    enough = 2 * (100 + p) * (F.col("met") + F.col("shared") - 1) >= F.col("k") * (100 + p) - F.col("n") * (100 - p)
+    return certain.unionByName(met.where(enough).select("a", "b"))
 
 
 def links_of(members: DataFrame, sets: DataFrame, settings: Settings, steps: Steps) -> DataFrame | None:

@@ -97,3 +97,20 @@ def test_a_crowd_of_far_copies_makes_few_pairs(spark):
         near_dup.sharing_differences = whole
     assert all(got[10_000 + i] == got[i] for i in range(0, 600, 50))
     assert counts and max(counts) < 10 * len(docs)  # of 186,966 pairs
+
+
+def test_pairs_that_share_too_few_items_are_not_compared(spark):
+    """Copies whose edits come from one small pool: any two share some, hardly any two are linked."""
+    rng = random.Random(5)
+    base, pool = [rng.getrandbits(40) for _ in range(150)], [rng.getrandbits(40) for _ in range(120)]
+    sets = {i.to_bytes(16, "big"): frozenset(rng.sample(base, 128)) | frozenset(rng.sample(pool, 22)) for i in range(300)}
+    for i in range(0, 300, 30):
+        sets[(1000 + i).to_bytes(16, "big")] = frozenset(sorted(sets[i.to_bytes(16, "big")])[:-8]) | {10**15 + i}
+    rows = [(n, len(s), near_dup.registers(np.array(sorted(s), np.uint64)).tobytes(), sorted(s)) for n, s in sets.items()]
+    table = spark.createDataFrame(rows, "node binary, n long, signature binary, items array<long>")
+    nodes = spark.createDataFrame([(n, n, b"f") for n in sets], "node binary, component binary, family binary")
+    found = near_dup.sharing_differences(nodes, table, near_dup.CORPUS, Steps(spark, "test")).collect()
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in found}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len(links) >= 10 and links <= got
+    assert len(got) < 3_000  # of 47,895 pairs
