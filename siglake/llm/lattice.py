@@ -1,11 +1,14 @@
 """SentencePiece encoding and decoding with joins.
 
-The distinct parts of all texts (see ``pieces``) become lattices: every substring up
-to the longest piece's length is looked up in the table of pieces, the edges of a part
-are gathered, and a fold over its characters finds the best path, of which it carries a
-score and the last edge for each end. The paths are joined back to the places of the
-parts. Memory and work grow linearly with a part, however long it is: a long part is
-known by its hash, and its substrings are taken from short windows of it.
+The parts of a text (see ``pieces``) become lattices: substrings are joined to the table
+of pieces, which makes the edges, and a fold over a part's characters finds the best path,
+of which it carries a score and the last edge for each end. Memory and work grow linearly
+with a part, however long it is: the substrings of a long part are taken from short
+windows of it.
+
+All joined tables are bounded and sent to every task, so that the rows of a text stay in
+their task and in order, and nothing is shuffled but the counts of parts in some texts.
+These say which parts are frequent: the paths of such parts are found beforehand.
 """
 
 from __future__ import annotations
@@ -13,17 +16,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siglake.llm.common import filled, let
 from siglake.llm.pieces import BLANK, PARTS, Pieces, load
+from siglake.session import Steps
 
 # Characters of a part whose substrings are taken from one window.
 _WINDOW = 256
-# Parts up to so many characters are their own key.
+# Characters that a substring shares with the pieces that may be as long as it.
+_PREFIX = 3
+# Longest parts that may be known beforehand, and that are folded many at a time.
 _SHORT = 40
+# Known parts, at most, and the texts whose parts are counted to choose them. They change the work, never a result.
+KNOWN = 1 << 18
+TOLD = 20_000
+# Rows of a task that are folded at a time.
+_ROWS = 200_000
 # An edge in 61 bits: its end, 255 less its length, whether it is a character that is no piece, and its id or code point.
 _END, _LENGTH, _CHAR = 30, 22, 21
 
@@ -35,96 +46,274 @@ def parts_of(text: Column) -> Column:
     )
 
 
-def key_of(part: Column) -> Column:
-    """The part, or a line feed and its SHA-256; no part has a line feed before other characters."""
-    return F.when(F.length(part) <= _SHORT, part).otherwise(F.concat(F.lit("\n"), F.sha2(part, 256)))
+def frequent_parts(rows: DataFrame, steps: Steps) -> DataFrame:
+    """At most ``KNOWN`` parts that occur in the most of about ``TOLD`` of the rows (id, parts), chosen by hash."""
+    told = F.pmod(F.xxhash64("id", "parts"), F.lit(max(rows.count(), 1))) < TOLD
+    part = rows.where(told).select(F.explode(F.array_distinct("parts")).alias("part")).where(F.length("part") <= _SHORT)
+    counts = steps.write(part.groupBy("part").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    levels = counts.groupBy(F.floor(4 * F.log2("n")).alias("level")).agg(F.count("*").alias("m")).collect()
+    least, held = 0, 0
+    for level, m in sorted(levels, reverse=True):
+        held += m
+        if held > KNOWN:
+            least = level + 1
+            break
+    return counts.where(F.floor(4 * F.log2("n")) >= least).select("part")
 
 
-def paths(parts: DataFrame, pieces: Pieces) -> DataFrame:
-    """(key, ids) of distinct ``part``s: their best paths.
+def edges_of(parts: DataFrame, pieces: Pieces) -> DataFrame:
+    """``parts`` (part, ids, ...) with a row for each ``edge`` of those without ids, in order of start and length.
 
-    The table of pieces is sent to every task; ``pieces.MAX_PIECES`` bounds it.
+    A part with ids keeps its one row, without an edge. Substrings are taken up to the
+    longest piece that begins as they do. The tables of pieces and of their beginnings
+    are sent to every task; ``pieces.MAX_PIECES`` bounds them.
     """
     if pieces.longest > 255:
         raise ValueError("a piece is too long")
     spark = parts.sparkSession
-    table = spark.createDataFrame([(piece, pieces.ids[piece]) for piece in pieces.scores], "piece string, id int")
+    table = spark.createDataFrame([(piece, pieces.ids[piece]) for piece in pieces.scores], "piece string, piece_id int")
+    begins = table.where(F.length("piece") >= _PREFIX).groupBy(F.substring("piece", 1, _PREFIX).alias("begin"))
+    begins = begins.agg(F.max(F.length("piece")).alias("most"))
+    none = F.col("part").isNull() | F.col("ids").isNotNull()
     chars = F.translate("part", " ", BLANK)
+    tails = lambda chars, at, n: F.transform(
+        F.sequence(F.lit(1), n),
+        lambda start: F.struct((at + start - 1).alias("start"), F.substring(chars, start, F.lit(pieces.longest)).alias("tail")),
+    )
     windows = F.transform(
         F.sequence(F.lit(0), F.length("part") - 1, F.lit(_WINDOW)),
-        lambda at: F.struct(at.alias("at"), F.substring(chars, at + 1, F.lit(_WINDOW + pieces.longest - 1)).alias("chars")),
+        lambda at: let(
+            F.substring(chars, at + 1, F.lit(_WINDOW + pieces.longest - 1)),
+            lambda c: tails(c, at, F.least(F.lit(_WINDOW), F.length(c))),
+        ),
+    )
+    nothing = F.array(F.struct(F.lit(0).alias("start"), F.lit(None).cast("string").alias("tail")))
+    starts = (
+        F.when(none, nothing)
+        .when(F.length("part") <= _SHORT, let(chars, lambda c: tails(c, F.lit(0), F.length(c))))
+        .otherwise(F.flatten(windows))
     )
-    cut = parts.select(key_of(F.col("part")).alias("key"), F.explode(windows).alias("w")).select("key", "w.*")
-    room = F.least(F.lit(_WINDOW), F.length("chars"))
-    starts = cut.select("key", "at", "chars", F.explode(F.sequence(F.lit(1), room)).alias("start"))
-    room = F.least(F.lit(pieces.longest), F.length("chars") - F.col("start") + 1)
-    subs = starts.select("key", "at", "start", "chars", F.explode(F.sequence(F.lit(1), room)).alias("length"))
-    end = (F.col("at") + F.col("start") - 1 + F.col("length")).cast("long")
-    subs = subs.select("key", end.alias("end"), "length", F.substring(F.col("chars"), F.col("start"), F.col("length")).alias("piece"))
-    edges = subs.join(F.broadcast(table), "piece", "left").where(F.col("id").isNotNull() | (F.col("length") == 1))
+    kept = [c for c in parts.columns if c != "part"]
+    cut = parts.select(*kept, F.explode(starts).alias("s")).select(*kept, "s.*", F.substring("s.tail", 1, _PREFIX).alias("begin"))
+    cut = cut.join(F.broadcast(begins), "begin", "left")
+    room = F.when(F.col("tail").isNull(), 1).otherwise(F.least(F.length("tail"), F.coalesce("most", F.lit(_PREFIX - 1))))
+    subs = cut.select(*kept, "start", "tail", F.explode(F.sequence(F.lit(1), room)).alias("length"))
+    subs = subs.select(*kept, "start", "length", F.substring("tail", F.lit(1), F.col("length")).alias("piece"))
+    met = subs.join(F.broadcast(table), "piece", "left")
+    met = met.where(F.col("piece").isNull() | F.col("piece_id").isNotNull() | (F.col("length") == 1))
     code = F.conv(F.hex(F.encode("piece", "UTF-32")), 16, 10).cast("long")
-    packed = (
-        F.shiftleft(F.col("end"), _END)
+    edge = (
+        F.shiftleft((F.col("start") + F.col("length")).cast("long"), _END)
         + F.shiftleft((255 - F.col("length")).cast("long"), _LENGTH)
-        + F.when(F.col("id").isNull(), F.lit(1 << _CHAR) + code).otherwise(F.col("id").cast("long"))
+        + F.when(F.col("piece_id").isNull(), F.lit(1 << _CHAR) + code).otherwise(F.col("piece_id").cast("long"))
     )
-    lattice = edges.groupBy("key").agg(F.collect_list(packed).alias("edges"))
-    return lattice.select("key", _best(pieces)(F.col("edges")).alias("ids"))
+    return met.select(*kept, F.when(F.col("piece").isNotNull(), edge).alias("edge"))
 
 
-def _best(pieces: Pieces):
-    """Fold over edges by end and start, then back over the edges of the best path.
+class _Fold:
+    """Best paths of lattices by a fold over their edges, and back over the edges of the best path.
 
     Of equal scores the first start wins. A character that is no piece is spelt in bytes.
     """
-    scores = {pieces.ids[piece]: float(score) for piece, score in pieces.scores.items()}
-    unknown, byte_ids = pieces.unknown_score, pieces.byte_ids
 
-    def path(edges: np.ndarray) -> list[int]:
-        edges = np.sort(edges)
+    def __init__(self, pieces: Pieces):
+        self.scores = np.zeros(max(pieces.ids.values()) + 1)
+        for piece, score in pieces.scores.items():
+            self.scores[pieces.ids[piece]] = score
+        self.unknown, self.byte_ids = pieces.unknown_score, pieces.byte_ids
+
+    def ids(self, edges: np.ndarray, part: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``n`` parts one after the other, and how many each has. Edges come by part, start and length."""
+        longest = np.zeros(n, np.int64)
+        np.maximum.at(longest, part, edges >> _END)
+        long = longest > _SHORT
+        inside = np.flatnonzero(~long[part])
+        last, owner = self._together(edges[inside], part[inside], n)
+        last = inside[last]
+        for p in np.flatnonzero(long):
+            first, stop = np.searchsorted(part, [p, p + 1])
+            path = first + self._alone(edges[first:stop])
+            last, owner = np.concatenate([last, path]), np.concatenate([owner, np.full(len(path), p)])
+        if long.any():
+            order = np.argsort(owner, kind="stable")
+            last, owner = last[order], owner[order]
+        chosen = edges[last]
+        values = chosen & (1 << _CHAR) - 1
+        chars = (chosen >> _CHAR & 1).astype(bool)
+        spelt = [[self.byte_ids[x] for x in chr(v).encode()] for v in values[chars]]
+        sizes = np.ones(len(chosen), np.int64)
+        sizes[chars] = [len(s) for s in spelt]
+        found = np.repeat(values, sizes)
+        found[np.repeat(chars, sizes)] = [x for s in spelt for x in s]
+        return found, np.bincount(owner, weights=sizes, minlength=n).astype(np.int64)
+
+    def _together(self, edges: np.ndarray, part: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Edges of the best paths of short parts, in order, and their parts."""
+        ends, lengths = (edges >> _END).astype(np.uint8), 255 - (edges >> _LENGTH & 255)
+        weights = np.where(edges >> _CHAR & 1, self.unknown, self.scores[np.minimum(edges & (1 << _CHAR) - 1, len(self.scores) - 1)])
+        best = np.zeros((n, _SHORT + 1))
+        last = np.zeros((n, _SHORT + 1), np.int64)
+        at = np.zeros(n, np.int64)
+        by_end = np.argsort(ends, kind="stable")
+        bounds = np.searchsorted(ends[by_end], np.arange(_SHORT + 2))
+        for end in range(1, _SHORT + 1):
+            some = by_end[bounds[end] : bounds[end + 1]]
+            if not len(some):
+                break
+            p = part[some]
+            scores = best[p, end - lengths[some]] + weights[some]
+            firsts = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+            highest = np.maximum.reduceat(scores, firsts)
+            best[p[firsts], end] = highest
+            at[p[firsts]] = end
+            hit = np.flatnonzero(scores == np.repeat(highest, np.diff(np.append(firsts, len(p)))))[::-1]
+            last[p[hit], end] = some[hit]  # of several, the first is written last
+        steps, owners = [], []
+        going = np.flatnonzero(at)
+        while len(going):
+            chosen = last[going, at[going]]
+            steps.append(chosen)
+            owners.append(going)
+            at[going] -= lengths[chosen]
+            going = going[at[going] > 0]
+        if not steps:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        chosen, owner = np.concatenate(steps[::-1]), np.concatenate(owners[::-1])
+        order = np.argsort(owner, kind="stable")
+        return chosen[order], owner[order]
+
+    def _alone(self, edges: np.ndarray) -> np.ndarray:
+        """Edges of the best path of one part, in order."""
+        order = np.argsort(edges)
+        edges = edges[order]
         ends, lengths = (edges >> _END).tolist(), (255 - (edges >> _LENGTH & 255)).tolist()
         chars, values = (edges >> _CHAR & 1).tolist(), (edges & (1 << _CHAR) - 1).tolist()
         best = [float("-inf")] * (ends[-1] + 1)
         last = [0] * len(best)
         best[0] = 0.0
         for i, end in enumerate(ends):
-            score = best[end - lengths[i]] + (unknown if chars[i] else scores[values[i]])
+            score = best[end - lengths[i]] + (self.unknown if chars[i] else self.scores[values[i]])
             if score > best[end]:
                 best[end], last[end] = score, i
-        ids: list[int] = []
+        path: list[int] = []
         at = ends[-1]
         while at:
-            i = last[at]
-            ids += [byte_ids[x] for x in reversed(chr(values[i]).encode())] if chars[i] else [values[i]]
-            at -= lengths[i]
-        return ids[::-1]
+            path.append(last[at])
+            at -= lengths[last[at]]
+        return order[path[::-1]]
+
+
+def _gathered(pieces: Pieces):
+    """From rows (id, row, at, ids, edge) of texts in order to a row (id, ids) for each text."""
 
-    @F.pandas_udf("array<int>")
-    def best_paths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold = _Fold(pieces)
+        texts = _Texts()
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            yield pd.Series([path(edges) for edges in batch], dtype=object)
+            held.append(batch)
+            if sum(map(len, held)) >= _ROWS:
+                rest, whole = _split(held)
+                if whole is not None:
+                    yield from texts.add(whole, fold)
+                held = rest
+        if held:
+            yield from texts.add(pa.Table.from_batches(held).combine_chunks(), fold)
+        yield from texts.end()
+
+    return gather
+
 
-    return best_paths
+def _split(held: list[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], pa.Table | None]:
+    """The rows of the last part, which may go on, and all rows before."""
+    row, at = (held[-1].column(c)[-1].as_py() for c in ("row", "at"))
+    rest: list[pa.RecordBatch] = []
+    while held:
+        batch = held.pop()
+        same = (batch.column("row").to_numpy() == row) & (batch.column("at").to_numpy() == at)
+        first = len(batch) - (np.append(same[::-1], False).argmin())
+        rest.insert(0, batch.slice(first))
+        if first:
+            return rest, pa.Table.from_batches([*held, batch.slice(0, first)]).combine_chunks()
+    return rest, None
+
+
+class _Texts:
+    """Puts the ids of parts together; holds those of the text that may go on."""
+
+    def __init__(self):
+        self.at, self.id, self.parts = (-1, -1), None, []
+
+    def add(self, rows: pa.Table, fold: _Fold) -> Iterator[pa.RecordBatch]:
+        row, at = rows.column("row").to_numpy(), rows.column("at").to_numpy()
+        ahead = (np.diff(row) > 0) | ((np.diff(row) == 0) & (np.diff(at) >= 0))
+        if not ahead.all() or (int(row[0]), int(at[0])) <= self.at:
+            raise RuntimeError("the rows of a text are not in order")
+        firsts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] != at[:-1])]))
+        ids = rows.column("ids").combine_chunks()
+        ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+        sizes = np.asarray(ids.value_lengths().fill_null(0))[firsts].astype(np.int64)
+        edges = rows.column("edge")
+        is_edge = np.asarray(edges.is_valid())
+        unknown = is_edge[firsts]
+        part = np.cumsum(unknown) - 1
+        owner = np.repeat(part, np.diff(np.append(firsts, len(row))))[is_edge]
+        known = np.asarray(ids.flatten())
+        found, counts = fold.ids(edges.drop_null().to_numpy(), owner, int(unknown.sum())) if is_edge.any() else (known[:0], sizes[:0])
+        sizes[unknown] = counts
+        of_unknown = np.repeat(unknown, sizes)
+        flat = np.empty(int(sizes.sum()), np.int32)
+        flat[of_unknown] = found
+        flat[~of_unknown] = known
+        ends = np.cumsum(sizes)
+        new = np.flatnonzero(np.concatenate([[True], row[firsts][1:] != row[firsts][:-1]]))
+        cuts = np.append(0, ends)[new]
+        if int(row[0]) == self.at[0]:
+            new, cuts = new[1:], cuts[1:]
+            self.parts.append(flat[: cuts[0]] if len(cuts) else flat)
+        if len(new):
+            yield from self.end()
+            whole = cuts[: len(cuts)].astype(np.int32)
+            if len(new) > 1:
+                values = pa.array(flat[whole[0] : whole[-1]])
+                lists = pa.ListArray.from_arrays(pa.array(whole - whole[0]), values)
+                yield pa.RecordBatch.from_arrays([rows.column("id").take(pa.array(firsts[new[:-1]])).combine_chunks(), lists], ["id", "ids"])
+            self.id, self.parts = rows.column("id").slice(int(firsts[new[-1]]), 1).combine_chunks(), [flat[whole[-1] :]]
+        self.at = (int(row[-1]), int(at[-1]))
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.id is not None:
+            flat = np.concatenate(self.parts)
+            yield pa.RecordBatch.from_arrays([self.id, pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat))], ["id", "ids"])
+        self.id = None
+
+
+def encoded_parts(rows: DataFrame, pieces: Pieces, known: DataFrame | None = None) -> DataFrame:
+    """(id, ids) of rows (id, parts). ``known`` has the ids of some parts (part, ids) and is sent to every task."""
+    parts = rows.withColumn("row", F.monotonically_increasing_id()).select("id", "row", F.posexplode_outer("parts").alias("at", "part"))
+    parts = parts.withColumn("at", F.coalesce("at", F.lit(0)))
+    if known is None:
+        parts = parts.withColumn("ids", F.lit(None).cast("array<int>"))
+    else:
+        parts = parts.join(F.broadcast(known), "part", "left")
+    edges = edges_of(parts, pieces).select("id", "row", "at", "ids", "edge")
+    kind = dict(rows.dtypes)["id"]
+    return edges.mapInArrow(_gathered(pieces), f"id {kind}, ids array<int>")
 
 
 def encode(docs: DataFrame, pieces: Pieces | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: the id column and ``ids``, the pieces of the whole text in order.
 
-    A missing or empty text has no pieces; repeated rows are encoded each. A frequent
-    part, such as an article, meets its path in a join whose large partitions are
-    split. A text without blanks is one part. Other columns are not read.
+    A missing or empty text has no pieces; repeated rows are encoded each. Rows stay in
+    their task. A text without blanks is one part. Other columns are not read.
     """
     pieces = pieces or load()
     rows = docs.select(F.col(id_col).alias("id"), parts_of(filled(text_col)).alias("parts"))
-    distinct = rows.select(F.explode(F.array_distinct("parts")).alias("part")).distinct()
-    known = paths(distinct, pieces)
-    placed = rows.withColumn("row", F.monotonically_increasing_id()).select(
-        "row", "id", F.posexplode_outer(F.transform("parts", key_of)).alias("at", "key")
-    )
-    found = placed.join(known, "key", "left").groupBy("row", "id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "ids")))).alias("found")
-    )
-    return found.select(F.col("id").alias(id_col), F.flatten(F.transform("found", lambda x: x["ids"])).alias("ids"))
+    steps = Steps(docs.sparkSession, "lattice")
+    frequent = frequent_parts(rows, steps).select(F.col("part").alias("id"), F.array("part").alias("parts"))
+    known = steps.write(encoded_parts(frequent, pieces).withColumnRenamed("id", "part"), "known")
+    steps.remove("counts")
+    return encoded_parts(rows, pieces, known).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, pieces: Pieces | None = None, ids_col: str = "ids", name: str = "text") -> DataFrame:

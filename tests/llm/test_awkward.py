@@ -273,6 +273,32 @@ def test_long_texts_without_blanks(spark):
         assert r["ids"] == model.encode(texts[r["doc_id"]]).ids and r["text"] == texts[r["doc_id"]]
 
 
+def test_encoding_shuffles_no_part(spark):
+    """Neither parts nor their edges move; the tables they are joined to are sent to the tasks."""
+    docs = spark.createDataFrame([(1, "one two one"), (2, "two three"), (3, None)], "doc_id long, text string")
+    plan = lattice.decode(lattice.encode(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(id" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 3 and "Exchange hashpartitioning(row" not in plan and "Exchange hashpartitioning(key" not in plan
+
+
+@pytest.mark.parametrize("rows", [1, 2, 7, 100_000])
+def test_texts_that_go_on_in_a_later_batch(spark, monkeypatch, rows):
+    """Known and unknown parts, cut into batches anywhere."""
+    pieces = lattice.load()
+    texts = ["one two one", "", "zzqy \U0001f600 " + "x" * 50, "two", "\n one", "w" * 300 + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    docs = docs.withColumn("row", F.col("id") * 2).select("id", "row", F.posexplode_outer(lattice.parts_of(F.col("text"))).alias("at", "part"))
+    known = [(part, unigram().encode(part[1:]).ids) for part in (" one", " two")]
+    parts = docs.withColumn("at", F.coalesce("at", F.lit(0))).join(F.broadcast(spark.createDataFrame(known, "part string, ids array<int>")), "part", "left")
+    edges = lattice.edges_of(parts, pieces).select("id", "row", "at", "ids", "edge").toArrow()
+    monkeypatch.setattr(lattice, "_ROWS", rows)
+    batches = edges.combine_chunks().to_batches(max_chunksize=max(rows // 2, 1))
+    got = {r["id"]: r["ids"] for batch in lattice._gathered(pieces)(iter(batches)) for r in batch.to_pylist()}
+    assert got == {i: unigram().encode(text).ids for i, text in enumerate(texts)}
+    with pytest.raises(RuntimeError, match="not in order"):
+        list(lattice._gathered(pieces)(iter(batches[::-1] if len(batches) > 1 else [edges.combine_chunks().to_batches()[0].take(list(range(edges.num_rows))[::-1])])))
+
+
 def test_near_duplicates_chain_and_copies(spark):
     words = [f"w{i}" for i in range(200)]
     base = " ".join(words)
