@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siglake.llm.common import unused, with_once
-from siglake.session import Steps
+from siglake.session import Steps, small_batches
 
 REGISTERS = 256
 MANTISSA = 10
@@ -177,14 +177,8 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
 
     @F.pandas_udf("n long, node binary, keys array<long>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(t, settings.shingle) for t in texts]
-        return pd.DataFrame(
-            {
-                "n": [len(s) for s in sets],
-                "node": [_digest(s) for s in sets],
-                "keys": [band_keys(registers(s), settings) for s in sets],
-            }
-        )
+        rows = ((len(s), _digest(s), band_keys(registers(s), settings)) for s in (shingle_set(t, settings.shingle) for t in texts))
+        return pd.DataFrame(rows, columns=["n", "node", "keys"])
 
     return with_once(docs.select("id", sketch("text").alias("s")), "t", F.col("s")).select("id", "t.*")
 
@@ -384,18 +378,19 @@ def near_duplicates(
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     steps = Steps(docs.sparkSession, "near-duplicates")
-    sketched = steps.write(sketches(rows, settings), "sketches")
-    classes = sketched.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
-    classes = steps.write(classes, "classes")
-    keys = classes.select("node", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    members = steps.write(keys.join(shared, "key").select(F.col("key").alias("g"), "node"), "members")
-    nodes = members.select("node").distinct()
-    ids = steps.write(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("_id")).distinct(), "ids")
-    texts = rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = full_sets(texts, settings).join(nodes, "node", "left_semi").dropDuplicates(["node"])
-    sets = steps.write(sets, "sets")
-    found = links_of(members, sets, settings, steps)
+    with small_batches(docs.sparkSession):
+        sketched = steps.write(sketches(rows, settings), "sketches")
+        classes = sketched.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("keys").alias("keys"))
+        classes = steps.write(classes, "classes")
+        keys = classes.select("node", F.explode("keys").alias("key"))
+        shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+        members = steps.write(keys.join(shared, "key").select(F.col("key").alias("g"), "node"), "members")
+        nodes = members.select("node").distinct()
+        ids = steps.write(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("_id")).distinct(), "ids")
+        texts = rows.join(ids, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+        sets = full_sets(texts, settings).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        sets = steps.write(sets, "sets")
+        found = links_of(members, sets, settings, steps)
     steps.remove("sets", "members", "members-apart", "ids", "differences", "seeds", "families")
     named = classes.select("node", "id")
     if found is None:

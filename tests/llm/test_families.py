@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from siglake.llm import near_dup
-from siglake.session import Steps
+from siglake.session import BATCH_BYTES, Steps
 
 
 def joined(pairs, nodes):
@@ -114,3 +114,16 @@ def test_pairs_that_share_too_few_items_are_not_compared(spark):
     links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert len(links) >= 10 and links <= got
     assert len(got) < 3_000  # of 47,895 pairs
+
+
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """Thousands of texts of one task are not held by one batch, and the session's setting comes back."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(setting), set()
+    write = Steps.write
+    monkeypatch.setattr(Steps, "write", lambda self, df, name: seen.add(spark.conf.get(setting)) or write(self, df, name))
+    texts = [(i, " ".join(f"w{i // 2}x{j}" for j in range(40))) for i in range(6)]
+    docs = spark.createDataFrame([*texts, (6, None)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(docs).collect()}
+    assert found == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 6}
+    assert seen == {str(BATCH_BYTES)} and spark.conf.get(setting) == before
