@@ -1,14 +1,16 @@
 """SentencePiece encoding and decoding with joins.
 
-The parts of a text (see ``pieces``) become lattices: substrings are joined to the table
-of pieces, which makes the edges, and a fold over a part's characters finds the best path,
+The parts of a text (see ``pieces``) become lattices: the beginnings of substrings are joined
+to the table of pieces, which makes the edges, and a fold over a part's characters finds the best path,
 of which it carries a score and the last edge for each end. Memory and work grow linearly
 with a part, however long it is: the substrings of a long part are taken from short
 windows of it.
 
 All joined tables are bounded and sent to every task, so that the rows of a text stay in
 their task and in order, and nothing is shuffled but the counts of parts in some texts.
-These say which parts are frequent: the paths of such parts are found beforehand.
+These say which parts are frequent: the paths of such parts are found beforehand. Other
+parts are cut further where no piece holds both neighbours, into stretches with a best path of
+their own, of which the frequent ones are known beforehand too.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from siglake.session import Steps
 
 # Characters of a part whose substrings are taken from one window.
 _WINDOW = 256
-# Characters that a substring shares with the pieces that may be as long as it.
-_PREFIX = 3
+# Characters by which pieces of as many or more are found.
+_PREFIX = 4
+# Groups of characters by what may follow them in a piece.
+_GROUPS = 8
 # Longest parts that may be known beforehand, and that are folded many at a time.
 _SHORT = 40
 # Known parts, at most, and the texts whose parts are counted to choose them. They change the work, never a result.
@@ -46,68 +50,110 @@ def parts_of(text: Column) -> Column:
     )
 
 
-def frequent_parts(rows: DataFrame, steps: Steps) -> DataFrame:
-    """At most ``KNOWN`` parts that occur in the most of about ``TOLD`` of the rows (id, parts), chosen by hash."""
-    told = F.pmod(F.xxhash64("id", "parts"), F.lit(max(rows.count(), 1))) < TOLD
-    part = rows.where(told).select(F.explode(F.array_distinct("parts")).alias("part")).where(F.length("part") <= _SHORT)
-    counts = steps.write(part.groupBy("part").agg(F.count("*").alias("n")).where("n > 1"), "counts")
-    levels = counts.groupBy(F.floor(4 * F.log2("n")).alias("level")).agg(F.count("*").alias("m")).collect()
-    least, held = 0, 0
+def stretches_of(part: Column, pieces: Pieces) -> Column:
+    """A part, with its blanks as pieces have them, cut where no piece holds both neighbours."""
+    chars = F.replace(part, F.lit(" "), F.lit(BLANK))
+    cut = F.split(F.regexp_replace(chars, cuts(pieces), "\n"), "\n", -1)
+    return F.when(F.length(part) > 1, cut).otherwise(F.array(chars))
+
+
+def cuts(pieces: Pieces) -> str:
+    """A pattern for places between two characters that follow each other in no piece.
+
+    Characters are taken together by what may follow them, until there are ``_GROUPS`` groups;
+    what may follow one of a group counts for all, so that some places are not found.
+    """
+    follow: dict[str, set[str]] = {}
+    for piece in pieces.scores:
+        for a, b in zip(piece, piece[1:]):
+            follow.setdefault(a, set()).add(b)
+    alike: dict[frozenset[str], str] = {}
+    for a, after in follow.items():
+        alike[frozenset(after)] = alike.get(frozenset(after), "") + a
+    groups = [(chars, set(after)) for after, chars in alike.items()]
+    while len(groups) > _GROUPS:
+        lost = lambda x, y: len(x[0]) * len(y[1] - x[1]) + len(y[0]) * len(x[1] - y[1])
+        least = min(groups, key=lambda g: len(g[0]) * len(g[1]))
+        groups.remove(least)
+        nearest = min(groups, key=lambda g: lost(g, least))
+        groups.remove(nearest)
+        groups.append((nearest[0] + least[0], nearest[1] | least[1]))
+    listed = lambda chars: "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in _runs(sorted(map(ord, chars))))
+    places = [f"(?<=[{listed(chars)}])(?=[^{listed(after)}])" for chars, after in groups]
+    return "(?s)" + "|".join([*places, f"(?<=[^{listed(follow)}])(?=.)" if follow else "(?<=.)(?=.)"])
+
+
+def _runs(codes: list[int]) -> list[tuple[int, int]]:
+    """First and last of each run of codes that follow each other."""
+    firsts = [b for a, b in zip([-2, *codes], codes) if b != a + 1]
+    lasts = [a for a, b in zip(codes, [*codes[1:], -1]) if b != a + 1]
+    return list(zip(firsts, lasts))
+
+
+def _levelled(counts: DataFrame) -> tuple[DataFrame, int]:
+    """``counts`` (part, n) with a ``level``, and the least level whose parts, with those above, are at most ``KNOWN``."""
+    counts = counts.withColumn("level", F.floor(4 * F.log2("n")))
+    levels = counts.where("n > 1").groupBy("level").agg(F.count("*").alias("m")).collect()
+    least, held = 1, 0
     for level, m in sorted(levels, reverse=True):
         held += m
         if held > KNOWN:
             least = level + 1
             break
-    return counts.where(F.floor(4 * F.log2("n")) >= least).select("part")
+    return counts, least
+
+
+def frequent_parts(rows: DataFrame, pieces: Pieces, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """At most ``KNOWN`` parts that occur in the most of about ``TOLD`` of the rows (id, parts), chosen by hash.
+
+    And as many stretches that are the most frequent in the other parts of these rows.
+    """
+    told = F.pmod(F.xxhash64("id", "parts"), F.lit(max(rows.count(), 1))) < TOLD
+    part = rows.where(told).select(F.explode(F.array_distinct("parts")).alias("part")).where(F.length("part") <= _SHORT)
+    counts, least = _levelled(steps.write(part.groupBy("part").agg(F.count("*").alias("n")), "counts"))
+    others = counts.where(F.col("level") < least).select(F.explode(stretches_of(F.col("part"), pieces)).alias("part"), "n")
+    stretches, most = _levelled(steps.write(others.groupBy("part").agg(F.sum("n").alias("n")), "stretches"))
+    return counts.where(F.col("level") >= least).select("part"), stretches.where(F.col("level") >= most).select("part")
 
 
 def edges_of(parts: DataFrame, pieces: Pieces) -> DataFrame:
-    """``parts`` (part, ids, ...) with a row for each ``edge`` of those without ids, in order of start and length.
+    """``parts`` (part, ids, ...) with a row for each ``edge`` of those without ids, in order of start.
 
-    A part with ids keeps its one row, without an edge. Substrings are taken up to the
-    longest piece that begins as they do. The tables of pieces and of their beginnings
-    are sent to every task; ``pieces.MAX_PIECES`` bounds them.
+    A part with ids keeps its one row, without an edge. Of each start, the one to ``_PREFIX``
+    characters that follow are joined to the pieces that begin with them: those of fewer than
+    ``_PREFIX`` characters are such a beginning themselves, longer ones are compared with the text.
+    The table of pieces is sent to every task; ``pieces.MAX_PIECES`` bounds it.
     """
     if pieces.longest > 255:
         raise ValueError("a piece is too long")
     spark = parts.sparkSession
-    table = spark.createDataFrame([(piece, pieces.ids[piece]) for piece in pieces.scores], "piece string, piece_id int")
-    begins = table.where(F.length("piece") >= _PREFIX).groupBy(F.substring("piece", 1, _PREFIX).alias("begin"))
-    begins = begins.agg(F.max(F.length("piece")).alias("most"))
+    listed = [(piece[:_PREFIX], piece, len(piece), pieces.ids[piece]) for piece in pieces.scores]
+    table = spark.createDataFrame(listed, "begin string, piece string, size int, piece_id int")
     none = F.col("part").isNull() | F.col("ids").isNotNull()
-    chars = F.translate("part", " ", BLANK)
-    tails = lambda chars, at, n: F.transform(
-        F.sequence(F.lit(1), n),
-        lambda start: F.struct((at + start - 1).alias("start"), F.substring(chars, start, F.lit(pieces.longest)).alias("tail")),
-    )
-    windows = F.transform(
-        F.sequence(F.lit(0), F.length("part") - 1, F.lit(_WINDOW)),
-        lambda at: let(
-            F.substring(chars, at + 1, F.lit(_WINDOW + pieces.longest - 1)),
-            lambda c: tails(c, at, F.least(F.lit(_WINDOW), F.length(c))),
-        ),
-    )
-    nothing = F.array(F.struct(F.lit(0).alias("start"), F.lit(None).cast("string").alias("tail")))
-    starts = (
-        F.when(none, nothing)
-        .when(F.length("part") <= _SHORT, let(chars, lambda c: tails(c, F.lit(0), F.length(c))))
-        .otherwise(F.flatten(windows))
-    )
     kept = [c for c in parts.columns if c != "part"]
-    cut = parts.select(*kept, F.explode(starts).alias("s")).select(*kept, "s.*", F.substring("s.tail", 1, _PREFIX).alias("begin"))
-    cut = cut.join(F.broadcast(begins), "begin", "left")
-    room = F.when(F.col("tail").isNull(), 1).otherwise(F.least(F.length("tail"), F.coalesce("most", F.lit(_PREFIX - 1))))
-    subs = cut.select(*kept, "start", "tail", F.explode(F.sequence(F.lit(1), room)).alias("length"))
-    subs = subs.select(*kept, "start", "length", F.substring("tail", F.lit(1), F.col("length")).alias("piece"))
-    met = subs.join(F.broadcast(table), "piece", "left")
-    met = met.where(F.col("piece").isNull() | F.col("piece_id").isNotNull() | (F.col("length") == 1))
-    code = F.conv(F.hex(F.encode("piece", "UTF-32")), 16, 10).cast("long")
+    # Every step is an expression that Spark compiles; functions on arrays' elements would be interpreted, for all rows.
+    ats = F.sequence(F.lit(0), F.when(none, 0).otherwise(F.greatest(F.length("part") - 1, F.lit(0))), F.lit(_WINDOW))
+    windows = parts.select(*kept, "part", F.explode(ats).alias("from"))
+    chars = F.replace("part", F.lit(" "), F.lit(BLANK))
+    window = F.substring(chars, F.col("from") + 1, F.lit(_WINDOW + pieces.longest - 1))
+    windows = windows.select(*kept, "from", F.when(none, None).when(F.length("part") <= _SHORT, chars).otherwise(window).alias("chars"))
+    places = F.sequence(F.lit(1), F.least(F.lit(_WINDOW), F.greatest(F.coalesce(F.length("chars"), F.lit(1)), F.lit(1))))
+    starts = windows.select(*kept, "from", "chars", F.explode(places).alias("place"))
+    tail = F.substring("chars", F.col("place"), F.lit(pieces.longest))
+    starts = starts.select(*kept, (F.col("from") + F.col("place") - 1).alias("start"), tail.alias("tail"))
+    room = F.sequence(F.lit(1), F.least(F.lit(_PREFIX), F.greatest(F.coalesce(F.length("tail"), F.lit(1)), F.lit(1))))
+    subs = starts.select(*kept, "start", "tail", F.explode(room).alias("length"))
+    subs = subs.withColumn("beginning", F.substring("tail", F.lit(1), F.col("length")))
+    met = subs.join(F.broadcast(table), (F.col("beginning") == F.col("begin")) & F.startswith("tail", "piece"), "left")
+    met = met.where(F.col("piece_id").isNotNull() | (F.col("length") == 1))
+    code = F.conv(F.hex(F.encode("beginning", "UTF-32")), 16, 10).cast("long")
+    size = F.coalesce("size", F.lit(1))
     edge = (
-        F.shiftleft((F.col("start") + F.col("length")).cast("long"), _END)
-        + F.shiftleft((255 - F.col("length")).cast("long"), _LENGTH)
+        F.shiftleft((F.col("start") + size).cast("long"), _END)
+        + F.shiftleft((255 - size).cast("long"), _LENGTH)
         + F.when(F.col("piece_id").isNull(), F.lit(1 << _CHAR) + code).otherwise(F.col("piece_id").cast("long"))
     )
-    return met.select(*kept, F.when(F.col("piece").isNotNull(), edge).alias("edge"))
+    return met.select(*kept, F.when(F.col("tail").isNotNull(), edge).alias("edge"))
 
 
 class _Fold:
@@ -288,15 +334,23 @@ class _Texts:
         self.id = None
 
 
-def encoded_parts(rows: DataFrame, pieces: Pieces, known: DataFrame | None = None) -> DataFrame:
-    """(id, ids) of rows (id, parts). ``known`` has the ids of some parts (part, ids) and is sent to every task."""
+def encoded_parts(rows: DataFrame, pieces: Pieces, known: DataFrame | None = None, stretches: DataFrame | None = None) -> DataFrame:
+    """(id, ids) of rows (id, parts). ``known`` and ``stretches`` have the ids of some parts and
+    stretches (part, ids) and are sent to every task."""
     parts = rows.withColumn("row", F.monotonically_increasing_id()).select("id", "row", F.posexplode_outer("parts").alias("at", "part"))
     parts = parts.withColumn("at", F.coalesce("at", F.lit(0)))
     if known is None:
         parts = parts.withColumn("ids", F.lit(None).cast("array<int>"))
     else:
         parts = parts.join(F.broadcast(known), "part", "left")
-    edges = edges_of(parts, pieces).select("id", "row", "at", "ids", "edge")
+    if stretches is not None:
+        cut = F.when(F.col("part").isNull() | F.col("ids").isNotNull(), F.array("part")).otherwise(stretches_of(F.col("part"), pieces))
+        parts = parts.select("id", "row", "at", "ids", F.posexplode(cut).alias("n", "part"))
+        parts = parts.select("id", "row", F.expr("shiftleft(cast(at as bigint), 32) + n").alias("at"), "part", F.col("ids").alias("of_part"))
+        parts = parts.join(F.broadcast(stretches), "part", "left").withColumn("ids", F.coalesce("of_part", "ids"))
+    edges = edges_of(parts.select("id", "row", "at", "part", "ids"), pieces).select("id", "row", "at", "ids", "edge")
+    # Behind a missing list, Arrow's writer fills in all offsets since the last list anew for each row of a batch.
+    edges = edges.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
     kind = dict(rows.dtypes)["id"]
     return edges.mapInArrow(_gathered(pieces), f"id {kind}, ids array<int>")
 
@@ -310,10 +364,12 @@ def encode(docs: DataFrame, pieces: Pieces | None = None, id_col: str = "doc_id"
     pieces = pieces or load()
     rows = docs.select(F.col(id_col).alias("id"), parts_of(filled(text_col)).alias("parts"))
     steps = Steps(docs.sparkSession, "lattice")
-    frequent = frequent_parts(rows, steps).select(F.col("part").alias("id"), F.array("part").alias("parts"))
-    known = steps.write(encoded_parts(frequent, pieces).withColumnRenamed("id", "part"), "known")
-    steps.remove("counts")
-    return encoded_parts(rows, pieces, known).withColumnRenamed("id", id_col)
+    found: list[DataFrame] = []
+    for name, part in zip(("known_stretches", "known"), frequent_parts(rows, pieces, steps)[::-1]):
+        alone = part.select(F.col("part").alias("id"), F.array("part").alias("parts"))
+        found.append(steps.write(encoded_parts(alone, pieces).withColumnRenamed("id", "part"), name))
+    steps.remove("counts", "stretches")
+    return encoded_parts(rows, pieces, *found[::-1]).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, pieces: Pieces | None = None, ids_col: str = "ids", name: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -281,6 +282,36 @@ def test_encoding_shuffles_no_part(spark):
     assert plan.count("BroadcastHashJoin") == 3 and "Exchange hashpartitioning(row" not in plan and "Exchange hashpartitioning(key" not in plan
 
 
+def test_no_list_is_missing_on_its_way_to_python(spark, monkeypatch):
+    """Arrow's writer goes over a batch anew for each row behind a missing list."""
+
+    def missing(pieces):
+        def count(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"id": [len(batch)], "ids": [[batch.column("ids").null_count]]}, pa.schema({"id": pa.int64(), "ids": pa.list_(pa.int32())}))
+
+        return count
+
+    monkeypatch.setattr(lattice, "_gathered", missing)
+    rows = spark.createDataFrame([(1, [" zzqy", " one"]), (2, []), (3, None)], "id long, parts array<string>")
+    known = spark.createDataFrame([(" one", [7])], "part string, ids array<int>")
+    sent = lattice.encoded_parts(rows, lattice.load(), known).collect()
+    assert sum(r["id"] for r in sent) > 5 and sum(r["ids"][0] for r in sent) == 0
+
+
+def test_parts_are_cut_where_no_piece_goes_on(spark):
+    pieces = lattice.load()
+    together = {piece[i : i + 2] for piece in pieces.scores for i in range(len(piece) - 1)}
+    texts = [" straßenfest,", "f(x)=>{a.b};", "漢字😀😁é́x", "  ab ", "\n", "q", " ▁z"]
+    parts = spark.createDataFrame([(t,) for t in texts], "part string")
+    for r in parts.select("part", lattice.stretches_of(F.col("part"), pieces).alias("cut")).collect():
+        assert "".join(r["cut"]) == r["part"].replace(" ", "▁") and all(r["cut"])
+        assert not any(a[-1] + b[0] in together for a, b in zip(r["cut"], r["cut"][1:]))
+        assert r["part"] != "漢字😀😁é́x" or len(r["cut"]) > 3
+    docs = spark.createDataFrame([(i, t.strip(" ")) for i, t in enumerate(texts[:4])], "doc_id long, text string")
+    assert all(r["ids"] == unigram().encode(texts[r["doc_id"]].strip(" ")).ids for r in lattice.encode(docs).collect())
+
+
 @pytest.mark.parametrize("rows", [1, 2, 7, 100_000])
 def test_texts_that_go_on_in_a_later_batch(spark, monkeypatch, rows):
     """Known and unknown parts, cut into batches anywhere."""
